@@ -66,9 +66,7 @@ def training_pipeline(train: DataFrame, settings: Settings) -> Pipeline:
     trees = GBTClassifier(
         featuresCol="inputs",
         labelCol=settings.label_column,
-        probabilityCol="class_probability",
         predictionCol="class",
-        rawPredictionCol="raw",
         lossType="logistic",
         maxDepth=settings.max_depth,
         stepSize=settings.learning_rate,
@@ -77,6 +75,7 @@ def training_pipeline(train: DataFrame, settings: Settings) -> Pipeline:
         featureSubsetStrategy=str(settings.colsample_bytree),
         seed=settings.random_seed,
     )
+    trees.setProbabilityCol("class_probability").setRawPredictionCol("raw")
     return Pipeline(
         stages=[
             SQLTransformer(statement=f"SELECT *, {prepared} FROM __THIS__"),
