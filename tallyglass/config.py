@@ -66,6 +66,8 @@ class Settings:
     # Recorded with the other parameters; the number of rounds actually run is ``boosting_rounds``.
     n_estimators: int = 100
     boosting_rounds: int = 10
+    # Stop boosting once the loss on the test rows improves by less than this; None runs all rounds.
+    early_stopping_tol: float | None = None
 
     # A category list longer than this is an error, since every value becomes a column.
     max_categories: int = 10_000

@@ -56,6 +56,7 @@ def engineer_features(
     columns = [c for c in settings.categorical_columns if c in market.columns]
     if vocabulary is None:
         vocabulary = learn_vocabulary(market, columns, settings.max_categories)
+    vocabulary = {c: v for c, v in vocabulary.items() if c in columns}
     joined = join_market_user(market, user, settings.key_columns, hot_share)
     return joined.transform(add_market_features).transform(add_user_features).transform(one_hot, vocabulary)
 
@@ -66,8 +67,9 @@ def request_features(requests: DataFrame, settings: Settings) -> DataFrame:
     The ids stay on the row next to the feature columns, in configured order.
     """
     ids = [c for c in ("user_id", "stock_id", "date") if c in requests.columns]
+    vocabulary = {c: v for c, v in VOCABULARY.items() if c in requests.columns}
     return (
         requests.transform(add_market_features)
-        .transform(one_hot, VOCABULARY)
+        .transform(one_hot, vocabulary)
         .transform(align, settings.feature_columns, ids)
     )

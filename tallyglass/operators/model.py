@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyglass.config import Settings
-from tallyglass.functions.expressions import decide
+from tallyglass.functions.expressions import decide, in_test_share
 from tallyglass.operators.curves import best_f1, pr_curve, rank_scores, roc_auc
 from tallyglass.operators.encode import with_label
 from tallyglass.operators.scale import fit_scaler
@@ -76,6 +76,8 @@ def training_pipeline(train: DataFrame, settings: Settings) -> Pipeline:
         seed=settings.random_seed,
     )
     trees.setProbabilityCol("class_probability").setRawPredictionCol("raw")
+    if settings.early_stopping_tol is not None:
+        trees.setParams(validationIndicatorCol="is_test", validationTol=settings.early_stopping_tol)
     return Pipeline(
         stages=[
             SQLTransformer(statement=f"SELECT *, {prepared} FROM __THIS__"),
@@ -91,6 +93,12 @@ def score(pipeline: PipelineModel, df: DataFrame) -> DataFrame:
     return pipeline.transform(df).select(*df.columns, positive.alias("probability"))
 
 
+def _with_test_flag(df: DataFrame, settings: Settings) -> DataFrame:
+    """All rows; the trees themselves leave flagged ones out and watch the loss on them."""
+    test = in_test_share(settings.key_columns, settings.test_size, settings.random_seed)
+    return df.withColumn("is_test", test)
+
+
 def train_model(features: DataFrame, settings: Settings) -> Model:
     """Fit on the training share, tune the threshold on the rest.
 
@@ -103,7 +111,9 @@ def train_model(features: DataFrame, settings: Settings) -> Model:
     train, test = train_test_split(
         labelled, settings.key_columns, settings.test_size, settings.random_seed
     )
-    pipeline = training_pipeline(train, settings).fit(train)
+    pipeline = training_pipeline(train, settings).fit(
+        train if settings.early_stopping_tol is None else _with_test_flag(labelled, settings)
+    )
     ranked = rank_scores(score(pipeline, test), "probability", label)
     best = best_f1(pr_curve(ranked)).first()
     auc = roc_auc(ranked).first().auc
@@ -155,11 +165,7 @@ def training_metrics(spark: SparkSession, model: Model) -> DataFrame:
     """Long-form metrics of a training run, for the metric history."""
     names = INFO_SCHEMA.fieldNames()
     info = dict(zip(names, model.info))
-    rows = [
-        ("auc", info["auc"]),
-        ("best_f1", info["best_f1"]),
-        ("best_threshold", info["threshold"]),
-    ]
-    return spark.createDataFrame(rows, "metric string, value double")
+    metrics = {"auc": info["auc"], "best_f1": info["best_f1"], "best_threshold": info["threshold"]}
+    return spark.createDataFrame(list(metrics.items()), "metric string, value double")
 
 

@@ -4,29 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> list[Row]:
-    """Keys that hold more than ``share`` of all rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """Candidates for keys holding more than ``share`` of the rows: at most ``1 / share`` of them.
 
-    No more than ``1 / share`` such keys can exist, which bounds what reaches the driver. Reads the
-    key columns only, with partial aggregation before the shuffle.
+    A frequent-item sketch over the key columns: one pass with bounded memory and no shuffle of
+    rows. It may name keys that are not hot, which costs a few extra copies and changes no result.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.count()
-    return counts.where(F.col("rows") > share * total).select(*keys).collect()
-
-
-def _is_hot(keys: Sequence[str], hot: list[Row]) -> Column:
-    same = F.lit(False)
-    for row in hot:
-        match = F.lit(True)
-        for k in keys:
-            match = match & F.col(k).eqNullSafe(F.lit(row[k]))
-        same = same | match
-    return same
+    key = df.select(F.struct(*keys).alias("key"))
+    return key.freqItems(["key"], share).select(F.inline("key_freqItems"))
 
 
 def salted_join(
@@ -34,16 +23,20 @@ def salted_join(
 ) -> DataFrame:
     """Inner equi-join with the same rows as ``left.join(right, keys)``.
 
-    Left rows of a hot key are spread over ``salts`` sub-keys by a hash of their other columns, and
-    only that key's right rows are repeated once per sub-key. The hash depends on values alone, so
-    a retried task repeats the same placement.
+    Left rows of a hot key are spread over ``salts`` sub-keys, and only that key's right rows are
+    repeated, once per sub-key. The sub-key depends on the row's values and on its input partition,
+    so exact copies spread too and a retried task repeats the same placement.
     """
-    hot = hot_keys(left, keys, share)
-    if not hot:
-        return left.join(right, list(keys), "inner")
-    others = [c for c in left.columns if c not in keys]
-    spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int") if others else F.lit(0)
-    salted_left = left.withColumn("salt", F.when(_is_hot(keys, hot), spread).otherwise(F.lit(0)))
-    copies = F.when(_is_hot(keys, hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_right = right.withColumn("salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    # At most 1 / share rows.
+    hot = F.broadcast(hot_keys(left, keys, share).withColumn("is_hot", F.lit(True)))
+    others = [F.col(c) for c in left.columns if c not in keys]
+    spread = F.pmod(F.xxhash64(*others, F.spark_partition_id()), F.lit(salts)).cast("int")
+    placed = left.withColumn("spread", spread).join(hot, list(keys), "left")
+    salted_left = placed.withColumn(
+        "salt", F.when(F.col("is_hot"), F.col("spread")).otherwise(F.lit(0))
+    ).drop("spread", "is_hot")
+    copies = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = (
+        right.join(hot, list(keys), "left").withColumn("salt", F.explode(copies)).drop("is_hot")
+    )
     return salted_left.join(salted_right, [*keys, "salt"], "inner").drop("salt")

@@ -13,7 +13,7 @@ from tallyglass.operators.model import Model, load_model, save_model, train_mode
 from tallyglass.sinks.metrics import log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
 from tallyglass.sources.snapshots import read_latest_snapshot
-from tallyglass.sources.tables import last_days, read_market, read_user
+from tallyglass.sources.tables import last_days, normalise_user, read_market, read_user
 
 
 def yesterday_features(spark: SparkSession, settings: Settings) -> DataFrame:
@@ -32,6 +32,14 @@ def stored_features(spark: SparkSession, settings: Settings, start: dt.date, end
     return engineer_features(market, user, settings, VOCABULARY)
 
 
+def all_stored_features(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Features of the whole stored tables."""
+    market = spark.read.parquet(settings.market_data_path)
+    user = normalise_user(spark.read.parquet(settings.user_data_path))
+    market = market.withColumn("date", market.date.cast("date"))
+    return engineer_features(market, user, settings, VOCABULARY)
+
+
 def model_frame(features: DataFrame, settings: Settings) -> DataFrame:
     """Keys, configured features and the label, if there is one. Nulls stay; the saved pipeline
     fills them."""
@@ -40,27 +48,32 @@ def model_frame(features: DataFrame, settings: Settings) -> DataFrame:
     return align(features, [*settings.feature_columns, *label], ids)
 
 
-def train_or_load(frame: DataFrame, settings: Settings, store: str, stamp: str) -> Model:
-    """The saved model if there is one, else one trained on a stored snapshot of the frame."""
+def train_or_load(frame: DataFrame, settings: Settings, store: str) -> tuple[Model, DataFrame]:
+    """The saved model, or one trained now; and the frame to go on with.
+
+    Training reads its rows several times, so they are first stored as a snapshot, and the caller
+    continues from that snapshot instead of repeating the joins behind it.
+    """
     spark = frame.sparkSession
     model = load_model(spark, f"{store}/model")
-    if model is None:
-        save_snapshot(frame, f"{store}/snapshots", stamp)
-        model = train_model(read_latest_snapshot(spark, f"{store}/snapshots"), settings)
-        save_model(spark, model, f"{store}/model")
-        log_metrics(
-            training_metrics(spark, model),
-            f"{store}/metrics",
-            f"train-{stamp}",
-            dt.datetime.combine(settings.as_of, dt.time()),
-        )
-    return model
+    if model is not None:
+        return model, frame
+    stamp = f"{settings.as_of:%Y%m%d}_000000"
+    save_snapshot(frame, f"{store}/snapshots", stamp)
+    stored = read_latest_snapshot(spark, f"{store}/snapshots")
+    model = train_model(stored, settings)
+    save_model(spark, model, f"{store}/model")
+    log_metrics(
+        training_metrics(spark, model),
+        f"{store}/metrics",
+        f"train-{stamp}",
+        dt.datetime.combine(settings.as_of, dt.time()),
+    )
+    return model, stored
 
 
 def run_batch(features: DataFrame, settings: Settings, store: str, scoring: DataFrame | None = None) -> str:
     """Score ``scoring`` (by default the training frame itself) and return the prediction root."""
-    frame = model_frame(features, settings)
-    model = train_or_load(frame, settings, store, f"{settings.as_of:%Y%m%d}_000000")
+    model, frame = train_or_load(model_frame(features, settings), settings, store)
     rows = frame if scoring is None else model_frame(scoring, settings)
-    predictions = model.predict(rows).drop("date")
-    return save_predictions(predictions, f"{store}/predictions", settings.as_of)
+    return save_predictions(model.predict(rows).drop("date"), f"{store}/predictions", settings.as_of)

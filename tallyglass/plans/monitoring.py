@@ -5,14 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyglass.config import Settings
 from tallyglass.operators.drift import any_drift, drift_report, drift_stats
 from tallyglass.operators.quality import classification_metrics, confusion_counts, match_counts
-from tallyglass.session import durable
+from tallyglass.plans.batch import yesterday_features
+from tallyglass.session import kept
 from tallyglass.sinks.metrics import flatten_metrics, log_metrics, report_json, save_report
+from tallyglass.sources.predictions import read_predictions
+from tallyglass.sources.tables import actual_purchases
 
 
 @dataclass(frozen=True)
@@ -65,10 +68,8 @@ def run_monitoring(
 ) -> Monitoring:
     """The two results feed the report, the log and the alerts, so each is computed once and kept:
     one row and one row per feature."""
-    performance = durable(
-        prediction_quality(predictions, actuals, actual=settings.label_column)
-    )
-    drift = durable(feature_drift(current, reference, settings))
+    performance = kept(prediction_quality(predictions, actuals, actual=settings.label_column))
+    drift = kept(feature_drift(current, reference, settings))
     flag = any_drift(drift)
     path = None
     if save:
@@ -80,3 +81,25 @@ def run_monitoring(
         log_metrics(flatten_metrics(performance, flag), f"{store}/metrics", run_id, written_at)
     raised = alerts(performance, flag, settings.alert_accuracy_threshold)
     return Monitoring(performance, drift, flag, raised, path)
+
+
+def run_daily_monitoring(
+    spark: SparkSession, settings: Settings, written_at: dt.datetime, days: int = 7
+) -> Monitoring:
+    """Monitoring of the stored tables: recent predictions against recent purchases, and
+    yesterday's features against the reference table."""
+    if settings.reference_data_path is None:
+        raise ValueError("reference_data_path is not configured")
+    store = settings.store_path
+    roots = [f"{store}/predictions", f"{store}/online_predictions"]
+    user = spark.read.parquet(settings.user_data_path)
+    actuals = actual_purchases(user, settings.as_of, days, settings.label_column)
+    return run_monitoring(
+        read_predictions(spark, roots, settings.as_of, days),
+        actuals.withColumn("user_id", F.col("user_id").cast("string")),
+        yesterday_features(spark, settings),
+        spark.read.parquet(settings.reference_data_path),
+        settings,
+        store,
+        written_at,
+    )

@@ -35,7 +35,7 @@ from tallyglass.plans.monitoring import alerts, prediction_quality, run_monitori
 from tallyglass.session import scratch_path
 from tallyglass.sinks.metrics import flatten_metrics, log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
-from tallyglass.sources.daily import daily_market, daily_user
+from tallyglass.sources.daily import daily_bars, daily_market, daily_user
 from tallyglass.sources.predictions import read_predictions
 from tallyglass.sources.snapshots import read_latest_snapshot
 from tallyglass.sources.tables import actual_purchases, last_days, scan_range
@@ -92,13 +92,18 @@ def market(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     return daily_market(table(spark, sf_dir, "events"), table(spark, sf_dir, "customer"), start, end)
 
 
+def bars(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
+    return daily_bars(table(spark, sf_dir, "events"), start, end)
+
+
 def user(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     return daily_user(table(spark, sf_dir, "events"), start, end)
 
 
 def all_features(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
+    events, customers = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")
     return engineer_features(
-        market(spark, sf_dir, start, end), user(spark, sf_dir, start, end), SETTINGS, VOCABULARY
+        daily_market(events, customers, start, end), daily_user(events, start, end), SETTINGS, VOCABULARY
     )
 
 
@@ -120,9 +125,9 @@ def drift_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return lines.where(F.col("l_shipdate") >= cut), lines.where(F.col("l_shipdate") < cut)
 
 
-def daily_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_decisions(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame:
     """A prediction per user and day: 1 where the day closed no lower than it opened."""
-    return market(spark, sf_dir).select(
+    return bars(spark, sf_dir, start, end).select(
         "user_id", "date", (F.col("close_price") >= F.col("open_price")).cast("int").alias("prediction")
     )
 
@@ -188,7 +193,7 @@ def join_market_user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _market_feature(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return shown(add_market_features(market(spark, sf_dir)).select("user_id", "date", name))
+        return shown(add_market_features(bars(spark, sf_dir)).select("user_id", "date", name))
 
     return build
 
@@ -465,10 +470,9 @@ def monitoring_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole monitoring job; the report it wrote, parsed back into one row per feature."""
     store = scratch_path(spark, "monitoring")
     start, end = last_days(AS_OF, 7)
-    recent = F.col("date").between(F.lit(start), F.lit(end))
     actuals = actual_purchases(user(spark, sf_dir, start, end), AS_OF, 7)
     result = run_monitoring(
-        daily_decisions(spark, sf_dir).where(recent).drop("date"),
+        daily_decisions(spark, sf_dir, start, end).drop("date"),
         actuals,
         all_features(spark, sf_dir, YESTERDAY, YESTERDAY),
         all_features(spark, sf_dir, *REFERENCE_DAYS),
@@ -543,18 +547,15 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, save, load and score every user and day."""
     store = scratch_path(spark, "model")
-    frame = model_frame(all_features(spark, sf_dir), SETTINGS)
-    train_or_load(frame, SETTINGS, store, "20240130_000000")
+    _, rows = train_or_load(model_frame(all_features(spark, sf_dir), SETTINGS), SETTINGS, store)
     model = load_model(spark, f"{store}/model")
-    # The snapshot the model was trained on holds the whole frame.
-    rows = read_latest_snapshot(spark, f"{store}/snapshots")
     return shown(model.predict(rows).select("user_id", "date", "probability", "prediction"))
 
 
 @query("model_info")
 def trained_model_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch_path(spark, "model")
-    train_or_load(model_frame(all_features(spark, sf_dir), SETTINGS), SETTINGS, store, "20240130_000000")
+    train_or_load(model_frame(all_features(spark, sf_dir), SETTINGS), SETTINGS, store)
     described = model_info(spark, f"{store}/model")
     return shown(described.drop("params").withColumn("features", F.concat_ws(",", "features")))
 

@@ -20,6 +20,8 @@ def local_session(name: str = "tallyglass", cores: int | str | None = None) -> S
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Sides already partitioned by the user alone may join on user and date without a shuffle.
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .getOrCreate()
     )
 
@@ -29,11 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a session that names none (a local test) gets a temporary one.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="tallyglass-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(named)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 
@@ -42,6 +47,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tallyglass/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Evaluate a result of fixed size (a few rows, whatever the input) once for several uses."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so that losing an executor repeats nothing."""
     shared_dir(df.sparkSession)

@@ -28,16 +28,7 @@ SEGMENT_SECTOR = {
 LARGE_FROM, MID_FROM = 6000.0, 2000.0
 
 
-def _user_history():
-    return Window.partitionBy("user_id").orderBy("date")
-
-
-def daily_market(
-    events: DataFrame,
-    customers: DataFrame,
-    start: dt.date | None = None,
-    end: dt.date | None = None,
-) -> DataFrame:
+def daily_bars(events: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Open, close, high, low and volume per user and day, with the trailing average volume.
 
     A date range is turned into a range on the log's own timestamp, widened by the averaging
@@ -64,7 +55,17 @@ def daily_market(
     days = days.withColumn("avg_volume_30d", F.avg("volume").over(trailing))
     if start and end:
         days = days.where(F.col("date").between(F.lit(start), F.lit(end)))
-    # Joined after the window, whose partitioning by user the join can reuse.
+    return days
+
+
+def daily_market(
+    events: DataFrame,
+    customers: DataFrame,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+) -> DataFrame:
+    """Daily bars with the attributes of the traded stock, in the market schema."""
+    # Joined after the bars' window, whose partitioning by user the join can reuse.
     owner = customers.select(
         F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_acctbal", "c_nationkey"
     )
@@ -77,7 +78,7 @@ def daily_market(
         .when(F.col("c_acctbal") >= MID_FROM, "Mid")
         .otherwise("Small")
     )
-    return days.join(owner, "user_id", "left").select(
+    return daily_bars(events, start, end).join(owner, "user_id", "left").select(
         "user_id",
         "date",
         F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("stock_id"),
@@ -105,7 +106,9 @@ def daily_user(events: DataFrame, start: dt.date | None = None, end: dt.date | N
         .groupBy("user_id", "date")
         .agg(F.max((F.col("event_type") == "purchase").cast("int")).alias("purchased_stock"))
     )
-    before = _user_history().rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        Window.partitionBy("user_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
+    )
     days = days.select(
         "user_id",
         "date",

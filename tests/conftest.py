@@ -18,6 +18,7 @@ def spark():
     session = local_session("tests")
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyglass-tests-"))
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield session
     session.stop()
 

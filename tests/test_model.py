@@ -1,0 +1,168 @@
+"""Training, reuse, saving and the jobs around it, on stored tables with a known signal."""
+
+import datetime as dt
+import json
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyglass.__main__ import main
+from tallyglass.config import Settings
+from tallyglass.operators.curves import rank_scores, roc_auc
+from tallyglass.operators.model import load_model, model_info, save_model, train_model
+from tallyglass.plans.batch import model_frame, run_batch, stored_features
+from tallyglass.session import scratch_path
+from tallyglass.sources.predictions import read_predictions
+from tallyglass.streaming.scoring import REQUEST_SCHEMA, read_requests, score_requests, start_scoring
+
+AS_OF = dt.date(2024, 1, 30)
+SMALL = replace(Settings(), as_of=AS_OF, max_depth=3, boosting_rounds=3)
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    """Market and user tables with 40 users over 30 days; higher momentum means more purchases."""
+    root = scratch_path(spark, "tables")
+    grid = spark.range(40 * 30).select(
+        F.concat(F.lit("u"), F.col("id") % 40).alias("user_id"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") / 40).cast("int")).alias("date"),
+        (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("r"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 1000).alias("noise"),
+    )
+    grid.select(
+        "user_id",
+        "date",
+        F.lit("AAPL").alias("stock_id"),
+        F.lit(100.0).alias("open_price"),
+        (100 + 10 * F.col("r")).alias("close_price"),
+        F.lit(111.0).alias("high_price"),
+        F.lit(99.0).alias("low_price"),
+        F.lit(1000).cast("long").alias("volume"),
+        F.when(F.col("r") > 0.1, F.lit(900)).cast("long").alias("avg_volume_30d"),
+        F.lit("Technology").alias("sector"),
+        F.lit("Large").alias("market_cap_category"),
+        F.date_format("date", "EEEE").alias("day_of_week"),
+    ).write.parquet(f"{root}/market")
+    grid.select(
+        "user_id",
+        "date",
+        F.date_sub("date", 3).alias("last_purchase_date"),
+        F.col("date").alias("current_date"),
+        F.lit(0.5).alias("risk_tolerance"),
+        (F.col("r") + 0.2 * F.col("noise") > 0.6).cast("int").alias("purchased_stock"),
+    ).write.parquet(f"{root}/user")
+    return replace(SMALL, market_data_path=f"{root}/market", user_data_path=f"{root}/user")
+
+
+@pytest.fixture(scope="module")
+def frame(spark, stored):
+    path = scratch_path(spark, "frame")
+    rows = stored_features(spark, stored, dt.date(2024, 1, 1), AS_OF)
+    model_frame(rows, stored).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def model(frame, stored):
+    return train_model(frame, stored)
+
+
+def test_model_learns_and_keeps_rows_and_ids(model, frame):
+    scored = model.predict(frame)
+    assert scored.count() == frame.count() == 1200
+    assert scored.where("probability NOT BETWEEN 0 AND 1").count() == 0
+    assert scored.select("user_id", "date").exceptAll(frame.select("user_id", "date")).count() == 0
+    auc = roc_auc(rank_scores(scored, "probability", "purchased_stock")).first().auc
+    shuffled = scored.withColumn("purchased_stock", (F.xxhash64("user_id", "date") % 2 == 0).cast("int"))
+    assert auc > 0.9 > roc_auc(rank_scores(shuffled, "probability", "purchased_stock")).first().auc
+
+
+def test_saved_model_scores_the_same(spark, model, frame):
+    path = scratch_path(spark, "model")
+    assert load_model(spark, path) is None
+    save_model(spark, model, path)
+    again = load_model(spark, path)
+    assert again.threshold == model.threshold
+    assert again.predict(frame).exceptAll(model.predict(frame)).count() == 0
+    info = model_info(spark, path).first()
+    assert info.features == list(Settings().feature_columns) and info.params["max_depth"] == "3"
+    assert 0.9 < info.auc <= 1.0
+
+
+def test_early_stopping_trains_no_more_rounds(frame, stored):
+    stopped = train_model(frame, replace(stored, boosting_rounds=8, early_stopping_tol=0.5))
+    assert stopped.pipeline.stages[-1].getNumTrees < 8
+
+
+def test_unlabelled_rows_are_not_trained_on(frame, stored, model):
+    extra = frame.withColumn("purchased_stock", F.lit(None).cast("int"))
+    same = train_model(frame.unionByName(extra), stored)
+    assert same.info[6] == pytest.approx(model.info[6], abs=0.1)
+
+
+def test_batch_trains_once_then_reuses(spark, stored):
+    store = scratch_path(spark, "store")
+    rows = stored_features(spark, stored, dt.date(2024, 1, 1), AS_OF)
+    root = run_batch(rows, stored, store)
+    assert read_predictions(spark, [root], AS_OF, 0).count() == 1200
+    first = model_info(spark, f"{store}/model").first()
+    day = stored_features(spark, stored, AS_OF, AS_OF)
+    run_batch(rows, replace(stored, max_depth=2), store, scoring=day)
+    assert model_info(spark, f"{store}/model").first() == first
+    assert read_predictions(spark, [root], AS_OF, 0).count() == 40
+    logged = {r.metric for r in spark.read.parquet(f"{store}/metrics").collect()}
+    assert logged == {"auc", "best_f1", "best_threshold"}
+
+
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_stream_equals_batch(spark, stored, model, fmt):
+    root = scratch_path(spark, "stream")
+    day = stored_features(spark, stored, dt.date(2024, 1, 1), AS_OF)
+    requests = day.select([c for c in REQUEST_SCHEMA.fieldNames() if c in day.columns])
+    requests.repartition(4).write.format(fmt).save(f"{root}/requests")
+    now = dt.datetime(2024, 1, 30, 12)
+    args = (model.score, model.threshold, stored, now)
+    stream = score_requests(read_requests(spark, f"{root}/requests", fmt, files_per_batch=2), *args)
+    query = start_scoring(stream, f"{root}/out", f"{root}/ck")
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p.numInputRows]) == 2
+    start_scoring(stream, f"{root}/out", f"{root}/ck").awaitTermination()
+    written = read_predictions(spark, [f"{root}/out"], AS_OF)
+    batch = score_requests(requests, *args).select(written.columns)
+    assert written.count() == 1200
+    assert written.exceptAll(batch).count() == 0
+
+
+def test_jobs_from_the_command_line(spark, stored, tmp_path, capsys):
+    store = scratch_path(spark, "cli")
+    reference = scratch_path(spark, "reference")
+    stored_features(spark, stored, dt.date(2024, 1, 1), dt.date(2024, 1, 14)).write.parquet(reference)
+    config = tmp_path / "config.json"
+    config.write_text(
+        json.dumps(
+            {
+                "market_data_path": stored.market_data_path,
+                "user_data_path": stored.user_data_path,
+                "reference_data_path": reference,
+                "store_path": store,
+                "max_depth": 3,
+                "boosting_rounds": 3,
+                "mlflow_tracking_uri": "ignored",
+                "feature_columns": list(Settings().feature_columns),
+            }
+        )
+    )
+    common = ["--config", str(config), "--as-of", "2024-01-30"]
+    main(["batch", *common, "--score-yesterday"])
+    assert read_predictions(spark, [f"{store}/predictions"], AS_OF, 0).count() == 40
+    requests = scratch_path(spark, "requests")
+    stored_features(spark, stored, AS_OF, AS_OF).drop("date", "as_of_date").write.json(requests)
+    main(["stream", *common, "--requests", requests])
+    assert read_predictions(spark, [f"{store}/online_predictions"], AS_OF, 0).count() == 40
+    main(["monitor", *common])
+    report = capsys.readouterr().out.strip().splitlines()[-1]
+    document = json.loads(spark.read.text(report).first().value)
+    # 40 users with two predictions each and eight actual days.
+    assert document["performance_metrics"]["total_predictions"] == 40 * 2 * 8
+    assert set(document["data_drift_metrics"]) >= {"price_momentum", "any_drift_detected"}
