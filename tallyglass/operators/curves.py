@@ -32,7 +32,7 @@ class RankedScores:
 
 
 def rank_scores(
-    df: DataFrame, score: str = "probability", label: str = "label", scores_per_task: int = 1_000_000
+    df: DataFrame, score: str = "probability", label: str = "label", scores_per_task: int = 500_000
 ) -> RankedScores:
     """Rows without a score or a label cannot be ranked and are left out."""
     value = F.col(score).cast("double")

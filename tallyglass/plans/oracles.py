@@ -78,36 +78,37 @@ _MARKET_COLUMNS = ", ".join(
         "user_id",
         _d("date"),
         "stock_id",
-        *[_r(c) for c in ("open_price", "close_price", "high_price", "low_price")],
+        "open_price",
+        "close_price",
+        "high_price",
+        "low_price",
         "volume",
-        _r("avg_volume_30d"),
+        "avg_volume_30d",
         "sector",
         "market_cap_category",
         "day_of_week",
     ]
 )
-_USER_COLUMNS = ", ".join([_d("last_purchase_date"), _d("as_of_date"), _r("risk_tolerance"), "purchased_stock"])
+_USER_COLUMNS = ", ".join([_d("last_purchase_date"), _d("as_of_date"), "risk_tolerance", "purchased_stock"])
 _FEATURE_COLUMNS = ", ".join(
     [
         _MARKET_COLUMNS,
         _USER_COLUMNS,
-        *[_r(c) for c in ("price_momentum", "volume_ratio", "volatility")],
-        "days_since_last_purchase",
+        *_DERIVED,
         *_ONE_HOT,
     ]
 )
-_DOUBLE_FEATURES = ("price_momentum", "volume_ratio", "volatility", "risk_tolerance")
 
 # --- scans ---
 
 ORACLES["scan_date_range"] = f"""
-SELECT event_id, user_id, {_d("ts").replace(" AS ts", " AS date")}, {_r("value")}
+SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, value
 FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-20'"""
 ORACLES["scan_user_range"] = f"""
-SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, {_r("o_totalprice")}
+SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, o_totalprice
 FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
 ORACLES["scan_default_range"] = f"""
-SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, {_r("value")}
+SELECT event_id, user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS date, value
 FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-29' AND DATE '2024-01-30'"""
 ORACLES["row_counts"] = _with(
     _DAILY,
@@ -126,7 +127,7 @@ FROM users WHERE date BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'""",
 ORACLES["join_market_user"] = _with(_DAILY, f"SELECT {_MARKET_COLUMNS}, {_USER_COLUMNS} FROM joined")
 for _name in ("price_momentum", "volume_ratio", "volatility"):
     ORACLES[_name] = _with(
-        _DAILY, f"SELECT user_id, {_d('date')}, {_r(_DERIVED[_name], _name)} FROM market"
+        _DAILY, f"SELECT user_id, {_d('date')}, {_DERIVED[_name]} AS {_name} FROM market"
     )
 ORACLES["days_since_last_purchase"] = _with(
     _DAILY,
@@ -163,8 +164,6 @@ def _aligned(fill: bool) -> str:
     for c in _SETTINGS.feature_columns:
         if c == "portfolio_diversity_score":
             columns.append(f"0 AS {c}")
-        elif c in _DOUBLE_FEATURES:
-            columns.append(_r(f"coalesce({c}, 0)" if fill else c, c))
         else:
             columns.append(f"coalesce({c}, 0) AS {c}" if fill else c)
     return ", ".join(columns)
@@ -175,8 +174,8 @@ ORACLES["align_features"] = _with(
 )
 ORACLES["fill_missing"] = _with(
     _FEATURES,
-    f"""SELECT user_id, {_d("date")}, {_r("coalesce(price_momentum, 0)", "price_momentum")},
-  {_r("coalesce(volume_ratio, 0)", "volume_ratio")}, {_r("coalesce(volatility, 0)", "volatility")},
+    f"""SELECT user_id, {_d("date")}, coalesce(price_momentum, 0) AS price_momentum,
+  coalesce(volume_ratio, 0) AS volume_ratio, coalesce(volatility, 0) AS volatility,
   coalesce(days_since_last_purchase, 0) AS days_since_last_purchase, purchased_stock
 FROM features""",
 )
@@ -200,7 +199,7 @@ FROM events"""
 # --- decisions ---
 
 ORACLES["threshold_predictions"] = """
-SELECT doc_id, round(n_chars / (n_chars + 1000.0::DOUBLE), 6) AS probability,
+SELECT doc_id, n_chars / (n_chars + 1000.0::DOUBLE) AS probability,
        CASE WHEN n_chars / (n_chars + 1000.0::DOUBLE) >= 0.5 THEN 1 ELSE 0 END AS prediction
 FROM documents"""
 
@@ -273,7 +272,7 @@ _METRIC_NAMES = (
     "true_positive_rate",
     "false_positive_rate",
 )
-_METRIC_COLUMNS = ", ".join(f'round("{m}", 6) AS "{m}"' for m in _METRIC_NAMES)
+_METRIC_COLUMNS = ", ".join(f'"{m}"' for m in _METRIC_NAMES)
 
 for _suffix, _on in (("", "user_id"), ("_by_date", "user_id, date")):
     _paired = f"{_DECISIONS},\npaired AS (SELECT * FROM predictions JOIN actuals USING ({_on}))"
@@ -319,13 +318,12 @@ FROM ranked""",
 )
 ORACLES["pr_curve"] = _with(
     _CURVE,
-    """SELECT round(threshold, 6) AS threshold, round(tp, 6) AS tp, round(fp, 6) AS fp,
-       round("precision", 6) AS "precision", round(recall, 6) AS recall FROM curve""",
+    'SELECT threshold, tp, fp, "precision", recall FROM curve',
 )
 ORACLES["best_f1_threshold"] = _with(
     _CURVE,
     """SELECT round(2 * recall * "precision" / (recall + "precision" + 1e-8), 6) AS best_f1,
-       round(threshold, 6) AS best_threshold
+       threshold AS best_threshold
 FROM curve ORDER BY 2 * recall * "precision" / (recall + "precision" + 1e-8) DESC, threshold LIMIT 1""",
 )
 
@@ -376,7 +374,7 @@ _LINES = ",\n".join(
         _stats("past", "early", _DRIFT_COLUMNS),
     ]
 )
-_STATS_COLUMNS = "feature, " + ", ".join(_r(c) for c in ("mean", "stddev", "min", "max"))
+_STATS_COLUMNS = f"feature, {_r('mean')}, {_r('stddev')}, min, max"
 
 ORACLES["drift_stats"] = _with(
     _LINES,
@@ -393,13 +391,13 @@ ORACLES["alerts"] = _with(
     _RUN,
     """SELECT 'data_drift' AS alert, CAST(1 AS DOUBLE) AS value FROM (SELECT bool_or(drift_detected) AS d FROM report)
 WHERE d
-UNION ALL SELECT 'low_accuracy', round(accuracy, 6) FROM metrics WHERE accuracy < 0.7""",
+UNION ALL SELECT 'low_accuracy', accuracy FROM metrics WHERE accuracy < 0.7""",
 )
 ORACLES["metric_log"] = _with(
     _RUN,
     "\nUNION ALL ".join(
         [
-            f"""SELECT 'run-1' AS run_id, 'performance_{m}' AS metric, round("{m}", 6) AS value FROM metrics"""
+            f"""SELECT 'run-1' AS run_id, 'performance_{m}' AS metric, "{m}" AS value FROM metrics"""
             for m in _METRIC_NAMES
         ]
         + [
@@ -430,8 +428,7 @@ paired AS (SELECT * FROM predictions JOIN actuals USING (user_id))""",
 ORACLES["monitoring_report"] = _with(
     _MONITORED,
     f"""SELECT '2024-01-30T00:00:00' AS timestamp, '{_SETTINGS.model_version}' AS model_version,
-  round(total_predictions, 6) AS total_predictions, round(accuracy, 6) AS accuracy,
-  round(f1_score, 6) AS f1_score, any_drift_detected, feature,
+  total_predictions, accuracy, f1_score, any_drift_detected, feature,
   round(CASE WHEN isinf(mean_diff_pct) THEN NULL ELSE mean_diff_pct END, 6) AS mean_diff_pct,
   round(CASE WHEN isinf(stddev_diff_pct) THEN NULL ELSE stddev_diff_pct END, 6) AS stddev_diff_pct,
   drift_detected
@@ -441,10 +438,10 @@ FROM report, metrics, (SELECT coalesce(bool_or(drift_detected), false) AS any_dr
 # --- round trips ---
 
 _EVENT_PREDICTIONS = """
-SELECT CAST(user_id AS VARCHAR) AS user_id, round(value / (value + 100), 6) AS probability,
+SELECT CAST(user_id AS VARCHAR) AS user_id, value / (value + 100) AS probability,
        CASE WHEN value / (value + 100) >= 0.5 THEN 1 ELSE 0 END AS prediction,
        CAST(CAST(ts AS DATE) AS VARCHAR) AS prediction_date
 FROM events WHERE CAST(ts AS DATE) BETWEEN """
 ORACLES["predictions_last_n_days"] = _EVENT_PREDICTIONS + "DATE '2024-01-23' AND DATE '2024-01-30'"
 ORACLES["predictions_empty"] = _EVENT_PREDICTIONS + "DATE '2029-12-25' AND DATE '2030-01-01'"
-ORACLES["latest_snapshot"] = "SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders"
+ORACLES["latest_snapshot"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"

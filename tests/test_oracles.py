@@ -24,7 +24,7 @@ def duck(sf_dir):
 
 def plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else value + 0.0
     return value
 
 
