@@ -69,6 +69,9 @@ class Settings:
     # Stop boosting once the loss on the test rows improves by less than this; None runs all rounds.
     early_stopping_tol: float | None = None
 
+    # Salt join keys above this share of the market rows; None leaves skew to adaptive execution.
+    hot_key_share: float | None = None
+
     # A category list longer than this is an error, since every value becomes a column.
     max_categories: int = 10_000
 

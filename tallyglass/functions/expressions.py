@@ -43,9 +43,20 @@ def share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def indicator(column: str, value: str) -> Column:
-    """1 where the column equals the value, else 0, null included."""
-    return F.coalesce((F.col(column) == F.lit(value)).cast("int"), F.lit(0))
+def name_sql(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def text_sql(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def indicator_sql(column: str, value: str) -> str:
+    """1 where the column equals the value, else 0, null included.
+
+    As text: a wide projection is then handed to Spark in one call instead of hundreds.
+    """
+    return f"coalesce(CAST({name_sql(column)} = {text_sql(value)} AS INT), 0)"
 
 
 def in_test_share(keys: Sequence[str], test_size: float, seed: int) -> Column:

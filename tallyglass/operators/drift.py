@@ -7,23 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.functions.expressions import above
+from tallyglass.functions.expressions import above, name_sql, text_sql
 
 
 def drift_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, sample standard deviation, minimum and maximum: one row per column, one pass."""
 
-    def stats(c: str) -> Column:
-        x = F.col(c).cast("double")
-        return F.struct(
-            F.lit(c).alias("feature"),
-            F.avg(x).alias("mean"),
-            F.stddev(x).alias("stddev"),
-            F.min(x).alias("min"),
-            F.max(x).alias("max"),
+    def stats(c: str) -> str:
+        x = f"CAST({name_sql(c)} AS DOUBLE)"
+        return (
+            f"named_struct('feature', {text_sql(c)}, 'mean', avg({x}), 'stddev', stddev({x}), "
+            f"'min', min({x}), 'max', max({x}))"
         )
 
-    wide = df.agg(*[stats(c).alias(f"s{i}") for i, c in enumerate(columns)])
+    wide = df.selectExpr(*[f"{stats(c)} AS s{i}" for i, c in enumerate(columns)])
     return wide.select(F.inline(F.array(*wide.columns)))
 
 

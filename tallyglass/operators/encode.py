@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.functions.expressions import indicator
+from tallyglass.functions.expressions import indicator_sql, name_sql
 
 
 def distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -38,16 +38,17 @@ def one_hot(df: DataFrame, vocabulary: dict[str, Sequence[str]]) -> DataFrame:
 
     A null or a value outside the vocabulary gives zeros.
     """
-    return df.withColumns(
-        {f"{c}_{v}": indicator(c, v) for c, values in vocabulary.items() for v in values}
-    )
+    encoded = {f"{c}_{v}": indicator_sql(c, v) for c, values in vocabulary.items() for v in values}
+    kept = [name_sql(c) for c in df.columns if c not in encoded]
+    return df.selectExpr(*kept, *[f"{x} AS {name_sql(n)}" for n, x in encoded.items()])
 
 
 def align(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` and then the features in the given order; a missing feature is zero."""
     present = set(df.columns)
-    return df.select(
-        *keep, *[F.col(c) if c in present else F.lit(0).alias(c) for c in features]
+    return df.selectExpr(
+        *map(name_sql, keep),
+        *[name_sql(c) if c in present else f"0 AS {name_sql(c)}" for c in features],
     )
 
 

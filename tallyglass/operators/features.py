@@ -46,18 +46,17 @@ def engineer_features(
     user: DataFrame,
     settings: Settings,
     vocabulary: dict[str, tuple[str, ...]] | None = None,
-    hot_share: float | None = None,
 ) -> DataFrame:
     """Join, derived columns and one-hot columns.
 
-    Without a given vocabulary the categories are learned from the market rows, which is one
-    extra job over the category columns only, before the join.
+    Without a given vocabulary the categories are those of the joined rows. That is one extra job
+    for all categorical columns together, reading only them and the join keys.
     """
-    columns = [c for c in settings.categorical_columns if c in market.columns]
+    joined = join_market_user(market, user, settings.key_columns, settings.hot_key_share)
+    columns = [c for c in settings.categorical_columns if c in joined.columns]
     if vocabulary is None:
-        vocabulary = learn_vocabulary(market, columns, settings.max_categories)
+        vocabulary = learn_vocabulary(joined, columns, settings.max_categories)
     vocabulary = {c: v for c, v in vocabulary.items() if c in columns}
-    joined = join_market_user(market, user, settings.key_columns, hot_share)
     return joined.transform(add_market_features).transform(add_user_features).transform(one_hot, vocabulary)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyglass.config import VOCABULARY, Settings
-from tallyglass.functions.expressions import decide, in_test_share
+from tallyglass.functions.expressions import decide, in_test_share, name_sql
 from tallyglass.operators import curves, drift, quality
 from tallyglass.operators.encode import (
     align,
@@ -83,14 +83,15 @@ def shown(df: DataFrame, *rounded: str) -> DataFrame:
     engine and stay as they are.
     """
 
-    def present(field: T.StructField):
+    def present(field: T.StructField) -> str:
+        name = name_sql(field.name)
         if field.name in rounded:
-            return F.round(field.name, 6).alias(field.name)
+            return f"round({name}, 6) AS {name}"
         if isinstance(field.dataType, T.DateType):
-            return F.col(field.name).cast("string").alias(field.name)
-        return F.col(field.name)
+            return f"CAST({name} AS STRING) AS {name}"
+        return name
 
-    return df.select([present(f) for f in df.schema])
+    return df.selectExpr(*[present(f) for f in df.schema])
 
 
 # --- tables -------------------------------------------------------------------------------------
