@@ -3,8 +3,9 @@
 All three need, for every distinct score, how many rows lie below it. Rows are first counted per
 score (partial aggregation, so a score shared by a third of the rows is one row per map task),
 the counts are materialised once, and the running totals are taken in score ranges: each range
-sums up on its own and starts from the totals of the ranges below. No task sees more than about
-``scores_per_task`` distinct scores.
+sums up on its own and starts from the totals of the ranges below. A range holds about
+``scores_per_range`` distinct scores, or ``1 / MAX_RANGES`` of them where there are more; the bounds
+of the ranges are all that the driver sees.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 
 from tallyglass.session import durable
 
-# From sklearn-style F1: keeps the quotient defined where precision and recall are both zero.
+# Fixed value: keeps the quotient defined where precision and recall are both zero.
 F1_EPSILON = 1e-8
+MAX_RANGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -32,7 +34,7 @@ class RankedScores:
 
 
 def rank_scores(
-    df: DataFrame, score: str = "probability", label: str = "label", scores_per_task: int = 500_000
+    df: DataFrame, score: str = "probability", label: str = "label", scores_per_range: int = 100_000
 ) -> RankedScores:
     """Rows without a score or a label cannot be ranked and are left out."""
     value = F.col(score).cast("double")
@@ -52,7 +54,7 @@ def rank_scores(
         )
     )
     size = seen.get
-    ranges = max(1, math.ceil(size["scores"] / scores_per_task))
+    ranges = min(MAX_RANGES, max(1, math.ceil(size["scores"] / scores_per_range)))
     return RankedScores(
         _running_totals(counts, ranges), size["positives"] or 0.0, size["negatives"] or 0.0
     )

@@ -12,14 +12,9 @@ from tallyglass.sources.snapshots import COMMIT_SCHEMA
 
 
 def write_by_partition(df: DataFrame, root: str, column: str) -> None:
-    """Replace the partitions present in ``df`` and leave the others.
-
-    The rebalance hint gathers a partition value's rows into few files, and adaptive execution
-    splits a value that holds a large part of the rows over several tasks.
-    """
+    """Replace the partitions present in ``df`` and leave the others."""
     (
-        df.hint("rebalance", column)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(root)
@@ -27,9 +22,16 @@ def write_by_partition(df: DataFrame, root: str, column: str) -> None:
 
 
 def save_predictions(scored: DataFrame, root: str, as_of: dt.date | None = None) -> str:
-    """Write scored rows below ``prediction_date``; the date is ``as_of`` unless already a column."""
+    """Write scored rows below ``prediction_date``; the date is ``as_of`` unless already a column.
+
+    Rows of one date are written by the tasks that scored them, without a shuffle. Rows of many
+    dates are first rebalanced by date, so that each date gets few files; adaptive execution splits
+    a date that holds a large part of the rows over several tasks.
+    """
     if as_of is not None:
         scored = scored.withColumn("prediction_date", F.lit(as_of))
+    else:
+        scored = scored.hint("rebalance", "prediction_date")
     columns = [
         F.col(f.name).cast(f.dataType).alias(f.name)
         if f.name in scored.columns

@@ -81,8 +81,8 @@ def test_curves_equal_brute_force(spark, rows):
     rows = [*rows, (3, True), (4, False)]
     scores, labels = zip(*rows)
     df = scored(spark, scores, labels)
-    for per_task in (1_000_000, 3):
-        ranked = rank_scores(df, scores_per_task=per_task)
+    for per_range in (1_000_000, 3):
+        ranked = rank_scores(df, scores_per_range=per_range)
         assert roc_auc(ranked).first().auc == pytest.approx(brute_auc(scores, labels), abs=1e-12)
         curve = pr_curve(ranked)
         points = {r.threshold: (r.precision, r.recall) for r in curve.collect()}
@@ -104,7 +104,7 @@ def test_auc_over_many_ranges_and_a_hot_score(spark):
     labels = rng.random(4000) < scores
     df = scored(spark, scores, labels)
     one = roc_auc(rank_scores(df)).first().auc
-    many = roc_auc(rank_scores(df, scores_per_task=100)).first().auc
+    many = roc_auc(rank_scores(df, scores_per_range=100)).first().auc
     assert many == pytest.approx(one, abs=1e-12)
     monotone = df.withColumn("probability", F.exp("probability") * 3)
     assert roc_auc(rank_scores(monotone)).first().auc == pytest.approx(one, abs=1e-12)
