@@ -22,6 +22,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--training-days", type=int, help="train on the last days; default all rows")
     parser.add_argument("--score-yesterday", action="store_true", help="score yesterday's rows only")
     parser.add_argument("--requests", help="folder of request files, for the stream job")
+    parser.add_argument("--every", help="keep the stream job running at this interval")
     given = parser.parse_args(arguments)
 
     settings = Settings.from_json(given.config, as_of=given.as_of)
@@ -47,7 +48,10 @@ def main(arguments: list[str] | None = None) -> None:
         scored = score_requests(
             read_requests(spark, given.requests), model.score, model.threshold, settings, now
         )
-        start_scoring(scored, f"{store}/online_predictions", f"{store}/stream_checkpoint").awaitTermination()
+        query = start_scoring(
+            scored, f"{store}/online_predictions", f"{store}/stream_checkpoint", given.every
+        )
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

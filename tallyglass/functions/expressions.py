@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -59,6 +60,11 @@ def indicator_sql(column: str, value: str) -> str:
     return f"coalesce(CAST({name_sql(column)} = {text_sql(value)} AS INT), 0)"
 
 
+def moment(at: dt.datetime) -> Column:
+    """A constant timestamp, read as wall-clock time of the session's zone."""
+    return F.lit(at.isoformat(" ")).cast("timestamp")
+
+
 def in_test_share(keys: Sequence[str], test_size: float, seed: int) -> Column:
     """True for rows whose hashed key falls in the test share.
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyglass.functions.expressions import moment
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     """Columns a metric log accepts: numbers and flags."""
@@ -32,7 +34,7 @@ def metric_rows(df: DataFrame) -> DataFrame:
 def log_metrics(metrics: DataFrame, path: str, run_id: str, logged_at: dt.datetime) -> None:
     (
         metrics.select(
-            F.lit(run_id).alias("run_id"), "metric", "value", F.lit(logged_at).alias("logged_at")
+            F.lit(run_id).alias("run_id"), "metric", "value", moment(logged_at).alias("logged_at")
         )
         .coalesce(1)
         .write.mode("append")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyglass.config import Settings
-from tallyglass.functions.expressions import decide
+from tallyglass.functions.expressions import decide, moment
 from tallyglass.operators.encode import fill_missing
 from tallyglass.operators.features import request_features
 from tallyglass.sources.predictions import PREDICTION_SCHEMA
@@ -63,7 +63,7 @@ def score_requests(
         "stock_id",
         "probability",
         decide(F.col("probability"), threshold).alias("prediction"),
-        F.lit(scored_at).alias("prediction_time"),
+        moment(scored_at).alias("prediction_time"),
         F.lit(settings.model_version).alias("model_version"),
         F.lit(settings.as_of).alias("prediction_date"),
     )
@@ -74,14 +74,18 @@ def batch_response(scored: DataFrame, model_version: str) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("count")).withColumn("model_version", F.lit(model_version))
 
 
-def start_scoring(scored: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def start_scoring(
+    scored: DataFrame, root: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Append to a prediction root of the stream's own; file log and checkpoint make the output
-    exactly-once. Everything available is processed in bounded batches, then the query ends."""
+    exactly-once. Everything available is processed in bounded batches, then the query ends; with
+    ``every`` (such as "10 seconds") it keeps waiting for new files."""
+    when = {"processingTime": every} if every else {"availableNow": True}
     return (
         scored.select(PREDICTION_SCHEMA.fieldNames())
         .writeStream.format("parquet")
         .partitionBy("prediction_date")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**when)
         .start(root)
     )
