@@ -190,6 +190,19 @@ ORACLES["standard_scale"] = (
     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _DRIFT_COLUMNS)
     + " FROM lineitem) AS statistics"
 )
+_SCALED = ("price_momentum", "volume_ratio", "volatility", "days_since_last_purchase", "risk_tolerance")
+ORACLES["scaled_features"] = _with(
+    _FEATURES
+    + ",\nfilled AS (SELECT user_id, date, "
+    + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in _SCALED)
+    + " FROM features),\nstatistics AS (SELECT "
+    + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SCALED)
+    + " FROM filled WHERE substr(md5('42:' || CAST(user_id AS VARCHAR) || ':' || CAST(date AS VARCHAR)), 1, 8)"
+    + " >= '33333333')",
+    f"SELECT user_id, {_d('date')}, "
+    + ", ".join(_r(f"({c} - m_{c}) / s_{c}", c) for c in _SCALED)
+    + " FROM filled, statistics",
+)
 ORACLES["train_test_split"] = """
 SELECT event_id,
        CASE WHEN substr(md5('42:' || CAST(event_id AS VARCHAR)), 1, 8) < '33333333' THEN 'test'
@@ -443,5 +456,13 @@ SELECT CAST(user_id AS VARCHAR) AS user_id, value / (value + 100) AS probability
        CAST(CAST(ts AS DATE) AS VARCHAR) AS prediction_date
 FROM events WHERE CAST(ts AS DATE) BETWEEN """
 ORACLES["predictions_last_n_days"] = _EVENT_PREDICTIONS + "DATE '2024-01-23' AND DATE '2024-01-30'"
+ORACLES["predictions_two_roots"] = _with(
+    _REQUESTS,
+    """SELECT user_id, stock_id, probability, prediction, prediction_date FROM decided
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), NULL, round(value / (value + 100), 6),
+       CASE WHEN value / (value + 100) >= 0.5 THEN 1 ELSE 0 END, CAST(CAST(ts AS DATE) AS VARCHAR)
+FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'""",
+)
 ORACLES["predictions_empty"] = _EVENT_PREDICTIONS + "DATE '2029-12-25' AND DATE '2030-01-01'"
 ORACLES["latest_snapshot"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"

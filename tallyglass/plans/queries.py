@@ -30,6 +30,7 @@ from tallyglass.operators.features import (
 )
 from tallyglass.operators.model import load_model, model_info
 from tallyglass.operators.scale import fit_scaler, scale
+from tallyglass.operators.split import train_test_split
 from tallyglass.plans.batch import model_frame, run_batch, train_or_load
 from tallyglass.plans.monitoring import alerts, prediction_quality, run_monitoring
 from tallyglass.session import scratch_path
@@ -289,6 +290,18 @@ def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(scale(lines, fit_scaler(lines, DRIFT_COLUMNS)), *DRIFT_COLUMNS)
 
 
+@query("scaled_features")
+def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row scaled by the statistics of the training rows alone."""
+    columns = [c for c in SETTINGS.scaled_columns if c != "portfolio_diversity_score"]
+    rows = all_features(spark, sf_dir).select(*SETTINGS.key_columns, *columns)
+    filled = fill_missing(rows, columns, SETTINGS.fill_value).withColumn(
+        "days_since_last_purchase", F.col("days_since_last_purchase").cast("double")
+    )
+    train, _ = train_test_split(filled, SETTINGS.key_columns, SETTINGS.test_size, SETTINGS.random_seed)
+    return shown(scale(filled, fit_scaler(train, columns)), *columns)
+
+
 @query("train_test_split")
 def train_test_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = in_test_share(["event_id"], SETTINGS.test_size, SETTINGS.random_seed)
@@ -334,21 +347,22 @@ def scoring_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("score_output")
-def score_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_requests(
+def _scored_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_requests(
         scoring_requests(spark, sf_dir), formula_scorer, SETTINGS.prediction_threshold, SETTINGS, RUN_TIME
     )
+
+
+@query("score_output")
+def score_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = _scored_requests(spark, sf_dir)
     text = F.date_format("prediction_time", "yyyy-MM-dd HH:mm:ss")
     return shown(scored.withColumn("prediction_time", text), "probability")
 
 
 @query("score_summary")
 def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_requests(
-        scoring_requests(spark, sf_dir), formula_scorer, SETTINGS.prediction_threshold, SETTINGS, RUN_TIME
-    )
-    return batch_response(scored, SETTINGS.model_version)
+    return batch_response(_scored_requests(spark, sf_dir), SETTINGS.model_version)
 
 
 @query("stream_scoring")
@@ -538,6 +552,16 @@ def predictions_last_n_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(recent.select("user_id", "probability", "prediction", "prediction_date"))
 
 
+@query("predictions_two_roots")
+def predictions_two_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of a batch writer and of a scoring writer, read as one table."""
+    root = scratch_path(spark, "predictions")
+    batch = save_predictions(event_predictions(spark, sf_dir), f"{root}/batch")
+    online = save_predictions(_scored_requests(spark, sf_dir), f"{root}/online", AS_OF)
+    both = read_predictions(spark, [batch, online], AS_OF, 7)
+    return shown(both.drop("prediction_time", "model_version"), "probability")
+
+
 @query("predictions_empty")
 def predictions_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A window after the last written day: typed, and without rows."""
