@@ -18,7 +18,8 @@ from tallyglass.operators.curves import best_f1, pr_curve, rank_scores, roc_auc
 from tallyglass.operators.encode import with_label
 from tallyglass.operators.scale import fit_scaler
 from tallyglass.operators.split import train_test_split
-from tallyglass.session import shared_dir
+from tallyglass.session import one_row, shared_dir
+from tallyglass.sinks.metrics import metric_rows
 from tallyglass.sources.predictions import read_or_none
 
 INFO_SCHEMA = T.StructType(
@@ -144,8 +145,10 @@ def train_model(features: DataFrame, settings: Settings) -> Model:
 def save_model(spark: SparkSession, model: Model, path: str) -> None:
     """The pipeline first and its one-row description last: a described model is complete."""
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    info = spark.createDataFrame([model.info], INFO_SCHEMA)
-    info.coalesce(1).write.mode("overwrite").parquet(f"{path}/info")
+    values = dict(zip(INFO_SCHEMA.fieldNames(), model.info))
+    params = [F.lit(part) for pair in values.pop("params").items() for part in pair]
+    columns = {name: F.lit(value) for name, value in values.items()} | {"params": F.create_map(*params)}
+    one_row(spark, columns, INFO_SCHEMA).write.mode("overwrite").parquet(f"{path}/info")
 
 
 def model_info(spark: SparkSession, path: str) -> DataFrame | None:
@@ -166,6 +169,7 @@ def training_metrics(spark: SparkSession, model: Model) -> DataFrame:
     names = INFO_SCHEMA.fieldNames()
     info = dict(zip(names, model.info))
     metrics = {"auc": info["auc"], "best_f1": info["best_f1"], "best_threshold": info["threshold"]}
-    return spark.createDataFrame(list(metrics.items()), "metric string, value double")
+    schema = T.StructType([T.StructField(name, T.DoubleType()) for name in metrics])
+    return metric_rows(one_row(spark, {k: F.lit(v) for k, v in metrics.items()}, schema))
 
 

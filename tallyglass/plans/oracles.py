@@ -181,7 +181,8 @@ FROM features""",
 )
 ORACLES["feature_matrix"] = _with(
     _FEATURES,
-    f"SELECT user_id, {_d('date')}, {_aligned(fill=True)}, purchased_stock FROM features WHERE purchased_stock IS NOT NULL",
+    f"SELECT user_id, {_d('date')}, {_aligned(fill=True)}, purchased_stock FROM features "
+    "WHERE purchased_stock IS NOT NULL",
 )
 ORACLES["standard_scale"] = (
     "SELECT l_orderkey, l_linenumber, "

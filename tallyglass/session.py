@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(name: str = "tallyglass", cores: int | str | None = None) -> SparkSession:
@@ -49,7 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def kept(df: DataFrame) -> DataFrame:
     """Evaluate a result of fixed size (a few rows, whatever the input) once for several uses."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
+def one_row(spark: SparkSession, columns: dict[str, Column], schema: T.StructType) -> DataFrame:
+    """A single row of constants, made by Spark itself without a Python worker."""
+    return spark.range(0, 1, 1, 1).select(
+        [columns[f.name].cast(f.dataType).alias(f.name) for f in schema]
+    )
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tallyglass.session import one_row
 from tallyglass.sources.predictions import PREDICTION_SCHEMA
 from tallyglass.sources.snapshots import COMMIT_SCHEMA
 
@@ -54,6 +55,7 @@ def save_snapshot(df: DataFrame, root: str, stamp: str) -> int:
         .parquet(f"{root}/rows/snapshot_ts={stamp}")
     )
     rows = seen.get["rows"]
-    commit = df.sparkSession.createDataFrame([(stamp, rows)], COMMIT_SCHEMA)
+    values = {"snapshot_ts": F.lit(stamp), "rows": F.lit(rows)}
+    commit = one_row(df.sparkSession, values, COMMIT_SCHEMA)
     commit.write.mode("append").parquet(f"{root}/commits")
     return rows
