@@ -125,6 +125,7 @@ FROM users WHERE date BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'""",
 # --- join and features ---
 
 ORACLES["join_market_user"] = _with(_DAILY, f"SELECT {_MARKET_COLUMNS}, {_USER_COLUMNS} FROM joined")
+ORACLES["join_market_user_salted"] = ORACLES["join_market_user"]
 for _name in ("price_momentum", "volume_ratio", "volatility"):
     ORACLES[_name] = _with(
         _DAILY, f"SELECT user_id, {_d('date')}, {_DERIVED[_name]} AS {_name} FROM market"
@@ -135,6 +136,10 @@ ORACLES["days_since_last_purchase"] = _with(
 FROM users""",
 )
 ORACLES["features"] = _with(_FEATURES, f"SELECT {_FEATURE_COLUMNS} FROM features")
+ORACLES["features_learned_vocab"] = _with(
+    _DAILY,
+    "\nUNION ALL ".join(f"SELECT user_id, {_d('date')}, '{c}_' || {c} AS feature FROM joined" for c in VOCABULARY),
+)
 ORACLES["features_yesterday"] = _with(
     _FEATURES, f"SELECT {_FEATURE_COLUMNS} FROM features WHERE date = DATE '2024-01-29'"
 )

@@ -205,6 +205,12 @@ def join_market_user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(join_market_user(market(spark, sf_dir), user(spark, sf_dir)))
 
 
+@query("join_market_user_salted")
+def join_market_user_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join, with frequent keys spread over sub-keys."""
+    return shown(join_market_user(market(spark, sf_dir), user(spark, sf_dir), hot_share=0.01))
+
+
 def _market_feature(name: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         return shown(add_market_features(bars(spark, sf_dir)).select("user_id", "date", name))
@@ -227,6 +233,18 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(all_features(spark, sf_dir))
 
 
+@query("features_learned_vocab")
+def features_learned_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns set by one-hot encoding with the categories found in the joined rows.
+
+    Which columns there are depends on the data, so they are listed as rows.
+    """
+    rows = engineer_features(market(spark, sf_dir), user(spark, sf_dir), SETTINGS)
+    encoded = [c for c in rows.columns if c.startswith(tuple(f"{v}_" for v in VOCABULARY))]
+    flags = rows.unpivot(["user_id", "date"], encoded, "feature", "value")
+    return shown(flags.where("value = 1").drop("value"))
+
+
 @query("features_yesterday")
 def features_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(all_features(spark, sf_dir, YESTERDAY, YESTERDAY))
