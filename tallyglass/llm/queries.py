@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.llm import ann, decontaminate, line_dedup, packing, simhash, substring_dedup, toxicity
+import corpus_pipeline
+from tallyglass.llm import (
+    ann,
+    credentials,
+    decontaminate,
+    html_extract,
+    language,
+    line_dedup,
+    packing,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from tallyglass.llm.rows import table
 
 
@@ -14,6 +26,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.classes(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -52,18 +68,44 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    spans = credentials.scan(docs, credentials.learn(docs)).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["kind"] != credentials.LEARNED)
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [
+        F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in credentials.KINDS
+    ]
+    return spans.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs)).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_html_extraction": op2_html_extraction,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_language": op9_language,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "pipeline": corpus_pipeline.run,
 }
 
 _OP1 = r"""
