@@ -88,22 +88,22 @@ class Codes:
         return self.languages[best], float(p[best]), bool(p[best] < CLEAR)
 
 
-def fit(x: np.ndarray, languages: list[str], rounds: int = 300, rate: float = 4.0, l2: float = 1e-5) -> Codes:
+def fit(x: np.ndarray, languages: list[str], rounds: int = 120, rate: float = 4.0, l2: float = 1e-5) -> Codes:
     """One logistic classifier per bit, each language weighing the same."""
     names = tuple(sorted(set(languages)))
     if len(names) < 2:
         return Codes(names, np.ones((len(names), 0)), np.zeros((FEATURES, 0)), np.zeros(0), np.zeros(0))
     y = np.array([names.index(v) for v in languages])
     code = codewords(len(names))
-    target = code[y]
-    weigh = (1 / np.bincount(y)[y] / len(names))[:, None]
-    weights, bias, speed = np.zeros((x.shape[1], code.shape[1])), np.zeros(code.shape[1]), 0.0
+    target = code[y].astype(np.float32)
+    weigh = (1 / np.bincount(y)[y] / len(names))[:, None].astype(np.float32)
+    weights, bias = np.zeros((x.shape[1], code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
+    speed = np.zeros_like(weights)
     for _ in range(rounds):
         slope = -target / (1 + np.exp(np.clip(target * (x @ weights + bias), -30, 30))) * weigh
-        step = x.T @ slope + l2 * weights
-        speed = 0.9 * speed + step
-        weights = weights - rate * speed
-        bias = bias - rate * slope.sum(axis=0)
+        speed = np.float32(0.9) * speed + x.T @ slope + np.float32(l2) * weights
+        weights = weights - np.float32(rate) * speed
+        bias = bias - np.float32(rate) * slope.sum(axis=0)
     right = ((np.sign(x @ weights + bias) == target) * weigh).sum(axis=0)
     # A bit no better than chance has no say; the weights sum to the number of bits.
     trust = np.clip(2 * right - 1, 0.01, 1)
