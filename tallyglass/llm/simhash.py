@@ -116,11 +116,12 @@ def _forest(adjacent: np.ndarray, n: int) -> list[tuple[int, int]]:
         unseen[root // 64] &= ~np.uint64(1 << root % 64)
         todo = [root]
         while todo:
-            new = adjacent[todo.pop()] & unseen
+            node = todo.pop()
+            new = adjacent[node] & unseen
             if new.any():
                 unseen &= ~new
                 found = np.flatnonzero(np.unpackbits(new.view(np.uint8), bitorder="little")).tolist()
-                links += [(root, x) for x in found]
+                links += [(node, x) for x in found]
                 todo += found
     return links
 
