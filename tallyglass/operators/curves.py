@@ -13,15 +13,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyglass.session import durable
 
 # Fixed value: keeps the quotient defined where precision and recall are both zero.
 F1_EPSILON = 1e-8
-MAX_RANGES = 10_000
+# Ranges whose totals are summed up together.
+RANGES_PER_GROUP = 1000
 
 
 @dataclass(frozen=True)
@@ -54,50 +54,46 @@ def rank_scores(
         )
     )
     size = seen.get
-    ranges = min(MAX_RANGES, max(1, math.ceil(size["scores"] / scores_per_range)))
-    return RankedScores(
-        _running_totals(counts, ranges), size["positives"] or 0.0, size["negatives"] or 0.0
-    )
+    # Two ranges at least, so that every size takes the same way.
+    ranges = max(2, math.ceil(size["scores"] / scores_per_range))
+    dealt = durable(counts.repartitionByRange(ranges, "score").withColumn("range", F.spark_partition_id()))
+    return RankedScores(_running_totals(dealt), size["positives"] or 0.0, size["negatives"] or 0.0)
 
 
-def _running_totals(counts: DataFrame, ranges: int) -> DataFrame:
-    below = (
-        Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    within_p = F.coalesce(F.sum("p").over(below), F.lit(0.0))
-    within_n = F.coalesce(F.sum(F.col("n") - F.col("p")).over(below), F.lit(0.0))
-    if ranges == 1:
-        return counts.withColumn("range", F.lit(0)).select(
-            "score", "n", "p", within_p.alias("p_below"), within_n.alias("n_below")
-        )
-    # Range bounds are a fixed number of quantiles of the distinct scores, so every evaluation of
-    # the plan cuts at the same places.
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(counts.approxQuantile("score", steps, 0.25 / ranges)))
-    cut = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="range", handleInvalid="error"
+def _before(column: str, by: str, *order: str) -> Column:
+    """The sum over the rows before this one, within ``by``."""
+    window = Window.partitionBy(by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(window), F.lit(0.0))
+
+
+def _running_totals(dealt: DataFrame) -> DataFrame:
+    """``dealt``: score, n, p and the range of the score; ranges ascend with the score."""
+    rows = dealt.withColumn("q", F.col("n") - F.col("p"))
+    totals = (
+        rows.groupBy("range")
+        .agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+        .withColumn("group", F.floor(F.col("range") / RANGES_PER_GROUP))
     )
-    tagged = cut.transform(counts)
-    totals = tagged.groupBy("range").agg(
-        F.sum("p").alias("p_range"), F.sum(F.col("n") - F.col("p")).alias("n_range")
+    groups = (
+        totals.groupBy("group")
+        .agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+        .withColumn("all", F.lit(0))
+        .select("group", _before("p", "all", "group").alias("p_groups"), _before("q", "all", "group").alias("q_groups"))
     )
-    # One row per range: bounded by ``ranges`` by construction.
-    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    offsets = totals.join(groups, "group").select(
         "range",
-        F.coalesce(F.sum("p_range").over(earlier), F.lit(0.0)).alias("p_before"),
-        F.coalesce(F.sum("n_range").over(earlier), F.lit(0.0)).alias("n_before"),
+        (F.col("p_groups") + _before("p", "group", "range")).alias("p_before"),
+        (F.col("q_groups") + _before("q", "group", "range")).alias("q_before"),
     )
-    return (
-        tagged.select("range", "score", "n", "p", within_p.alias("p_in"), within_n.alias("n_in"))
-        .join(F.broadcast(offsets), "range")
-        .select(
-            "score",
-            "n",
-            "p",
-            (F.col("p_in") + F.col("p_before")).alias("p_below"),
-            (F.col("n_in") + F.col("n_before")).alias("n_below"),
-        )
+    within = rows.select(
+        "range", "score", "n", "p", _before("p", "range", "score").alias("p_in"), _before("q", "range", "score").alias("q_in")
+    )
+    return within.join(offsets, "range").select(
+        "score",
+        "n",
+        "p",
+        (F.col("p_in") + F.col("p_before")).alias("p_below"),
+        (F.col("q_in") + F.col("q_before")).alias("n_below"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -23,22 +24,35 @@ def distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def learn_vocabulary(
-    df: DataFrame, columns: Sequence[str], max_categories: int = 10_000
-) -> dict[str, tuple[str, ...]]:
-    """Sorted categories per column. Every category becomes a column, so too many are an error."""
-    rows = distinct_categories(df, columns).limit(max_categories + 1).collect() if columns else []
-    if len(rows) > max_categories:
-        raise ValueError(f"more than {max_categories} categories in {', '.join(columns)}")
-    return {c: tuple(sorted(r.category for r in rows if r.column == c)) for c in columns}
+def encode_learned(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], categories: DataFrame | None = None
+) -> DataFrame:
+    """One-hot encoding with learned categories: the keys and ``feature``, one row per set indicator.
+
+    ``categories(column, category)``, as ``distinct_categories`` learns them from training rows, says which are known; values
+    outside it and nulls set nothing. Without it the rows' own values are the categories. However many there are, nothing is collected and no column is
+    added; Spark broadcasts the table if its size allows.
+    """
+    value = "__value"
+    long = df.select(
+        *keys, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in columns])).alias(value)
+    ).select(*keys, f"{value}.column", f"{value}.category")
+    long = long.where(F.col("category").isNotNull())
+    if categories is not None:
+        long = long.join(categories, ["column", "category"], "left_semi")
+    return long.select(*keys, F.concat_ws("_", "column", "category").alias("feature"))
 
 
 def one_hot(df: DataFrame, vocabulary: dict[str, Sequence[str]]) -> DataFrame:
-    """One 0/1 column ``{column}_{value}`` per vocabulary entry, added in a single projection.
+    """One 0/1 column ``{column}_{value}`` per entry of a given vocabulary, added in a single projection.
 
-    A null or a value outside the vocabulary gives zeros.
+    A null or a value outside the vocabulary gives zeros. Entries whose column names Spark cannot tell
+    apart, as it ignores case in names, are an error; ``encode_learned`` has no such limit.
     """
     encoded = {f"{c}_{v}": indicator_sql(c, v) for c, values in vocabulary.items() for v in values}
+    same = [n for n, k in Counter(name.lower() for name in encoded).items() if k > 1]
+    if same:
+        raise ValueError(f"categories that differ in case only: {', '.join(sorted(same))}")
     kept = [name_sql(c) for c in df.columns if c not in encoded]
     return df.selectExpr(*kept, *[f"{x} AS {name_sql(n)}" for n, x in encoded.items()])
 

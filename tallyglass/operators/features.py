@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tallyglass.config import VOCABULARY, Settings
 from tallyglass.functions import expressions as X
-from tallyglass.operators.encode import align, learn_vocabulary, one_hot
+from tallyglass.operators.encode import align, one_hot
 from tallyglass.operators.skew import salted_join
 
 KEYS = ("user_id", "date")
@@ -47,16 +47,13 @@ def engineer_features(
     settings: Settings,
     vocabulary: dict[str, tuple[str, ...]] | None = None,
 ) -> DataFrame:
-    """Join, derived columns and one-hot columns.
+    """Join, derived columns and the one-hot columns of a given vocabulary.
 
-    Without a given vocabulary the categories are those of the joined rows. That is one extra job
-    for all categorical columns together, reading only them and the join keys.
+    Without one the categorical columns stay as they are, for ``encode_learned``.
     """
     joined = join_market_user(market, user, settings.key_columns, settings.hot_key_share)
     columns = [c for c in settings.categorical_columns if c in joined.columns]
-    if vocabulary is None:
-        vocabulary = learn_vocabulary(joined, columns, settings.max_categories)
-    vocabulary = {c: v for c, v in vocabulary.items() if c in columns}
+    vocabulary = {c: v for c, v in (vocabulary or {}).items() if c in columns}
     return joined.transform(add_market_features).transform(add_user_features).transform(one_hot, vocabulary)
 
 
