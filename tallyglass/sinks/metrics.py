@@ -1,4 +1,4 @@
-"""Append-only metric history and the monitoring report."""
+"""The metric history, one partition a run, and the monitoring report."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyglass.functions.expressions import moment
+from tallyglass.sinks.tables import write_by_partition
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -32,20 +33,15 @@ def metric_rows(df: DataFrame) -> DataFrame:
 
 
 def log_metrics(metrics: DataFrame, path: str, run_id: str, logged_at: dt.datetime) -> None:
-    (
-        metrics.select(
-            F.lit(run_id).alias("run_id"), "metric", "value", moment(logged_at).alias("logged_at")
-        )
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(path)
-    )
+    """Add a run to the history, or put a repeated run in its own place."""
+    rows = metrics.select("metric", "value", moment(logged_at).alias("logged_at"), F.lit(run_id).alias("run_id"))
+    write_by_partition(rows.coalesce(1), path, "run_id")
 
 
 def report_json(
     performance: DataFrame, drift: DataFrame, features: list[str], model_version: str, written_at: dt.datetime
 ) -> DataFrame:
-    """One row, one column: the report document.
+    """One row, one column: the report document. Its keys are fixed values.
 
     The inputs hold one row and one row per feature. An infinite difference (a reference value of
     zero) is no valid JSON number and becomes null beside ``reference_is_zero``.

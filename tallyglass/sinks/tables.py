@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyglass.session import one_row
 from tallyglass.sources.predictions import PREDICTION_SCHEMA
-from tallyglass.sources.snapshots import COMMIT_SCHEMA
+from tallyglass.sources.snapshots import COMMIT_SCHEMA, commits, next_number
 
 
 def write_by_partition(df: DataFrame, root: str, column: str) -> None:
@@ -44,18 +45,16 @@ def save_predictions(scored: DataFrame, root: str, as_of: dt.date | None = None)
 
 
 def save_snapshot(df: DataFrame, root: str, stamp: str) -> int:
-    """Write a snapshot, then commit it; returns its row count, observed during the write.
+    """Write a snapshot into a folder of its own, then commit it; returns its row count, observed during the write.
 
-    A snapshot whose write did not finish has no commit and is never read.
+    A write that did not finish has no commit and is never read. Writing a stamp again leaves the
+    committed folder as it is, for readers and in case the new write fails.
     """
-    seen = Observation()
-    (
-        df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .parquet(f"{root}/rows/snapshot_ts={stamp}")
-    )
+    spark = df.sparkSession
+    seen, folder = Observation(), f"snapshot_ts={stamp}-{uuid.uuid4().hex}"
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{root}/rows/{folder}")
     rows = seen.get["rows"]
-    values = {"snapshot_ts": F.lit(stamp), "rows": F.lit(rows)}
-    commit = one_row(df.sparkSession, values, COMMIT_SCHEMA)
+    values = {"snapshot_ts": stamp, "rows": rows, "folder": folder, "number": next_number(commits(spark, root))}
+    commit = one_row(spark, {k: F.lit(v) for k, v in values.items()}, COMMIT_SCHEMA)
     commit.write.mode("append").parquet(f"{root}/commits")
     return rows

@@ -7,11 +7,12 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyglass.sources.tables import last_days
 
-# One schema for both writers: a batch run leaves stock_id and prediction_time null.
+# Column names of the prediction table. One schema for both writers: a batch run leaves stock_id and prediction_time null.
 PREDICTION_SCHEMA = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
@@ -35,19 +36,30 @@ def read_or_none(spark: SparkSession, path: str, schema: T.StructType, base: str
         return None
 
 
+def has_file_log(spark: SparkSession, root: str) -> bool:
+    """Whether a streaming sink wrote this root, which then has a log of its committed files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_spark_metadata")
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
 def read_predictions(spark: SparkSession, roots: list[str], as_of: dt.date, days: int = 7) -> DataFrame:
     """Predictions of the last days from every root, typed and empty if there are none.
 
-    The days are named in the path, so only their directories are listed, however long the table's
-    history is. A streaming root has its own file log and must not be shared with batch writers;
-    hence several roots and a union.
+    In a root that batch runs write, the days are named in the path, so only their directories are listed,
+    however long the table's history is. A root of a stream is read through its file log with a filter
+    on the date: files that a failed or repeated micro-batch left behind are not in the log and are not read. A
+    streaming root must not be shared with batch writers; hence several roots and a union.
     """
     first, last = last_days(as_of, days)
     dates = [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
     found = []
     for root in roots:
-        wanted = f"{root}/prediction_date={{{','.join(dates)}}}"
-        frame = read_or_none(spark, wanted, PREDICTION_SCHEMA, root)
+        if has_file_log(spark, root):
+            frame = spark.read.schema(PREDICTION_SCHEMA).parquet(root)
+            frame = frame.where(F.col("prediction_date").between(F.lit(first), F.lit(last)))
+        else:
+            wanted = f"{root}/prediction_date={{{','.join(dates)}}}"
+            frame = read_or_none(spark, wanted, PREDICTION_SCHEMA, root)
         if frame is not None:
             found.append(frame.select(PREDICTION_SCHEMA.fieldNames()))
     if not found:

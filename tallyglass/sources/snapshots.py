@@ -1,4 +1,8 @@
-"""Reading back the most recent processed snapshot."""
+"""Reading back processed snapshots.
+
+A snapshot is a folder that is written once and a row of the commit table that names it. Writing a stamp again adds a folder
+and a row with a higher number; what is committed never changes.
+"""
 
 from __future__ import annotations
 
@@ -9,19 +13,38 @@ from pyspark.sql import types as T
 from tallyglass.sources.predictions import read_or_none
 
 COMMIT_SCHEMA = T.StructType(
-    [T.StructField("snapshot_ts", T.StringType()), T.StructField("rows", T.LongType())]
+    [
+        T.StructField("snapshot_ts", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("number", T.LongType()),
+    ]
 )
 
 
-def latest_stamp(spark: SparkSession, root: str) -> str:
-    """Newest committed snapshot, from the small commit table; an error if there is none."""
-    commits = read_or_none(spark, f"{root}/commits", COMMIT_SCHEMA, f"{root}/commits")
-    newest = commits.agg(F.max("snapshot_ts")).first()[0] if commits is not None else None
-    if newest is None:
-        raise ValueError(f"no snapshot below {root}")
-    return newest
+def commits(spark: SparkSession, root: str) -> DataFrame | None:
+    return read_or_none(spark, f"{root}/commits", COMMIT_SCHEMA, f"{root}/commits")
+
+
+def next_number(table: DataFrame | None) -> int:
+    """One more than the highest number in a commit table."""
+    newest = table.agg(F.max("number")).first()[0] if table is not None else None
+    return 1 + (newest or 0)
+
+
+def read_snapshot(spark: SparkSession, root: str, stamp: str | None = None) -> DataFrame:
+    """All rows of the last commit of a stamp, by default the newest one; an error if there is none.
+
+    Other snapshots' folders are not even listed.
+    """
+    known = commits(spark, root)
+    if known is not None and stamp is not None:
+        known = known.where(F.col("snapshot_ts") == stamp)
+    last = known.orderBy(F.desc("snapshot_ts"), F.desc("number")).first() if known is not None else None
+    if last is None:
+        raise ValueError(f"no snapshot {stamp or ''} below {root}")
+    return spark.read.parquet(f"{root}/rows/{last.folder}")
 
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """All rows of the newest snapshot; other snapshots' directories are not even listed."""
-    return spark.read.parquet(f"{root}/rows/snapshot_ts={latest_stamp(spark, root)}")
+    return read_snapshot(spark, root)

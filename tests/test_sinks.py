@@ -13,7 +13,7 @@ from tallyglass.session import scratch_path
 from tallyglass.sinks.metrics import flatten_metrics, log_metrics, metric_rows, report_json, save_report
 from tallyglass.sinks.tables import save_predictions, save_snapshot
 from tallyglass.sources.predictions import PREDICTION_SCHEMA, read_predictions
-from tallyglass.sources.snapshots import read_latest_snapshot
+from tallyglass.sources.snapshots import read_latest_snapshot, read_snapshot
 
 NOW = dt.datetime(2024, 1, 30, 6, 0)
 
@@ -78,6 +78,34 @@ def test_latest_snapshot_ignores_older_and_uncommitted(spark):
     assert read_latest_snapshot(spark, root).count() == 7
 
 
+def test_rewritten_snapshot_is_read_by_its_last_commit(spark):
+    root = scratch_path(spark, "s")
+    save_snapshot(spark.range(5), root, "20240101_000000")
+    save_snapshot(spark.range(3), root, "20240201_000000")
+    save_snapshot(spark.range(8), root, "20240101_000000")
+    assert read_snapshot(spark, root, "20240101_000000").count() == 8
+    assert read_latest_snapshot(spark, root).count() == 3
+    with pytest.raises(ValueError, match="no snapshot"):
+        read_snapshot(spark, root, "20230101_000000")
+
+
+def test_failed_rewrite_leaves_the_committed_snapshot(spark):
+    root = scratch_path(spark, "s")
+    save_snapshot(spark.range(5), root, "20240101_000000")
+    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        save_snapshot(broken, root, "20240101_000000")
+    assert sorted(r.id for r in read_snapshot(spark, root, "20240101_000000").collect()) == list(range(5))
+
+
+def test_repeated_run_replaces_its_metrics(spark):
+    performance, drift = parts(spark)
+    path = scratch_path(spark, "m")
+    for run in ("r1", "r2", "r1"):
+        log_metrics(flatten_metrics(performance, any_drift(drift)), path, run, NOW)
+    assert {tuple(r) for r in spark.read.parquet(path).groupBy("run_id").count().collect()} == {("r1", 8), ("r2", 8)}
+
+
 def parts(spark, accuracy_ok=True):
     pairs = [(1, 1.0), (0, 0.0), (1, 0.0 if not accuracy_ok else 1.0)]
     performance = classification_metrics(
