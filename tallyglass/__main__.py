@@ -5,13 +5,12 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import SparkSession
-
 from tallyglass.config import Settings
 from tallyglass.operators.model import load_model
 from tallyglass.plans.batch import all_stored_features, run_batch, training_window, yesterday_features
 from tallyglass.plans.monitoring import run_daily_monitoring
-from tallyglass.streaming.scoring import read_requests, score_requests, start_scoring
+from tallyglass.session import job_session
+from tallyglass.streaming.scoring import read_requests, score_requests, start_rejects, start_scoring
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -23,18 +22,20 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--score-yesterday", action="store_true", help="score yesterday's rows only")
     parser.add_argument("--requests", help="folder of request files, for the stream job")
     parser.add_argument("--every", help="keep the stream job running at this interval")
+    parser.add_argument("--retrain", action="store_true", help="train anew even if there is a model")
+    parser.add_argument("--at", type=dt.time.fromisoformat, default=dt.time(), help="time of the run; default midnight")
     given = parser.parse_args(arguments)
 
     settings = Settings.from_json(given.config, as_of=given.as_of)
-    spark = SparkSession.builder.appName(f"tallyglass-{given.job}").getOrCreate()
-    now = dt.datetime.combine(given.as_of, dt.datetime.now().time().replace(microsecond=0))
+    spark = job_session(f"tallyglass-{given.job}")
+    now = dt.datetime.combine(given.as_of, given.at)
     if given.job == "batch":
         if given.training_days is None:
             rows = all_stored_features(spark, settings)
         else:
             rows = training_window(spark, settings, given.training_days)
         scoring = yesterday_features(spark, settings) if given.score_yesterday else None
-        print(run_batch(rows, settings, settings.store_path, scoring))
+        print(run_batch(rows, settings, settings.store_path, scoring, given.retrain))
     elif given.job == "monitor":
         result = run_daily_monitoring(spark, settings, now)
         for alert in result.alerts.collect():
@@ -42,16 +43,19 @@ def main(arguments: list[str] | None = None) -> None:
         print(result.report_path)
     else:
         store = settings.store_path
-        model = load_model(spark, f"{store}/model")
+        model = load_model(spark, f"{store}/{settings.model_prefix}")
         if model is None:
             raise SystemExit(f"no model below {store}")
-        scored = score_requests(
-            read_requests(spark, given.requests), model.score, model.threshold, settings, now
-        )
-        query = start_scoring(
-            scored, f"{store}/online_predictions", f"{store}/stream_checkpoint", given.every
-        )
-        query.awaitTermination()
+        requests = read_requests(spark, given.requests)
+        # A stream that keeps running stamps each micro-batch with its own time.
+        scored_at = None if given.every else now
+        scored = score_requests(requests, model.score, model.threshold, settings, scored_at)
+        queries = [
+            start_scoring(scored, f"{store}/online_predictions", f"{store}/stream_checkpoint", given.every),
+            start_rejects(requests, f"{store}/rejected_requests", f"{store}/rejects_checkpoint", given.every),
+        ]
+        for query in queries:
+            query.awaitTermination()
 
 
 if __name__ == "__main__":

@@ -33,6 +33,10 @@ DERIVED = ("price_momentum", "volume_ratio", "volatility", "days_since_last_purc
 USER_SCORES = ("portfolio_diversity_score", "risk_tolerance")
 
 
+# Training parameters of the usual boosting libraries that Spark's trees do not have.
+UNSUPPORTED = frozenset({"gamma", "min_child_weight", "reg_alpha", "reg_lambda", "scale_pos_weight", "tree_method", "booster"})
+
+
 def one_hot_names(vocabulary: dict[str, tuple[str, ...]]) -> tuple[str, ...]:
     return tuple(f"{column}_{value}" for column, values in vocabulary.items() for value in values)
 
@@ -63,28 +67,35 @@ class Settings:
     colsample_bytree: float = 0.8
     objective: str = "binary:logistic"
     eval_metric: str = "auc"
-    # Recorded with the other parameters; the number of rounds actually run is ``boosting_rounds``.
+    # Recorded as asked for; the number of rounds actually run is ``boosting_rounds``, recorded beside it.
     n_estimators: int = 100
     boosting_rounds: int = 10
     # Stop boosting once the loss on the test rows improves by less than this; None runs all rounds.
     early_stopping_tol: float | None = None
+    # Keep the rounds up to the least loss on the test rows, once so many in a row brought no lower one.
+    early_stopping_rounds: int | None = None
 
     # Salt join keys above this share of the market rows; None leaves skew to adaptive execution.
     hot_key_share: float | None = None
 
-    # A category list longer than this is an error, since every value becomes a column.
-    max_categories: int = 10_000
-
     market_data_path: str | None = None
     user_data_path: str | None = None
     reference_data_path: str | None = None
     store_path: str | None = None
+    # Folders below the store, and the run that monitoring logs into; None names one after the time.
+    reports_prefix: str = "reports"
+    model_prefix: str = "model"
+    run_id: str | None = None
 
     def __post_init__(self) -> None:
         if self.objective != "binary:logistic":
             raise ValueError(f"unsupported objective {self.objective!r}")
         if not 0.0 < self.test_size < 1.0:
             raise ValueError("test_size must lie between 0 and 1")
+        if self.hot_key_share is not None and not 0.0 < self.hot_key_share < 1.0:
+            raise ValueError("hot_key_share must lie between 0 and 1")
+        if self.early_stopping_rounds is not None and self.early_stopping_rounds < 1:
+            raise ValueError("early_stopping_rounds must be positive")
 
     @property
     def scaled_columns(self) -> tuple[str, ...]:
@@ -93,8 +104,12 @@ class Settings:
 
     @classmethod
     def from_json(cls, path: str | Path, **overrides) -> Settings:
-        """Read a JSON document; keys this engine has no use for are ignored."""
+        """Read a JSON document. Keys about other services are ignored; a training key that would not
+        be honoured is an error."""
         document = json.loads(Path(path).read_text())
+        ignored = sorted(UNSUPPORTED & document.keys())
+        if ignored:
+            raise ValueError(f"unsupported training parameters: {', '.join(ignored)}")
         bucket, prefix = document.get("output_bucket"), document.get("output_prefix")
         if bucket and prefix:
             document.setdefault("store_path", f"s3a://{bucket}/{prefix}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,6 +22,7 @@ from tallyglass.operators.split import train_test_split
 from tallyglass.session import one_row, shared_dir
 from tallyglass.sinks.metrics import metric_rows
 from tallyglass.sources.predictions import read_or_none
+from tallyglass.sources.snapshots import next_number
 
 INFO_SCHEMA = T.StructType(
     [
@@ -32,6 +34,8 @@ INFO_SCHEMA = T.StructType(
         T.StructField("auc", T.DoubleType()),
         T.StructField("best_f1", T.DoubleType()),
         T.StructField("params", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("folder", T.StringType()),
+        T.StructField("number", T.LongType()),
     ]
 )
 
@@ -42,7 +46,7 @@ class Model:
 
     pipeline: PipelineModel
     threshold: float
-    info: tuple
+    info: dict
 
     def score(self, df: DataFrame) -> DataFrame:
         return score(self.pipeline, df)
@@ -56,7 +60,7 @@ def _inputs(settings: Settings) -> list[str]:
     return [f"in_{i}" for i in range(len(settings.feature_columns))]
 
 
-def training_pipeline(train: DataFrame, settings: Settings) -> Pipeline:
+def training_pipeline(train: DataFrame, settings: Settings, rounds: int) -> Pipeline:
     """Fill, scale, assemble and boost. All of it is saved together, so a scoring job cannot
     prepare its rows differently from the training job."""
     scaler = fit_scaler(train, settings.scaled_columns, settings.fill_value)
@@ -71,7 +75,7 @@ def training_pipeline(train: DataFrame, settings: Settings) -> Pipeline:
         lossType="logistic",
         maxDepth=settings.max_depth,
         stepSize=settings.learning_rate,
-        maxIter=settings.boosting_rounds,
+        maxIter=rounds,
         subsamplingRate=settings.subsample,
         featureSubsetStrategy=str(settings.colsample_bytree),
         seed=settings.random_seed,
@@ -100,6 +104,31 @@ def _with_test_flag(df: DataFrame, settings: Settings) -> DataFrame:
     return df.withColumn("is_test", test)
 
 
+def best_rounds(losses: list[float], patience: int) -> int:
+    """Rounds up to the least loss before ``patience`` rounds in a row brought no lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def _boosted(train: DataFrame, test: DataFrame, labelled: DataFrame, settings: Settings) -> tuple[PipelineModel, list[float]]:
+    """The fitted pipeline and, if rounds are watched, the loss on the test rows after each."""
+    rows = train if settings.early_stopping_tol is None else _with_test_flag(labelled, settings)
+    fitted = training_pipeline(train, settings, settings.boosting_rounds).fit(rows)
+    if settings.early_stopping_rounds is None:
+        return fitted, []
+    trees = fitted.stages[-1]
+    prepared = PipelineModel(fitted.stages[:-1]).transform(test)
+    losses = list(trees.evaluateEachIteration(prepared))
+    rounds = best_rounds(losses, settings.early_stopping_rounds)
+    # Trees are added one after the other from a fixed seed, so fewer rounds give the first of them again.
+    return fitted if rounds == len(losses) else training_pipeline(train, settings, rounds).fit(rows), losses
+
+
 def train_model(features: DataFrame, settings: Settings) -> Model:
     """Fit on the training share, tune the threshold on the rest.
 
@@ -112,64 +141,79 @@ def train_model(features: DataFrame, settings: Settings) -> Model:
     train, test = train_test_split(
         labelled, settings.key_columns, settings.test_size, settings.random_seed
     )
-    pipeline = training_pipeline(train, settings).fit(
-        train if settings.early_stopping_tol is None else _with_test_flag(labelled, settings)
-    )
+    pipeline, losses = _boosted(train, test, labelled, settings)
     ranked = rank_scores(score(pipeline, test), "probability", label)
     best = best_f1(pr_curve(ranked)).first()
     auc = roc_auc(ranked).first().auc
     threshold = best.best_threshold if best else settings.prediction_threshold
+    in_test = in_test_share(settings.key_columns, settings.test_size, settings.random_seed)
+    rows = labelled.agg(F.count(F.lit(1)).alias("all"), F.count_if(in_test).alias("test")).first()
     params = {
         "max_depth": settings.max_depth,
         "learning_rate": settings.learning_rate,
-        "n_estimators": settings.n_estimators,
         "objective": settings.objective,
         "subsample": settings.subsample,
         "colsample_bytree": settings.colsample_bytree,
         "eval_metric": settings.eval_metric,
         "seed": settings.random_seed,
+        # What was asked for, and what was run.
+        "n_estimators": settings.n_estimators,
+        "boosting_rounds": settings.boosting_rounds,
+        "early_stopping_tol": settings.early_stopping_tol,
+        "early_stopping_rounds": settings.early_stopping_rounds,
+        "trees_built": pipeline.stages[-1].getNumTrees,
+        "train_rows": rows["all"] - rows["test"],
+        "test_rows": rows["test"],
+    }
+    info = {
+        "model_type": "GBTClassifier",
+        "features": list(settings.feature_columns),
+        "threshold": float(threshold),
+        "version": settings.model_version,
+        "last_updated": settings.as_of,
+        "auc": auc,
+        "best_f1": best.best_f1 if best else None,
+        "params": {k: str(v) for k, v in params.items()} | {f"loss_{i + 1}": str(x) for i, x in enumerate(losses)},
     }
-    info = (
-        "GBTClassifier",
-        list(settings.feature_columns),
-        float(threshold),
-        settings.model_version,
-        settings.as_of,
-        auc,
-        best.best_f1 if best else None,
-        {k: str(v) for k, v in params.items()},
-    )
     return Model(pipeline, float(threshold), info)
 
 
 def save_model(spark: SparkSession, model: Model, path: str) -> None:
-    """The pipeline first and its one-row description last: a described model is complete."""
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    values = dict(zip(INFO_SCHEMA.fieldNames(), model.info))
+    """A folder of its own for the pipeline, then a row that describes it and names the folder.
+
+    Scoring goes through the newest such row, so a model is replaced at once or not at all.
+    """
+    folder = f"versions/{uuid.uuid4().hex}"
+    model.pipeline.write().save(f"{path}/{folder}")
+    known = read_or_none(spark, f"{path}/info", INFO_SCHEMA, f"{path}/info")
+    values = dict(model.info) | {"folder": folder, "number": next_number(known)}
     params = [F.lit(part) for pair in values.pop("params").items() for part in pair]
     columns = {name: F.lit(value) for name, value in values.items()} | {"params": F.create_map(*params)}
-    one_row(spark, columns, INFO_SCHEMA).write.mode("overwrite").parquet(f"{path}/info")
+    one_row(spark, columns, INFO_SCHEMA).write.mode("append").parquet(f"{path}/info")
 
 
 def model_info(spark: SparkSession, path: str) -> DataFrame | None:
-    """Type, features, threshold, version and date of the saved model; None if there is none."""
-    return read_or_none(spark, f"{path}/info", INFO_SCHEMA, f"{path}/info")
+    """Type, features, threshold, version, date and parameters of the newest model; None if there is none."""
+    known = read_or_none(spark, f"{path}/info", INFO_SCHEMA, f"{path}/info")
+    return known.orderBy(F.desc("number")).limit(1) if known is not None else None
 
 
 def load_model(spark: SparkSession, path: str) -> Model | None:
     described = model_info(spark, path)
     if described is None:
         return None
-    info = described.first()
-    return Model(PipelineModel.load(f"{path}/pipeline"), info.threshold, tuple(info))
+    info = described.first().asDict()
+    return Model(PipelineModel.load(f"{path}/{info['folder']}"), info["threshold"], info)
 
 
 def training_metrics(spark: SparkSession, model: Model) -> DataFrame:
-    """Long-form metrics of a training run, for the metric history."""
-    names = INFO_SCHEMA.fieldNames()
-    info = dict(zip(names, model.info))
-    metrics = {"auc": info["auc"], "best_f1": info["best_f1"], "best_threshold": info["threshold"]}
-    schema = T.StructType([T.StructField(name, T.DoubleType()) for name in metrics])
-    return metric_rows(one_row(spark, {k: F.lit(v) for k, v in metrics.items()}, schema))
-
-
+    """Long-form log of a training run, for the metric history: quality, and every parameter that is a number."""
+    info = model.info
+    logged = {"auc": info["auc"], "best_f1": info["best_f1"], "best_threshold": info["threshold"]}
+    for name, value in info["params"].items():
+        try:
+            logged[name if name.startswith("loss_") else f"param_{name}"] = float(value)
+        except ValueError:
+            continue
+    schema = T.StructType([T.StructField(name, T.DoubleType()) for name in logged])
+    return metric_rows(one_row(spark, {k: F.lit(v) for k, v in logged.items()}, schema))

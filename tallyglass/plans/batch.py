@@ -12,7 +12,7 @@ from tallyglass.operators.features import engineer_features
 from tallyglass.operators.model import Model, load_model, save_model, train_model, training_metrics
 from tallyglass.sinks.metrics import log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
-from tallyglass.sources.snapshots import read_latest_snapshot
+from tallyglass.sources.snapshots import read_snapshot
 from tallyglass.sources.tables import last_days, normalise_user, read_market, read_user
 
 
@@ -48,21 +48,27 @@ def model_frame(features: DataFrame, settings: Settings) -> DataFrame:
     return align(features, [*settings.feature_columns, *label], ids)
 
 
-def train_or_load(frame: DataFrame, settings: Settings, store: str) -> tuple[Model, DataFrame]:
+def train_or_load(
+    frame: DataFrame, settings: Settings, store: str, retrain: bool = False
+) -> tuple[Model, DataFrame]:
     """The saved model, or one trained now; and the frame to go on with.
 
     Training reads its rows several times, so they are first stored as a snapshot, and the caller
-    continues from that snapshot instead of repeating the joins behind it.
+    continues from exactly that snapshot instead of repeating the joins behind it. A saved model that wants other
+    features than the settings name is an error unless ``retrain`` replaces it.
     """
     spark = frame.sparkSession
-    model = load_model(spark, f"{store}/model")
+    path = f"{store}/{settings.model_prefix}"
+    model = None if retrain else load_model(spark, path)
     if model is not None:
+        if list(model.info["features"]) != list(settings.feature_columns):
+            raise ValueError("the saved model has other feature columns; retrain it")
         return model, frame
     stamp = f"{settings.as_of:%Y%m%d}_000000"
     save_snapshot(frame, f"{store}/snapshots", stamp)
-    stored = read_latest_snapshot(spark, f"{store}/snapshots")
+    stored = read_snapshot(spark, f"{store}/snapshots", stamp)
     model = train_model(stored, settings)
-    save_model(spark, model, f"{store}/model")
+    save_model(spark, model, path)
     log_metrics(
         training_metrics(spark, model),
         f"{store}/metrics",
@@ -72,8 +78,10 @@ def train_or_load(frame: DataFrame, settings: Settings, store: str) -> tuple[Mod
     return model, stored
 
 
-def run_batch(features: DataFrame, settings: Settings, store: str, scoring: DataFrame | None = None) -> str:
+def run_batch(
+    features: DataFrame, settings: Settings, store: str, scoring: DataFrame | None = None, retrain: bool = False
+) -> str:
     """Score ``scoring`` (by default the training frame itself) and return the prediction root."""
-    model, frame = train_or_load(model_frame(features, settings), settings, store)
+    model, frame = train_or_load(model_frame(features, settings), settings, store, retrain)
     rows = frame if scoring is None else model_frame(scoring, settings)
     return save_predictions(model.predict(rows).drop("date"), f"{store}/predictions", settings.as_of)

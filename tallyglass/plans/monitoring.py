@@ -75,9 +75,9 @@ def run_monitoring(
     if save:
         features = [c for c in settings.numerical_columns if c in current.columns and c in reference.columns]
         report = report_json(performance, drift, features, settings.model_version, written_at)
-        path = save_report(report, f"{store}/reports", written_at)
+        path = save_report(report, f"{store}/{settings.reports_prefix}", written_at)
     if log:
-        run_id = f"monitor-{written_at:%Y%m%d_%H%M%S}"
+        run_id = settings.run_id or f"monitor-{written_at:%Y%m%d_%H%M%S}"
         log_metrics(flatten_metrics(performance, flag), f"{store}/metrics", run_id, written_at)
     raised = alerts(performance, flag, settings.alert_accuracy_threshold)
     return Monitoring(performance, drift, flag, raised, path)

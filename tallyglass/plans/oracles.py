@@ -8,7 +8,6 @@ from tallyglass.sources.daily import LARGE_FROM, MID_FROM, SEGMENT_SECTOR
 ORACLES: dict[str, str] = {}
 
 _SETTINGS = Settings()
-_SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 _DRIFT_COLUMNS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 _SECTOR = "CASE c_mktsegment " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEGMENT_SECTOR.items())
@@ -153,11 +152,10 @@ ORACLES["training_window"] = _with(
 ORACLES["distinct_categories"] = """
 SELECT DISTINCT 'c_mktsegment' AS "column", c_mktsegment AS category FROM customer
 UNION ALL SELECT DISTINCT 'event_type', event_type FROM events"""
-ORACLES["one_hot_learned_vocab"] = (
-    "SELECT c_custkey, c_mktsegment, "
-    + ", ".join(f"CASE WHEN c_mktsegment = '{s}' THEN 1 ELSE 0 END AS c_mktsegment_{s}" for s in _SEGMENTS)
-    + " FROM customer"
-)
+ORACLES["one_hot_learned_vocab"] = """
+SELECT c_custkey, 'c_mktsegment_' || c_mktsegment AS feature FROM customer
+WHERE c_mktsegment IN (SELECT c_mktsegment FROM customer WHERE c_nationkey < 12)
+UNION ALL SELECT c_custkey, 'c_nationkey_' || CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_nationkey < 12"""
 ORACLES["one_hot_fixed_vocab"] = _with(
     _DAILY,
     f"SELECT user_id, {_d('date')}, " + ", ".join(f"{x} AS {n}" for n, x in _ONE_HOT.items()) + " FROM market",
@@ -229,7 +227,7 @@ scored AS (
   SELECT CAST(user_id AS VARCHAR) AS user_id, stock_id,
     1.0 / (1.0 + exp(-(
       least(greatest(coalesce(price_momentum, 0.0), -1.0), 1.0)
-      + 0.5 * coalesce(CAST(volume AS DOUBLE) / nullif(floor(avg_volume_30d), 0), 0.0)
+      + 0.5 * coalesce(CAST(volume AS DOUBLE) / nullif(coalesce(floor(avg_volume_30d), volume), 0), 0.0)
       - 0.05 * coalesce(days_since_last_purchase, 0)
       + 2.0 * risk_tolerance + 0.3 * sector_Technology - 0.2 * market_cap_category_Small
       + 0.1 * day_of_week_Monday - 1.0))) AS probability
@@ -470,5 +468,89 @@ SELECT CAST(user_id AS VARCHAR), NULL, round(value / (value + 100), 6),
        CASE WHEN value / (value + 100) >= 0.5 THEN 1 ELSE 0 END, CAST(CAST(ts AS DATE) AS VARCHAR)
 FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'""",
 )
-ORACLES["predictions_empty"] = _EVENT_PREDICTIONS + "DATE '2029-12-25' AND DATE '2030-01-01'"
+ORACLES["predictions_empty"] = """
+SELECT CAST(as_of AS VARCHAR) AS as_of, count(ts) AS rows,
+       sum(CASE WHEN ts IS NULL THEN NULL WHEN value / (value + 100) >= 0.5 THEN 1 ELSE 0 END) AS positive
+FROM (VALUES (DATE '2024-01-10'), (DATE '2024-02-03'), (DATE '2030-01-01')) AS w(as_of)
+LEFT JOIN events ON CAST(ts AS DATE) BETWEEN as_of - 7 AND as_of
+GROUP BY as_of"""
 ORACLES["latest_snapshot"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders"
+
+# --- requests and model ---
+
+ORACLES["rejected_requests"] = _with(
+    _FEATURES,
+    """SELECT CAST(user_id AS VARCHAR) AS user_id,
+  CASE WHEN user_id % 10 IN (3, 5) THEN 'malformed' WHEN user_id % 10 = 7 THEN 'missing sector' ELSE 'accepted' END AS reason,
+  count(*) AS requests
+FROM features GROUP BY 1, 2""",
+)
+_IN_TEST = "substr(md5('42:' || CAST(user_id AS VARCHAR) || ':' || CAST(date AS VARCHAR)), 1, 8) < '33333333'"
+_LABELLED = (
+    _DAILY
+    + f""",
+labelled AS (SELECT user_id, date, stock_id, {_IN_TEST} AS in_test FROM joined WHERE purchased_stock IS NOT NULL),
+sizes AS (SELECT count(*) FILTER (WHERE NOT in_test) AS train_rows, count(*) FILTER (WHERE in_test) AS test_rows FROM labelled)"""
+)
+ORACLES["gbt_train_score"] = _with(
+    _DAILY, f"SELECT user_id, {_d('date')}, true AS in_range, true AS decided, true AS same_after_load FROM joined"
+)
+ORACLES["model_quality"] = _with(
+    _LABELLED,
+    """SELECT train_rows, test_rows, true AS train_rows_logged, true AS test_rows_logged,
+  true AS better_than_chance, true AS auc_logged FROM sizes""",
+)
+ORACLES["early_stopping"] = "SELECT 6 AS asked, true AS kept_up_to_minimum, true AS built_in_range"
+_PARAMS = {
+    "max_depth": _SETTINGS.max_depth,
+    "learning_rate": _SETTINGS.learning_rate,
+    "subsample": _SETTINGS.subsample,
+    "colsample_bytree": _SETTINGS.colsample_bytree,
+    "seed": _SETTINGS.random_seed,
+    "n_estimators": _SETTINGS.n_estimators,
+    "boosting_rounds": _SETTINGS.boosting_rounds,
+    "trees_built": _SETTINGS.boosting_rounds,
+}
+_TEXT_PARAMS = {
+    "objective": _SETTINGS.objective,
+    "eval_metric": _SETTINGS.eval_metric,
+    "early_stopping_tol": None,
+    "early_stopping_rounds": None,
+}
+ORACLES["training_log"] = _with(
+    _LABELLED,
+    "\nUNION ALL ".join(
+        f"SELECT 'train-20240130_000000' AS run_id, '{metric}' AS metric, {value} AS value, {share} AS is_share FROM sizes"
+        for metric, value, share in (
+            *((f"param_{k}", f"CAST({v} AS DOUBLE)", "CAST(NULL AS BOOLEAN)") for k, v in _PARAMS.items()),
+            ("param_train_rows", "CAST(train_rows AS DOUBLE)", "CAST(NULL AS BOOLEAN)"),
+            ("param_test_rows", "CAST(test_rows AS DOUBLE)", "CAST(NULL AS BOOLEAN)"),
+            *((m, "CAST(NULL AS DOUBLE)", "true") for m in ("auc", "best_f1", "best_threshold")),
+        )
+    ),
+)
+ORACLES["model_info"] = _with(
+    _LABELLED,
+    f"""SELECT 'GBTClassifier' AS model_type, '{",".join(_SETTINGS.feature_columns)}' AS features,
+  '{_SETTINGS.model_version}' AS version, '2024-01-30' AS last_updated, param, value FROM (
+"""
+    + "\nUNION ALL ".join(
+        f"SELECT '{param}' AS param, {value} AS value FROM sizes"
+        for param, value in (
+            *((k, f"'{v}'") for k, v in (_PARAMS | _TEXT_PARAMS).items()),
+            ("train_rows", "CAST(train_rows AS VARCHAR)"),
+            ("test_rows", "CAST(test_rows AS VARCHAR)"),
+        )
+    )
+    + ") AS stored",
+)
+ORACLES["batch_pipeline"] = _with(
+    _DAILY,
+    f"""SELECT CAST(user_id AS VARCHAR) AS user_id, stock_id, '2024-01-30' AS prediction_date,
+  true AS in_range, true AS decided FROM joined""",
+)
+ORACLES["stream_scoring_model"] = _with(
+    _DAILY,
+    """SELECT CAST(user_id AS VARCHAR) AS user_id, stock_id, count(*) AS requests, true AS same_as_batch
+FROM joined GROUP BY 1, 2""",
+)

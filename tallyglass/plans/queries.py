@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +17,9 @@ from tallyglass.operators import curves, drift, quality
 from tallyglass.operators.encode import (
     align,
     distinct_categories,
+    encode_learned,
     feature_matrix,
     fill_missing,
-    learn_vocabulary,
     one_hot,
 )
 from tallyglass.operators.features import (
@@ -28,7 +29,7 @@ from tallyglass.operators.features import (
     join_market_user,
     request_features,
 )
-from tallyglass.operators.model import load_model, model_info
+from tallyglass.operators.model import Model, load_model, model_info
 from tallyglass.operators.scale import fit_scaler, scale
 from tallyglass.operators.split import train_test_split
 from tallyglass.plans.batch import model_frame, run_batch, train_or_load
@@ -45,6 +46,7 @@ from tallyglass.streaming.scoring import (
     batch_response,
     read_requests,
     score_requests,
+    start_rejects,
     start_scoring,
 )
 
@@ -179,16 +181,17 @@ def scan_default_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("row_counts")
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = {
-        "market": market(spark, sf_dir),
-        "user": user(spark, sf_dir),
-        "joined": join_market_user(market(spark, sf_dir), user(spark, sf_dir)),
-    }
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("step"), "rows")
-        for name, df in steps.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    """Rows of both sides and of their join, from one evaluation.
+
+    A full join tells where each joined row comes from; keys are unique per side, and rows are counted while it runs.
+    """
+    sides = market(spark, sf_dir).select("user_id", "date", F.lit(1).alias("m")).join(
+        user(spark, sf_dir).select("user_id", "date", F.lit(1).alias("u")), ["user_id", "date"], "full"
+    )
+    counts = sides.agg(
+        F.count("m").alias("market"), F.count("u").alias("user"), F.count_if(F.col("m").isNotNull() & F.col("u").isNotNull()).alias("joined")
+    )
+    return counts.unpivot([], ["market", "user", "joined"], "step", "rows")
 
 
 @query("actual_purchases")
@@ -235,14 +238,9 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("features_learned_vocab")
 def features_learned_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns set by one-hot encoding with the categories found in the joined rows.
-
-    Which columns there are depends on the data, so they are listed as rows.
-    """
+    """The indicators set by one-hot encoding with the categories found in the joined rows, as rows."""
     rows = engineer_features(market(spark, sf_dir), user(spark, sf_dir), SETTINGS)
-    encoded = [c for c in rows.columns if c.startswith(tuple(f"{v}_" for v in VOCABULARY))]
-    flags = rows.unpivot(["user_id", "date"], encoded, "feature", "value")
-    return shown(flags.where("value = 1").drop("value"))
+    return shown(encode_learned(rows, ["user_id", "date"], list(VOCABULARY)))
 
 
 @query("features_yesterday")
@@ -267,8 +265,10 @@ def distinct_category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("one_hot_learned_vocab")
 def one_hot_learned_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return one_hot(customers, learn_vocabulary(customers, ["c_mktsegment"]))
+    """Every customer, encoded with the segments that customers of one half have."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    learned = distinct_categories(customers.where("c_nationkey < 12"), ["c_mktsegment", "c_nationkey"])
+    return encode_learned(customers, ["c_custkey"], ["c_mktsegment", "c_nationkey"], learned)
 
 
 @query("one_hot_fixed_vocab")
@@ -358,8 +358,16 @@ def formula_scorer(df: DataFrame) -> DataFrame:
 
 
 def scoring_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scoring request per user and day, in the request schema."""
-    rows = all_features(spark, sf_dir).withColumn("avg_volume_30d", F.floor("avg_volume_30d"))
+    """A scoring request per user and day, complete, as a client would send it.
+
+    On a user's first day the day's own volume stands for the average, and no purchase yet is 0 days.
+    """
+    rows = all_features(spark, sf_dir).withColumns(
+        {
+            "avg_volume_30d": F.coalesce(F.floor("avg_volume_30d"), "volume"),
+            "days_since_last_purchase": F.coalesce("days_since_last_purchase", F.lit(0)),
+        }
+    )
     return align(rows, REQUEST_SCHEMA.fieldNames()).select(
         [F.col(f.name).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA]
     )
@@ -383,20 +391,51 @@ def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_response(_scored_requests(spark, sf_dir), SETTINGS.model_version)
 
 
+def _stream(spark: SparkSession, requests: DataFrame, root: str, scorer, threshold: float) -> str:
+    """Score written request files as a stream, with the rejects beside; returns the prediction root."""
+    requests.write.text(f"{root}/requests")
+    arriving = read_requests(spark, f"{root}/requests")
+    scored = score_requests(arriving, scorer, threshold, SETTINGS, RUN_TIME)
+    start_scoring(scored, f"{root}/predictions", f"{root}/checkpoint").awaitTermination()
+    start_rejects(arriving, f"{root}/rejects", f"{root}/rejects_checkpoint").awaitTermination()
+    return f"{root}/predictions"
+
+
+def _as_json(requests: DataFrame) -> DataFrame:
+    return requests.select(F.to_json(F.struct(*requests.columns)).alias("value"))
+
+
 @query("stream_scoring")
 def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream")
-    scoring_requests(spark, sf_dir).write.json(f"{root}/requests")
-    stream = score_requests(
-        read_requests(spark, f"{root}/requests"),
-        formula_scorer,
-        SETTINGS.prediction_threshold,
-        SETTINGS,
-        RUN_TIME,
+    written = _stream(spark, _as_json(scoring_requests(spark, sf_dir)), root, formula_scorer, SETTINGS.prediction_threshold)
+    found = read_predictions(spark, [written], AS_OF)
+    return shown(found.drop("prediction_time", "model_version"), "probability")
+
+
+def _spoiled(requests: DataFrame) -> DataFrame:
+    """Requests as text, some broken by user: no JSON, a wrong type, a missing field."""
+    user = F.col("user_id").cast("long")
+    whole = F.to_json(F.struct(*requests.columns))
+    return requests.select(
+        F.when(user % 10 == 3, F.concat(F.lit("user "), "user_id"))
+        .when(user % 10 == 5, F.regexp_replace(whole, r'"close_price":[^,]*', '"close_price":"none"'))
+        .when(user % 10 == 7, F.regexp_replace(whole, r'"sector":"[^"]*",', ""))
+        .otherwise(whole)
+        .alias("value")
+    )
+
+
+@query("rejected_requests")
+def rejected_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream accepts and rejects of partly broken requests, by user."""
+    root = scratch_path(spark, "stream")
+    written = _stream(spark, _spoiled(scoring_requests(spark, sf_dir)), root, formula_scorer, SETTINGS.prediction_threshold)
+    good = read_predictions(spark, [written], AS_OF).select("user_id", F.lit("accepted").alias("reason"))
+    bad = spark.read.parquet(f"{root}/rejects").select(
+        F.regexp_extract("record", r'(?:user |"user_id":")(\d+)', 1).alias("user_id"), "reason"
     )
-    start_scoring(stream, f"{root}/predictions", f"{root}/checkpoint").awaitTermination()
-    written = read_predictions(spark, [f"{root}/predictions"], AS_OF)
-    return shown(written.drop("prediction_time", "model_version"), "probability")
+    return good.unionByName(bad).groupBy("user_id", "reason").agg(F.count(F.lit(1)).alias("requests"))
 
 
 # --- quality ------------------------------------------------------------------------------------
@@ -572,56 +611,179 @@ def predictions_last_n_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("predictions_two_roots")
 def predictions_two_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of a batch writer and of a scoring writer, read as one table."""
+    """Predictions of a batch writer and of a scoring stream, read as one table."""
     root = scratch_path(spark, "predictions")
     batch = save_predictions(event_predictions(spark, sf_dir), f"{root}/batch")
-    online = save_predictions(_scored_requests(spark, sf_dir), f"{root}/online", AS_OF)
+    online = _stream(spark, _as_json(scoring_requests(spark, sf_dir)), root, formula_scorer, SETTINGS.prediction_threshold)
     both = read_predictions(spark, [batch, online], AS_OF, 7)
     return shown(both.drop("prediction_time", "model_version"), "probability")
 
 
 @query("predictions_empty")
 def predictions_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A window after the last written day: typed, and without rows."""
+    """Rows per window for windows that lie on, across and after the written days; the last is empty."""
     root = save_predictions(event_predictions(spark, sf_dir), scratch_path(spark, "predictions"))
-    none = read_predictions(spark, [root], dt.date(2030, 1, 1), 7)
-    return shown(none.select("user_id", "probability", "prediction", "prediction_date"))
+    windows = [dt.date(2024, 1, 10), dt.date(2024, 2, 3), dt.date(2030, 1, 1)]
+    counted = [
+        read_predictions(spark, [root], day, 7).agg(
+            F.lit(day.isoformat()).alias("as_of"), F.count(F.lit(1)).alias("rows"), F.sum("prediction").alias("positive")
+        )
+        for day in windows
+    ]
+    return reduce(DataFrame.unionByName, counted)
 
 
 @query("latest_snapshot")
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest stamp, rewritten, after a rewrite of an older one."""
     root = scratch_path(spark, "snapshots")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    save_snapshot(orders.withColumn("o_totalprice", F.lit(0.0)), root, "20240129_000000")
+    older = orders.withColumn("o_totalprice", F.lit(0.0))
+    save_snapshot(older, root, "20240130_000000")
     save_snapshot(orders, root, "20240130_000000")
+    save_snapshot(older, root, "20240129_000000")
     return shown(read_latest_snapshot(spark, root))
 
 
 # --- model --------------------------------------------------------------------------------------
 
 
+def _trained(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> tuple[str, Model, DataFrame]:
+    store = scratch_path(spark, "model")
+    model, rows = train_or_load(model_frame(all_features(spark, sf_dir), settings), settings, store)
+    return store, model, rows
+
+
+def _decided(threshold: float) -> Column:
+    """Whether a row's decision follows from its score."""
+    return F.col("prediction") == (F.col("probability") >= threshold).cast("int")
+
+
 @query("gbt_train_score")
 def gbt_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, save, load and score every user and day."""
-    store = scratch_path(spark, "model")
-    _, rows = train_or_load(model_frame(all_features(spark, sf_dir), SETTINGS), SETTINGS, store)
-    model = load_model(spark, f"{store}/model")
-    return shown(model.predict(rows).select("user_id", "date", "probability", "prediction"), "probability")
+    """Train, save, load and score every user and day.
+
+    Trees differ between libraries, so rows say what must hold for any: a score is a probability, the decision
+    follows from the stored threshold, and the loaded model scores as the trained one did.
+    """
+    store, model, rows = _trained(spark, sf_dir)
+    again = load_model(spark, f"{store}/{SETTINGS.model_prefix}")
+    scored = again.predict(model.score(rows).withColumnRenamed("probability", "trained"))
+    return shown(
+        scored.select(
+            "user_id",
+            "date",
+            F.col("probability").between(0, 1).alias("in_range"),
+            _decided(again.threshold).alias("decided"),
+            (F.col("probability") == F.col("trained")).alias("same_after_load"),
+        )
+    )
+
+
+@query("model_quality")
+def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows trained and tested on, and whether the scores of the test rows rank labels better than labels dealt out by a hash."""
+    _, model, rows = _trained(spark, sf_dir)
+    _, test = train_test_split(rows, SETTINGS.key_columns, SETTINGS.test_size, SETTINGS.random_seed)
+    label = SETTINGS.label_column
+    scored = model.score(test)
+    dealt = scored.withColumn(label, F.pmod(F.xxhash64(*SETTINGS.key_columns), F.lit(5)) < 2)
+    auc, chance = (
+        curves.roc_auc(curves.rank_scores(df.withColumn(label, F.col(label).cast("double")), "probability", label)).first().auc
+        for df in (scored, dealt)
+    )
+    parts = rows.agg(
+        F.count_if(~in_test_share(SETTINGS.key_columns, SETTINGS.test_size, SETTINGS.random_seed)).alias("train_rows"),
+        F.count_if(in_test_share(SETTINGS.key_columns, SETTINGS.test_size, SETTINGS.random_seed)).alias("test_rows"),
+    )
+    return parts.select(
+        "*",
+        (F.col("train_rows") == F.lit(int(model.info["params"]["train_rows"]))).alias("train_rows_logged"),
+        (F.col("test_rows") == F.lit(int(model.info["params"]["test_rows"]))).alias("test_rows_logged"),
+        (F.lit(auc) > F.lit(chance)).alias("better_than_chance"),
+        (F.abs(F.lit(auc) - F.lit(model.info["auc"])) < 1e-9).alias("auc_logged"),
+    )
+
+
+@query("early_stopping")
+def early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that watches the loss of each round: the rounds kept are those up to the first lasting minimum."""
+    patience = 2
+    watched = replace(SETTINGS, early_stopping_rounds=patience, max_depth=3, boosting_rounds=6, learning_rate=0.5)
+    store, _, _ = _trained(spark, sf_dir, watched)
+    described = model_info(spark, f"{store}/{watched.model_prefix}")
+    losses = described.select(F.explode("params").alias("name", "value")).where("name LIKE 'loss_%'")
+    rounds = losses.select(F.substring("name", 6, 9).cast("int").alias("round"), F.col("value").cast("double").alias("loss"))
+    before = Window.orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
+    # At most ``boosting_rounds`` rows.
+    best = rounds.withColumn("least", F.min("loss").over(before)).withColumn(
+        "best", F.max(F.when(F.col("loss") == F.col("least"), F.col("round"))).over(before)
+    )
+    stop = best.where(F.col("round") - F.col("best") >= patience).agg(F.min("round").alias("stop"))
+    kept = best.join(F.broadcast(stop)).where("stop IS NULL OR round <= stop").agg(F.max("best").alias("rounds"))
+    built = described.select(F.col("params")["trees_built"].cast("int").alias("built"), F.col("params")["boosting_rounds"].cast("int").alias("asked"))
+    return kept.join(F.broadcast(built)).select(
+        F.col("asked"), (F.col("built") == F.col("rounds")).alias("kept_up_to_minimum"), F.col("built").between(1, F.col("asked")).alias("built_in_range")
+    )
+
+
+@query("training_log")
+def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logged parameters of a training run, and that its quality is logged as a share."""
+    store, _, _ = _trained(spark, sf_dir)
+    logged = spark.read.parquet(f"{store}/metrics")
+    quality_names = F.col("metric").isin("auc", "best_f1", "best_threshold")
+    return logged.select(
+        "run_id",
+        "metric",
+        F.when(~quality_names, F.col("value")).alias("value"),
+        F.when(quality_names, F.col("value").between(0, 1)).alias("is_share"),
+    )
 
 
 @query("model_info")
 def trained_model_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = scratch_path(spark, "model")
-    train_or_load(model_frame(all_features(spark, sf_dir), SETTINGS), SETTINGS, store)
-    described = model_info(spark, f"{store}/model")
-    return shown(described.drop("params").withColumn("features", F.concat_ws(",", "features")), "auc", "best_f1")
+    """What is stored about the model, one row per parameter."""
+    store, _, _ = _trained(spark, sf_dir)
+    described = model_info(spark, f"{store}/{SETTINGS.model_prefix}")
+    return shown(
+        described.select(
+            "model_type", F.concat_ws(",", "features").alias("features"), "version", "last_updated",
+            F.explode("params").alias("param", "value"),
+        )
+    )
 
 
 @query("batch_pipeline")
 def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job end to end; the predictions it wrote, read back."""
-    root = run_batch(all_features(spark, sf_dir), SETTINGS, scratch_path(spark, "batch"))
+    store = scratch_path(spark, "batch")
+    root = run_batch(all_features(spark, sf_dir), SETTINGS, store)
+    threshold = load_model(spark, f"{store}/{SETTINGS.model_prefix}").threshold
     written = read_predictions(spark, [root], AS_OF, 7)
     return shown(
-        written.select("user_id", "stock_id", "probability", "prediction", "prediction_date"), "probability"
+        written.select(
+            "user_id", "stock_id", "prediction_date",
+            F.col("probability").between(0, 1).alias("in_range"), _decided(threshold).alias("decided"),
+        )
+    )
+
+
+@query("stream_scoring_model")
+def stream_scoring_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests scored by the saved model as a stream; each decision and score against those of one batch."""
+    store, _, _ = _trained(spark, sf_dir)
+    model = load_model(spark, f"{store}/{SETTINGS.model_prefix}")
+    requests = scoring_requests(spark, sf_dir)
+    root = _stream(spark, _as_json(requests), f"{store}/stream", model.score, model.threshold)
+    streamed = read_predictions(spark, [root], AS_OF)
+    batch = score_requests(requests, model.score, model.threshold, SETTINGS, RUN_TIME)
+
+    def summed(df: DataFrame, name: str) -> DataFrame:
+        key = F.xxhash64("user_id", "stock_id", "prediction", F.round("probability", 9))
+        return df.groupBy("user_id", "stock_id").agg(F.count(F.lit(1)).alias(name), F.bit_xor(key).alias(f"{name}_hash"))
+
+    both = summed(streamed, "requests").join(summed(batch, "batch"), ["user_id", "stock_id"], "full")
+    return both.select(
+        "user_id", "stock_id", "requests", (F.col("requests_hash").eqNullSafe(F.col("batch_hash"))).alias("same_as_batch")
     )

@@ -9,20 +9,35 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# What every session of this library needs, local or not.
+SESSION_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    # Sides already partitioned by the user alone may join on user and date without a shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
+def job_session(name: str) -> SparkSession:
+    builder = SparkSession.builder.appName(name)
+    for key, value in SESSION_CONF.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
 
 def local_session(name: str = "tallyglass", cores: int | str | None = None) -> SparkSession:
     cores = cores or os.environ.get("BENCH_CPUS", "8")
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
+    for key, value in SESSION_CONF.items():
+        builder = builder.config(key, value)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(name)
+        builder
         .config("spark.sql.shuffle.partitions", str(cores).replace("*", "8"))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Sides already partitioned by the user alone may join on user and date without a shuffle.
-        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .getOrCreate()
     )
 

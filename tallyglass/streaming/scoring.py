@@ -20,6 +20,7 @@ from tallyglass.operators.encode import fill_missing
 from tallyglass.operators.features import request_features
 from tallyglass.sources.predictions import PREDICTION_SCHEMA
 
+# Names and types of a request.
 REQUEST_SCHEMA = T.StructType(
     [
         T.StructField("user_id", T.StringType()),
@@ -39,33 +40,71 @@ REQUEST_SCHEMA = T.StructType(
     ]
 )
 
+# What a JSON reader could not read as a request, whole.
+CORRUPT = "_corrupt_record"
+
 Scorer = Callable[[DataFrame], DataFrame]
 
 
 def read_requests(spark: SparkSession, path: str, fmt: str = "json", files_per_batch: int = 1000) -> DataFrame:
+    """Requests as they arrive; lines that are none keep their text in ``_corrupt_record``."""
+    schema = REQUEST_SCHEMA if fmt != "json" else T.StructType([*REQUEST_SCHEMA, T.StructField(CORRUPT, T.StringType())])
     return (
-        spark.readStream.schema(REQUEST_SCHEMA)
+        spark.readStream.schema(schema)
         .format(fmt)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .load(path)
     )
 
 
+def checked_requests(requests: DataFrame) -> DataFrame:
+    """The requests with ``reason``: why a row is no request, null where it is one.
+
+    Every field is required. A line that is no JSON, or has a value of the wrong type, is malformed.
+    """
+    fields = [F.col(f) if f in requests.columns else F.lit(None) for f in REQUEST_SCHEMA.fieldNames()]
+    missing = F.concat_ws(",", *[F.when(c.isNull(), F.lit(n)) for c, n in zip(fields, REQUEST_SCHEMA.fieldNames())])
+    reason = F.when(missing != "", F.concat(F.lit("missing "), missing))
+    if CORRUPT in requests.columns:
+        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed")).otherwise(reason)
+    return requests.withColumn("reason", reason)
+
+
+def accepted(requests: DataFrame) -> DataFrame:
+    rows = checked_requests(requests)
+    return rows.where("reason IS NULL").drop("reason", CORRUPT)
+
+
+def rejected(requests: DataFrame) -> DataFrame:
+    """``record`` and ``reason`` of the rows that are no requests."""
+    record = F.to_json(F.struct(*[c for c in requests.columns if c != CORRUPT]))
+    if CORRUPT in requests.columns:
+        record = F.coalesce(F.col(CORRUPT), record)
+    return checked_requests(requests).where("reason IS NOT NULL").select(record.alias("record"), "reason")
+
+
 def score_requests(
-    requests: DataFrame, scorer: Scorer, threshold: float, settings: Settings, scored_at: dt.datetime
+    requests: DataFrame, scorer: Scorer, threshold: float, settings: Settings, scored_at: dt.datetime | None = None
 ) -> DataFrame:
-    """Ids, probability, decision and constants of every request, batch or streaming alike."""
-    features = request_features(requests, settings).transform(
+    """Ids, probability, decision and constants of every request, batch or streaming alike.
+
+    Rows that are no requests are left out; ``rejected`` has them. Without ``scored_at`` the time and date
+    are those of the micro-batch, for a stream that keeps running.
+    """
+    features = request_features(accepted(requests), settings).transform(
         fill_missing, settings.feature_columns, settings.fill_value
     )
+    time = F.current_timestamp() if scored_at is None else moment(scored_at)
+    date = F.to_date(time) if scored_at is None else F.lit(settings.as_of)
     return features.transform(scorer).select(
         "user_id",
         "stock_id",
         "probability",
         decide(F.col("probability"), threshold).alias("prediction"),
-        moment(scored_at).alias("prediction_time"),
+        time.alias("prediction_time"),
         F.lit(settings.model_version).alias("model_version"),
-        F.lit(settings.as_of).alias("prediction_date"),
+        date.alias("prediction_date"),
     )
 
 
@@ -89,3 +128,15 @@ def start_scoring(
         .trigger(**when)
         .start(root)
     )
+
+
+def start_rejects(requests: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Append what is no request to a table of its own, from the same files, with its own checkpoint."""
+    when = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        rejected(requests)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**when)
+        .start(root)
+    )

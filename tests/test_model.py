@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from tallyglass.__main__ import main
 from tallyglass.config import Settings
 from tallyglass.operators.curves import rank_scores, roc_auc
-from tallyglass.operators.model import load_model, model_info, save_model, train_model
-from tallyglass.plans.batch import model_frame, run_batch, stored_features
+from tallyglass.operators.model import best_rounds, load_model, model_info, save_model, train_model
+from tallyglass.plans.batch import model_frame, run_batch, stored_features, train_or_load
 from tallyglass.session import scratch_path
+from tallyglass.sinks.tables import save_snapshot
 from tallyglass.sources.predictions import read_predictions
-from tallyglass.streaming.scoring import REQUEST_SCHEMA, read_requests, score_requests, start_scoring
+from tallyglass.streaming.scoring import (
+    REQUEST_SCHEMA,
+    read_requests,
+    score_requests,
+    start_rejects,
+    start_scoring,
+)
 
 AS_OF = dt.date(2024, 1, 30)
 SMALL = replace(Settings(), as_of=AS_OF, max_depth=3, boosting_rounds=3)
@@ -98,10 +105,21 @@ def test_early_stopping_trains_no_more_rounds(frame, stored):
 def test_unlabelled_rows_are_not_trained_on(frame, stored, model):
     extra = frame.withColumn("purchased_stock", F.lit(None).cast("int"))
     same = train_model(frame.unionByName(extra), stored)
-    assert same.info[6] == pytest.approx(model.info[6], abs=0.1)
+    assert same.info["best_f1"] == pytest.approx(model.info["best_f1"], abs=0.1)
+    assert same.info["params"]["train_rows"] == model.info["params"]["train_rows"]
 
 
-def test_batch_trains_once_then_reuses(spark, stored):
+def test_watched_rounds_stop_at_the_minimum(frame, stored):
+    assert best_rounds([5.0, 4.0, 4.5, 4.6, 1.0], 2) == 2
+    assert best_rounds([5.0, 4.0, 4.5, 3.0], 2) == 4
+    assert best_rounds([1.0], 1) == 1
+    watched = train_model(frame, replace(stored, boosting_rounds=6, learning_rate=0.9, early_stopping_rounds=1))
+    params = watched.info["params"]
+    losses = [float(params[f"loss_{i}"]) for i in range(1, 7)]
+    assert int(params["trees_built"]) == watched.pipeline.stages[-1].getNumTrees == best_rounds(losses, 1)
+
+
+def test_batch_trains_once_then_reuses_or_retrains(spark, stored):
     store = scratch_path(spark, "store")
     rows = stored_features(spark, stored, dt.date(2024, 1, 1), AS_OF)
     root = run_batch(rows, stored, store)
@@ -111,15 +129,94 @@ def test_batch_trains_once_then_reuses(spark, stored):
     run_batch(rows, replace(stored, max_depth=2), store, scoring=day)
     assert model_info(spark, f"{store}/model").first() == first
     assert read_predictions(spark, [root], AS_OF, 0).count() == 40
-    logged = {r.metric for r in spark.read.parquet(f"{store}/metrics").collect()}
-    assert logged == {"auc", "best_f1", "best_threshold"}
+    fewer = replace(stored, feature_columns=stored.feature_columns[:5])
+    with pytest.raises(ValueError, match="retrain"):
+        run_batch(rows, fewer, store)
+    run_batch(rows, replace(fewer, max_depth=2), store, retrain=True)
+    again = load_model(spark, f"{store}/model")
+    assert again.info["params"]["max_depth"] == "2" and again.info["number"] == 2
+    assert again.info["features"] == list(fewer.feature_columns)
+    logged = {r.metric: r.value for r in spark.read.parquet(f"{store}/metrics").collect()}
+    assert {"auc", "best_f1", "best_threshold"} <= set(logged)
+    assert logged["param_max_depth"] == 2 and logged["param_trees_built"] == 3
+    assert logged["param_train_rows"] + logged["param_test_rows"] == 1200
+
+
+def test_training_reads_the_snapshot_it_wrote(spark, stored):
+    """A run for an earlier day does not train on a later day's snapshot."""
+    store = scratch_path(spark, "store")
+    rows = stored_features(spark, stored, dt.date(2024, 1, 1), AS_OF)
+    save_snapshot(model_frame(rows.limit(7), stored), f"{store}/snapshots", "20250101_000000")
+    _, frame = train_or_load(model_frame(rows, stored), stored, store)
+    assert frame.count() == 1200
+
+
+def test_training_keys_are_honoured_or_refused(tmp_path):
+    config = tmp_path / "c.json"
+    config.write_text(json.dumps({"early_stopping_rounds": 5, "n_estimators": 300, "reports_prefix": "r", "run_id": "x"}))
+    settings = Settings.from_json(config)
+    assert (settings.early_stopping_rounds, settings.n_estimators, settings.reports_prefix, settings.run_id) == (5, 300, "r", "x")
+    config.write_text(json.dumps({"gamma": 1}))
+    with pytest.raises(ValueError, match="gamma"):
+        Settings.from_json(config)
+    with pytest.raises(ValueError, match="hot_key_share"):
+        Settings(hot_key_share=2.0)
+
+
+def test_files_outside_the_log_are_not_predictions(spark, stored, model):
+    root = scratch_path(spark, "stream")
+    whole_requests(spark, stored).write.json(f"{root}/requests")
+    stream = score_requests(read_requests(spark, f"{root}/requests"), model.score, model.threshold, stored, dt.datetime(2024, 1, 30))
+    start_scoring(stream, f"{root}/out", f"{root}/ck").awaitTermination()
+    day = f"{root}/out/prediction_date=2024-01-30"
+    orphan = spark.read.parquet(day).limit(5)
+    orphan.write.mode("append").parquet(day)
+    assert spark.read.schema(orphan.schema).parquet(day).count() == 1205
+    assert read_predictions(spark, [f"{root}/out"], AS_OF).count() == 1200
+    assert read_predictions(spark, [f"{root}/out"], dt.date(2024, 3, 1)).count() == 0
+
+
+def test_rows_that_are_no_requests_are_rejected(spark, stored, model):
+    root = scratch_path(spark, "stream")
+    good = whole_requests(spark, stored).limit(3)
+    lines = [json.loads(r) for r in good.toJSON().collect()]
+    texts = [json.dumps(x) for x in lines]
+    texts += ["no json", json.dumps({"user_id": "u"}), json.dumps(lines[0] | {"close_price": "abc"}), json.dumps(lines[0] | {"sector": None})]
+    spark.createDataFrame([(t,) for t in texts], "value string").write.text(f"{root}/requests")
+    arriving = read_requests(spark, f"{root}/requests")
+    start_scoring(score_requests(arriving, model.score, 0.5, stored, dt.datetime(2024, 1, 30)), f"{root}/out", f"{root}/ck").awaitTermination()
+    start_rejects(arriving, f"{root}/bad", f"{root}/bad_ck").awaitTermination()
+    assert read_predictions(spark, [f"{root}/out"], AS_OF).count() == 3
+    bad = {r.record: r.reason for r in spark.read.parquet(f"{root}/bad").collect()}
+    assert len(bad) == 4 and bad["no json"] == "malformed"
+    assert sorted(r.split(",")[0] for r in bad.values()) == ["malformed", "malformed", "missing sector", "missing stock_id"]
+    assert score_requests(good.withColumn("sector", F.lit(None).cast("string")), model.score, 0.5, stored, dt.datetime(2024, 1, 30)).count() == 0
+
+
+def test_running_stream_stamps_each_batch_with_its_time(spark, stored, model):
+    root = scratch_path(spark, "stream")
+    whole_requests(spark, stored).limit(4).repartition(1).write.json(f"{root}/requests")
+    stream = score_requests(read_requests(spark, f"{root}/requests"), model.score, 0.5, stored)
+    start_scoring(stream, f"{root}/out", f"{root}/ck").awaitTermination()
+    whole_requests(spark, stored).limit(6).repartition(1).write.mode("append").json(f"{root}/requests")
+    start_scoring(stream, f"{root}/out", f"{root}/ck").awaitTermination()
+    rows = spark.read.parquet(f"{root}/out")
+    times = {r.prediction_time: r.n for r in rows.groupBy("prediction_time").agg(F.count("*").alias("n")).collect()}
+    assert sorted(times.values()) == [4, 6] and max(times, key=times.get) == max(times)
+    assert rows.where("prediction_date <> to_date(prediction_time) OR prediction_date = date'2024-01-30'").count() == 0
+
+
+def whole_requests(spark, stored):
+    """Requests with every field, as a client sends them."""
+    day = stored_features(spark, stored, dt.date(2024, 1, 1), AS_OF)
+    rows = day.withColumn("portfolio_diversity_score", F.lit(0.1)).fillna({"avg_volume_30d": 800, "days_since_last_purchase": 0})
+    return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA])
 
 
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_stream_equals_batch(spark, stored, model, fmt):
     root = scratch_path(spark, "stream")
-    day = stored_features(spark, stored, dt.date(2024, 1, 1), AS_OF)
-    requests = day.select([c for c in REQUEST_SCHEMA.fieldNames() if c in day.columns])
+    requests = whole_requests(spark, stored)
     requests.repartition(4).write.format(fmt).save(f"{root}/requests")
     now = dt.datetime(2024, 1, 30, 12)
     args = (model.score, model.threshold, stored, now)
@@ -157,7 +254,7 @@ def test_jobs_from_the_command_line(spark, stored, tmp_path, capsys):
     main(["batch", *common, "--score-yesterday"])
     assert read_predictions(spark, [f"{store}/predictions"], AS_OF, 0).count() == 40
     requests = scratch_path(spark, "requests")
-    stored_features(spark, stored, AS_OF, AS_OF).drop("date", "as_of_date").write.json(requests)
+    whole_requests(spark, stored).limit(40).write.json(requests)
     main(["stream", *common, "--requests", requests])
     assert read_predictions(spark, [f"{store}/online_predictions"], AS_OF, 0).count() == 40
     main(["monitor", *common])

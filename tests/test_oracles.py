@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from tallyglass.plans.oracles import ORACLES
+from tallyglass.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-ROWS_ONLY = {"gbt_train_score", "model_info", "batch_pipeline"}
 
 
 def views(sf_dir):
@@ -57,19 +58,23 @@ def rows_of(names, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_has_all_of_them():
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql())
 
 
 def check(spark, con, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
-    result = con.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    result = con.execute(ORACLES[name])
     names = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(names)
     assert rows_of(df.columns, df.collect()) == rows_of(names, result.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, duck, sf_dir, name):
     check(spark, duck, sf_dir, name)
 

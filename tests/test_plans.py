@@ -15,7 +15,18 @@ from tallyglass.sinks.tables import save_predictions
 from tallyglass.sources.predictions import read_predictions
 from tallyglass.sources.tables import actual_purchases, scan_range
 
-WRITING = {"gbt_train_score", "model_info", "batch_pipeline", "stream_scoring", "monitoring_report"}
+WRITING = {
+    "gbt_train_score",
+    "model_quality",
+    "early_stopping",
+    "training_log",
+    "model_info",
+    "batch_pipeline",
+    "stream_scoring",
+    "stream_scoring_model",
+    "rejected_requests",
+    "monitoring_report",
+}
 
 
 def plan_of(df) -> str:
