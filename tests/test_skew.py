@@ -41,3 +41,11 @@ def test_exact_copies_of_a_hot_key_spread(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert tasks > 1
+
+
+def test_no_hot_key_means_the_plain_join(spark):
+    left, right = sides(spark)
+    even = left.where("user_id <> 'hot'")
+    joined = salted_join(even, right, ["user_id", "date"], 0.05)
+    assert joined.count() == 2000
+    assert "salt" not in joined._jdf.queryExecution().executedPlan().toString()
