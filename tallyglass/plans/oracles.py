@@ -142,6 +142,7 @@ ORACLES["features_learned_vocab"] = _with(
 ORACLES["features_yesterday"] = _with(
     _FEATURES, f"SELECT {_FEATURE_COLUMNS} FROM features WHERE date = DATE '2024-01-29'"
 )
+ORACLES["features_from_state"] = ORACLES["features_yesterday"]
 ORACLES["training_window"] = _with(
     _FEATURES,
     f"SELECT {_FEATURE_COLUMNS} FROM features WHERE date BETWEEN DATE '2023-12-31' AND DATE '2024-01-30'",
@@ -445,9 +446,11 @@ paired AS (SELECT * FROM predictions JOIN actuals USING (user_id))""",
 ORACLES["monitoring_report"] = _with(
     _MONITORED,
     f"""SELECT '2024-01-30T00:00:00' AS timestamp, '{_SETTINGS.model_version}' AS model_version,
-  total_predictions, accuracy, f1_score, any_drift_detected, feature,
+  {_METRIC_COLUMNS}, any_drift_detected, feature,
+  {_r("current_mean")}, {_r("reference_mean")}, {_r("current_stddev")}, {_r("reference_stddev")},
   round(CASE WHEN isinf(mean_diff_pct) THEN NULL ELSE mean_diff_pct END, 6) AS mean_diff_pct,
   round(CASE WHEN isinf(stddev_diff_pct) THEN NULL ELSE stddev_diff_pct END, 6) AS stddev_diff_pct,
+  reference_mean = 0 OR reference_stddev = 0 AS reference_is_zero,
   drift_detected
 FROM report, metrics, (SELECT coalesce(bool_or(drift_detected), false) AS any_drift_detected FROM report) AS flag""",
 )

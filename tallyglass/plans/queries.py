@@ -32,11 +32,12 @@ from tallyglass.operators.features import (
 from tallyglass.operators.model import Model, load_model, model_info
 from tallyglass.operators.scale import fit_scaler, scale
 from tallyglass.operators.split import train_test_split
-from tallyglass.plans.batch import model_frame, run_batch, train_or_load
+from tallyglass.plans.batch import model_frame, run_batch, train_or_load, yesterday_features
 from tallyglass.plans.monitoring import alerts, prediction_quality, run_monitoring
 from tallyglass.session import scratch_path
 from tallyglass.sinks.metrics import flatten_metrics, log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
+from tallyglass.sources import stored_days
 from tallyglass.sources.daily import daily_bars, daily_market, daily_user
 from tallyglass.sources.predictions import read_predictions
 from tallyglass.sources.snapshots import read_latest_snapshot
@@ -248,6 +249,18 @@ def features_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(all_features(spark, sf_dir, YESTERDAY, YESTERDAY))
 
 
+@query("features_from_state")
+def features_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yesterday's features from tables kept by day: history once, then two daily runs."""
+    events, customers = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")
+    root = scratch_path(spark, "days")
+    stored_days.bootstrap(events, customers, root, YESTERDAY - dt.timedelta(days=2))
+    for back in (1, 0):
+        stored_days.advance(events, customers, root, YESTERDAY - dt.timedelta(days=back))
+    kept = replace(SETTINGS, market_data_path=f"{root}/market", user_data_path=f"{root}/user")
+    return shown(yesterday_features(spark, kept))
+
+
 @query("training_window")
 def training_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(all_features(spark, sf_dir, *last_days(AS_OF, 30)))
@@ -564,12 +577,17 @@ def monitoring_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         store,
         RUN_TIME,
     )
-    entry = "struct<mean_diff_pct: double, stddev_diff_pct: double, drift_detected: boolean>"
+    values = ("current_mean", "reference_mean", "mean_diff_pct", "current_stddev", "reference_stddev", "stddev_diff_pct")
+    entry = "struct<" + ", ".join(f"{v}: double" for v in values) + ", reference_is_zero: boolean, drift_detected: boolean>"
+    metrics = ", ".join(
+        f"{m}: double"
+        for m in (
+            "total_predictions", "accuracy", "precision", "recall", "f1_score", "true_positive_rate", "false_positive_rate",
+        )
+    )
     parsed = F.from_json(
         "value",
-        "timestamp string, model_version string, "
-        "performance_metrics struct<total_predictions: double, accuracy: double, f1_score: double>, "
-        f"data_drift_metrics map<string, string>",
+        f"timestamp string, model_version string, performance_metrics struct<{metrics}>, data_drift_metrics map<string, string>",
     )
     document = spark.read.text(result.report_path).select(parsed.alias("r"))
     features = document.select(
@@ -581,11 +599,7 @@ def monitoring_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             "feature", "entry"
         ),
     )
-    return shown(
-        features.withColumn("entry", F.from_json("entry", entry)).select("*", "entry.*").drop("entry"),
-        "mean_diff_pct",
-        "stddev_diff_pct",
-    )
+    return shown(features.withColumn("entry", F.from_json("entry", entry)).select("*", "entry.*").drop("entry"), *values)
 
 
 # --- round trips --------------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyglass.config import WEEKDAYS
@@ -30,6 +30,20 @@ DAY_NAMES = (*WEEKDAYS, "Saturday", "Sunday")
 LARGE_FROM, MID_FROM = 6000.0, 2000.0
 
 
+def bar_values() -> list[Column]:
+    return [
+        F.min_by("value", "event_id").alias("open_price"),
+        F.max_by("value", "event_id").alias("close_price"),
+        F.max("value").alias("high_price"),
+        F.min("value").alias("low_price"),
+        F.count("*").alias("volume"),
+    ]
+
+
+def purchase_value() -> Column:
+    return F.max((F.col("event_type") == "purchase").cast("int")).alias("purchased_stock")
+
+
 def daily_bars(events: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Open, close, high, low and volume per user and day, with the trailing average volume.
 
@@ -41,13 +55,7 @@ def daily_bars(events: DataFrame, start: dt.date | None = None, end: dt.date | N
     days = (
         events.select("user_id", F.to_date("ts").alias("date"), "event_id", "value")
         .groupBy("user_id", "date")
-        .agg(
-            F.min_by("value", "event_id").alias("open_price"),
-            F.max_by("value", "event_id").alias("close_price"),
-            F.max("value").alias("high_price"),
-            F.min("value").alias("low_price"),
-            F.count("*").alias("volume"),
-        )
+        .agg(*bar_values())
     )
     trailing = (
         Window.partitionBy("user_id")
@@ -67,6 +75,10 @@ def daily_market(
     end: dt.date | None = None,
 ) -> DataFrame:
     """Daily bars with the attributes of the traded stock, in the market schema."""
+    return with_owner(daily_bars(events, start, end), customers)
+
+
+def with_owner(bars: DataFrame, customers: DataFrame) -> DataFrame:
     # Joined after the bars' window, whose partitioning by user the join can reuse.
     owner = customers.select(
         F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_acctbal", "c_nationkey"
@@ -80,7 +92,7 @@ def daily_market(
         .when(F.col("c_acctbal") >= MID_FROM, "Mid")
         .otherwise("Small")
     )
-    return daily_bars(events, start, end).join(owner, "user_id", "left").select(
+    return bars.join(owner, "user_id", "left").select(
         "user_id",
         "date",
         F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("stock_id"),
@@ -100,14 +112,15 @@ def daily_market(
 def daily_user(events: DataFrame, start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Purchase label, last earlier purchase and earlier purchase rate per user and day.
 
-    The history is unbounded, so of a date range only the end can be pushed to the scan.
+    The history is unbounded, so of a date range only the end can be pushed to the scan; a daily job
+    takes ``stored_days.advance`` instead, which keeps the history as a state per user.
     """
     if end:
         events = events.where(in_date_range(events, "ts", None, end))
     days = (
         events.select("user_id", F.to_date("ts").alias("date"), "event_type")
         .groupBy("user_id", "date")
-        .agg(F.max((F.col("event_type") == "purchase").cast("int")).alias("purchased_stock"))
+        .agg(purchase_value())
     )
     before = (
         Window.partitionBy("user_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)

@@ -13,6 +13,7 @@ from tallyglass.plans.queries import QUERIES, SETTINGS, all_features
 from tallyglass.session import scratch_path
 from tallyglass.sinks.tables import save_predictions
 from tallyglass.sources.predictions import read_predictions
+from tallyglass.sources.stored_days import advance, bootstrap, day_tables
 from tallyglass.sources.tables import actual_purchases, scan_range
 
 WRITING = {
@@ -126,3 +127,39 @@ def test_drift_of_twelve_columns_scans_each_side_once(spark):
 def test_operators_are_lazy(spark, sf_dir):
     """Building features with a known vocabulary runs nothing but the reading of file schemas."""
     assert jobs_of(spark, "lazy", lambda: all_features(spark, sf_dir)) <= 2
+
+
+def test_daily_run_reads_a_day_of_the_log(spark, sf_dir):
+    """Every scan of the log is bounded on both sides, and of the kept tables only the needed days are read."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    root, day = scratch_path(spark, "days"), dt.date(2024, 1, 20)
+    bootstrap(events, customers, root, day - dt.timedelta(days=1))
+    rows = day_tables(events, customers, root, day)
+    for name, table in rows.items():
+        plan = plan_of(table)
+        log = [s for s in re.findall(r"PushedFilters: \[(.*?)\]", plan) if "ts" in s]
+        assert log and all("GreaterThanOrEqual(ts,2024-01-20" in s and "LessThan(ts,2024-01-21" in s for s in log), name
+    first = {n: sorted(map(tuple, t.collect()), key=repr) for n, t in rows.items()}
+    for _ in range(2):
+        advance(events, customers, root, day)
+    for name in rows:
+        again = spark.read.parquet(f"{root}/{name}").where(F.col("date") == F.lit(day)).select(rows[name].columns)
+        assert sorted(map(tuple, again.collect()), key=repr) == first[name]
+
+
+def test_state_keeps_users_without_events(spark):
+    days = spark.createDataFrame(
+        [(1, dt.datetime(2024, 1, 1, 5), 1, "purchase", 1.0), (2, dt.datetime(2024, 1, 3, 5), 2, "view", 2.0), (3, dt.datetime(2024, 1, 4, 5), 1, "view", 3.0)],
+        "event_id long, ts timestamp, user_id long, event_type string, value double",
+    )
+    customers = spark.createDataFrame([], "c_custkey long, c_mktsegment string, c_acctbal double, c_nationkey int")
+    root = scratch_path(spark, "days")
+    for d in range(1, 5):
+        advance(days, customers, root, dt.date(2024, 1, d))
+    last = spark.read.parquet(f"{root}/state").where("date = date'2024-01-04'").orderBy("user_id").drop("date").collect()
+    assert [tuple(r) for r in last] == [(1, dt.date(2024, 1, 1), 2, 1), (2, None, 1, 0)]
+    user = {(r.user_id, r.date.day): r for r in spark.read.parquet(f"{root}/user").collect()}
+    assert set(user) == {(1, 1), (2, 3), (1, 4)}
+    assert user[1, 4].last_purchase_date == dt.date(2024, 1, 1) and user[1, 4].risk_tolerance == 1.0
+    assert user[1, 1].last_purchase_date is None and user[1, 1].risk_tolerance == 0.0
