@@ -59,8 +59,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table below the shared folder."""
-    return f"{shared_dir(spark)}/tallyglass/{name}-{uuid.uuid4().hex}"
+    """A fresh path for a written table below the shared folder.
+
+    All of an application's lie in one folder, which Hadoop removes when the driver's JVM ends.
+    """
+    own = f"{shared_dir(spark)}/tallyglass/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def kept(df: DataFrame) -> DataFrame:
