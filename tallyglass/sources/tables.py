@@ -1,4 +1,4 @@
-"""Market and user tables: schemas, date ranges and normalisation at the source."""
+"""Market and user tables: date ranges and normalisation at the source."""
 
 from __future__ import annotations
 
@@ -8,35 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARKET_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.StringType()),
-        T.StructField("date", T.DateType()),
-        T.StructField("stock_id", T.StringType()),
-        T.StructField("open_price", T.DoubleType()),
-        T.StructField("close_price", T.DoubleType()),
-        T.StructField("high_price", T.DoubleType()),
-        T.StructField("low_price", T.DoubleType()),
-        T.StructField("volume", T.LongType()),
-        T.StructField("avg_volume_30d", T.LongType()),
-        T.StructField("sector", T.StringType()),
-        T.StructField("market_cap_category", T.StringType()),
-        T.StructField("day_of_week", T.StringType()),
-    ]
-)
-
-USER_SCHEMA = T.StructType(
-    [
-        T.StructField("user_id", T.StringType()),
-        T.StructField("date", T.DateType()),
-        T.StructField("last_purchase_date", T.DateType()),
-        T.StructField("as_of_date", T.DateType()),
-        T.StructField("portfolio_diversity_score", T.DoubleType()),
-        T.StructField("risk_tolerance", T.DoubleType()),
-        T.StructField("purchased_stock", T.IntegerType()),
-    ]
-)
-
 
 def default_range(
     as_of: dt.date, start: dt.date | None = None, end: dt.date | None = None
