@@ -46,7 +46,9 @@ _TOKEN = re.compile(
     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/A-Za-z](?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*\Z|[^<]+|<",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: The same inside an article, whose own headings are content.
+_MARKED_INSIDE = re.compile(_MARKED.pattern.replace("header|", "").replace("masthead|", ""), re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
 class Line:
@@ -71,11 +73,12 @@ def _is_template(name: str, attributes: str, in_article: bool) -> bool:
     if name in TEMPLATE:
         # An article's own header holds its headline.
         return not (name == "header" and in_article)
+    marked = _MARKED_INSIDE if in_article else _MARKED
     for kind, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
-        value = next((v for v in values if v), "")
-        if kind.lower() == "hidden" or (kind.lower() == "aria-hidden" and value.lower() == "true"):
+        kind, value = kind.lower(), next((v for v in values if v), "")
+        if kind == "hidden" or (kind == "aria-hidden" and value.lower() == "true"):
             return True
-        if kind.lower() in ("class", "id", "role") and name not in ("html", "body", "article", "main") and _MARKED.search(value):
+        if kind in ("class", "id", "role") and name not in ("html", "body", "article", "main") and marked.search(value):
             return True
     return False
 

@@ -65,6 +65,21 @@ def test_extracts_articles_and_differences_neighbours(spark):
     assert html_extract.extract(pages(spark, [])).collect() == []
 
 
+def test_template_elements():
+    kept = {
+        "<div class='post-header'>no</div>": "",
+        "<article><div class='post-header'>Title</div><footer>no</footer>text</article>": "Title text",
+        "<div title='a hidden id=nav'>yes</div>": "yes",
+        "<div hidden>no</div><p aria-hidden='true'>no</p><p>yes</p>": "yes",
+        "<p class=\"cookie-notice\">no<p id=main>a<b>b</b> c<script>x</script> d": "ab c d",
+        "<ul class=menu><li>no</ul><table><tr><td>1<td>2</table>": "1 2",
+        "a &amp;lt; &#233; &nbsp; b < c": "a &lt; é b < c",
+        "<article><div class='comments'>no</div><p>x</article><p role=navigation>no": "x",
+    }
+    for page, text in kept.items():
+        assert " ".join(x.text for x in html_extract.lines_of(page) if not x.template) == text, page
+
+
 def test_result_does_not_depend_on_partitions(spark):
     rows = [(i, f"http://h{i % 3}.org/{i % 7}/{i}", plain(f"<p>text {i}</p>")) for i in range(60)]
     before = spark.conf.get("spark.sql.shuffle.partitions")
