@@ -205,11 +205,21 @@ def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
         docs.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(_examples, "kind string, example string").distinct(),
         "credential-examples",
     )
+    # Four rows; then a threshold on the hash keeps about twice the sample of each kind, of which the exact bound takes the first.
+    sizes = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    draw = F.pmod(F.xxhash64("example"), F.lit(1 << 30))
     rows = {
-        kind: [r[0] for r in found.where(F.col("kind") == kind).orderBy(F.xxhash64("example"), "example").limit(sample).select("example").collect()]
-        for kind in (*KINDS, LEARNED)
+        kind: [
+            r[0]
+            for r in found.where((F.col("kind") == kind) & (draw < int(min(1.0, 2 * sample / n) * (1 << 30))))
+            .orderBy(draw, "example")
+            .limit(sample)
+            .select("example")
+            .collect()
+        ]
+        for kind, n in sizes.items()
     }
-    return Formats({k: infer(rows[k]) for k in KINDS if rows[k]}, infer(rows[LEARNED]) if rows[LEARNED] else None)
+    return Formats({k: infer(rows[k]) for k in KINDS if rows.get(k)}, infer(rows[LEARNED]) if rows.get(LEARNED) else None)
 
 
 def all_spans(text: str, formats: Formats) -> list[tuple[int, int, str, str]]:

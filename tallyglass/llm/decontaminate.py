@@ -65,6 +65,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     Items that repeat an id are one item with the windows of all. Rows equal in ``doc_id`` and text get equal
     results. An empty table on either side is allowed. Extra columns are ignored, whatever their names.
     """
+    return _judged(docs, benchmark, window, shingle).drop("text_hash")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
     rows = identified(docs)
     windows, items = item_windows(benchmark, window, shingle)
     tokens = stored(
@@ -87,7 +91,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
         found.append(places.join(wanted.where(F.col("size") == size), "shingle").select("doc_id", "text_hash", "n_words", "at", "size", "shingle"))
     if not found:
         return rows.select(
-            "doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
+            "doc_id", "text_hash", F.size(words_of(F.col("text"))).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
             F.array().cast("array<string>").alias("item_ids"),
         )
     places = found[0]
@@ -142,12 +146,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
         .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     )
     return join_rows(verified, hit_items, "left").select(
-        "doc_id", "n_words", "n_hit", F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
+        "doc_id", "text_hash", "n_words", "n_hit", F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
     )
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """The documents without any occurrence of a window, with all their columns. Documents without an id stay only if clean."""
-    rows = contaminated(docs, benchmark, window, shingle)
-    hit = rows.where("n_hit > 0").select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["__hit"]), "left_anti")
+    """The documents without any occurrence of a window, with all their columns; each row is judged by its own text."""
+    hit = _judged(docs, benchmark, window, shingle).where("n_hit > 0")
+    hit = hit.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(hit["__doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == hit["__text_hash"])
+    return docs.join(hit, same, "left_anti")
