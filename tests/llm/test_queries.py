@@ -1,8 +1,12 @@
 """The registered text queries on the test tables, against SQL where there is any."""
 
+import hashlib
+
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 
+from tallyglass.llm.credentials import KINDS, base_spans
 from tallyglass.llm.queries import ORACLES, QUERIES
 
 COLUMNS = {
@@ -46,6 +50,19 @@ def test_contract_columns_come_first(spark, sf_dir, name):
         assert found.count() == spark.read.parquet(f"{sf_dir}/{source}.parquet").count()
 
 
+def test_secret_digests_are_those_of_the_patterns(spark, sf_dir):
+    found = {r["doc_id"]: r for r in QUERIES["op8_secret_scan"](spark, sf_dir).collect()}
+    texts = pq.read_table(f"{sf_dir}/documents.parquet").select(["doc_id", "text"]).to_pylist()
+    assert len(found) == len(texts)
+    for row in texts:
+        spans, got = base_spans(row["text"] or ""), found[row["doc_id"]]
+        joined = ",".join(f"{k}:{s}:{e}" for s, e, k, _ in spans)
+        assert got["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [got[f"n_{k}"] for k in KINDS] == [sum(x[2] == k for x in spans) for k in KINDS]
+        assert set(joined.split(",")) - {""} <= set(got["spans"].split(","))
+    assert sum(r["n_assign"] for r in found.values()) > 0
+
+
 def test_decontamination_runs_no_python(spark, sf_dir):
     plan = QUERIES["op4_benchmark_decontamination"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
