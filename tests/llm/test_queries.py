@@ -3,6 +3,7 @@
 import hashlib
 
 import duckdb
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -50,9 +51,13 @@ def test_contract_columns_come_first(spark, sf_dir, name):
         assert found.count() == spark.read.parquet(f"{sf_dir}/{source}.parquet").count()
 
 
-def test_secret_digests_are_those_of_the_patterns(spark, sf_dir):
-    found = {r["doc_id"]: r for r in QUERIES["op8_secret_scan"](spark, sf_dir).collect()}
+def test_secret_digests_are_those_of_the_patterns(spark, sf_dir, tmp_path):
     texts = pq.read_table(f"{sf_dir}/documents.parquet").select(["doc_id", "text"]).to_pylist()
+    for i, row in enumerate(texts):
+        key = hashlib.sha256(str(i).encode()).hexdigest()
+        row["text"] = [None, f"é token = '{key}' {row['text']}", f"AKIA{key[:16].upper()} {key}", row["text"]][i % 4]
+    pq.write_table(pa.Table.from_pylist(texts), tmp_path / "documents.parquet")
+    found = {r["doc_id"]: r for r in QUERIES["op8_secret_scan"](spark, str(tmp_path)).collect()}
     assert len(found) == len(texts)
     for row in texts:
         spans, got = base_spans(row["text"] or ""), found[row["doc_id"]]
