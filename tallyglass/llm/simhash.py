@@ -25,6 +25,8 @@ RADIUS = 3
 SHINGLE = 3
 #: Fingerprints of a group that one cell takes from each of its two parts.
 CELL = 2048
+#: Blocks compared at a time.
+_BLOCKS = 1 << 17
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -67,37 +69,56 @@ def _masks(radius: int) -> list[int]:
     return [x | y for x, y in combinations(blocks, 2)]
 
 
-def links_within(fps: np.ndarray, shared: int, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """A spanning forest, as pairs of positions, of the links among fingerprints that agree on ``shared`` bits."""
-    n = len(fps)
-    width = -(-n // 64)
-    padded = np.zeros(width * 64, dtype=np.uint64)
-    padded[:n] = fps
-    bits = [b for b in range(64) if not shared >> b & 1]
-    planes = np.empty((len(bits), width), dtype=np.uint64)
-    for i, b in enumerate(bits):
-        planes[i] = np.packbits((padded >> np.uint64(b) & np.uint64(1)).astype(np.uint8), bitorder="little").view("<u8")
-    adjacent = np.zeros((n, width), dtype=np.uint64)
-    for first in range(0, n, 512):
-        rows = np.arange(first, min(n, first + 512))
-        q, w = (x.ravel() for x in np.meshgrid(rows, np.arange(width), indexing="ij"))
+def links_within(groups: list[np.ndarray], radius: int = RADIUS) -> list[tuple[int, int]]:
+    """A spanning forest of the links inside each of several groups of fingerprints.
+
+    All groups are laid out in one set of bit planes, each from a machine word of its own on. A block is one
+    fingerprint against the 64 of one word of its group.
+    """
+    sizes = np.array([len(g) for g in groups])
+    widths = -(-sizes // 64)
+    first_word = np.cumsum(widths) - widths
+    group = np.repeat(np.arange(len(groups)), sizes)
+    place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    values = np.concatenate(groups)
+    padded = np.zeros(widths.sum() * 64, dtype=np.uint64)
+    padded[first_word[group] * 64 + place] = values
+    planes = np.stack(
+        [np.packbits((padded >> np.uint64(b) & np.uint64(1)).astype(np.uint8), bitorder="little").view("<u8") for b in range(64)]
+    )
+    blocks = widths[group]
+    last = np.cumsum(blocks)
+    near = np.zeros(last[-1], dtype=np.uint64)
+    for start in range(0, len(near), _BLOCKS):
+        block = np.arange(start, min(len(near), start + _BLOCKS))
+        q = np.searchsorted(last, block, side="right")
+        w = first_word[group[q]] + block - (last[q] - blocks[q])
         # counters[i] holds bit i of 64 distances at once; over: the distance has passed the radius.
         counters = [np.zeros(len(q), dtype=np.uint64) for _ in range((radius + 1).bit_length())]
         over = np.zeros(len(q), dtype=np.uint64)
-        for i, b in enumerate(bits):
-            carry = planes[i, w] ^ (np.uint64(0) - (fps[q] >> np.uint64(b) & np.uint64(1)))
+        for b in range(64):
+            carry = planes[b, w] ^ (np.uint64(0) - (values[q] >> np.uint64(b) & np.uint64(1)))
             for level in range(len(counters)):
                 counters[level], carry = counters[level] ^ carry, counters[level] & carry
             over |= _equals(counters, radius + 1)
-            if i % 8 == 7:
+            if b % 8 == 7:
                 live = over != _FULL
                 if not live.all():
-                    q, w, over = q[live], w[live], over[live]
+                    block, q, w, over = block[live], q[live], w[live], over[live]
                     counters = [c[live] for c in counters]
                     if not len(q):
                         break
-        adjacent[q, w] = ~over
-    return _forest(adjacent, n)
+        near[block] = ~over
+    # A fingerprint is always near itself, and padding may look near; neither is a link.
+    own = last - blocks + place // 64
+    near[own] &= ~(np.uint64(1) << (place % 64).astype(np.uint64))
+    found = []
+    first = np.concatenate([[0], np.cumsum(sizes * widths)])
+    for i in np.flatnonzero(np.add.reduceat(near != 0, first[:-1])):
+        members = groups[i]
+        for a, c in _forest(near[first[i] : first[i + 1]].reshape(sizes[i], widths[i]), int(sizes[i])):
+            found.append((members[a], members[c]))
+    return found
 
 
 def _equals(counters: list[np.ndarray], value: int) -> np.ndarray:
@@ -110,7 +131,7 @@ def _equals(counters: list[np.ndarray], value: int) -> np.ndarray:
 def _forest(adjacent: np.ndarray, n: int) -> list[tuple[int, int]]:
     unseen = np.packbits(np.arange(adjacent.shape[1] * 64) < n, bitorder="little").view("<u8").copy()
     links = []
-    for root in range(n):
+    for root in np.flatnonzero(adjacent.any(axis=1)).tolist():
         if not int(unseen[root // 64]) >> (root % 64) & 1:
             continue
         unseen[root // 64] &= ~np.uint64(1 << root % 64)
@@ -126,37 +147,37 @@ def _forest(adjacent: np.ndarray, n: int) -> list[tuple[int, int]]:
     return links
 
 
-def _cell_links(masks: list[int], radius: int):
-    """Links of each cell; cells come sorted, one after the other."""
+def _cell_links(radius: int):
+    """Links of each cell; cells come sorted, one after the other, and are compared in batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def close() -> pa.RecordBatch | None:
-            fps = np.concatenate(held)
-            if len(fps) < 2:
-                return None
-            pairs = links_within(fps.view(np.uint64), masks[key[0]], radius)
-            if not pairs:
-                return None
-            at = np.array(pairs)
-            return pa.RecordBatch.from_arrays([pa.array(fps[at[:, 0]]), pa.array(fps[at[:, 1]])], names=["a", "b"])
+        key, parts, ready, size = None, [], [], 0
+
+        def out() -> pa.RecordBatch:
+            at = np.array(links_within(ready, radius), dtype=np.uint64).reshape(-1, 2).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1])], names=["a", "b"])
 
         for batch in batches:
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("grouping", "key", "i", "j")]
-            fps = batch.column("fp").to_numpy(zero_copy_only=False)
+            fps = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
             if not len(fps):
                 continue
             change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
             for start, end in zip([0, *change], [*change, len(fps)], strict=True):
                 here = tuple(int(c[start]) for c in columns)
-                if here != key:
-                    if key is not None and (out := close()) is not None:
-                        yield out
-                    key, held = here, []
-                held.append(fps[start:end])
-        if key is not None and (out := close()) is not None:
-            yield out
+                if here != key and parts:
+                    ready.append(np.concatenate(parts))
+                    size += len(ready[-1]) * -(-len(ready[-1]) // 64)
+                    parts = []
+                    if size >= _BLOCKS:
+                        yield out()
+                        ready, size = [], 0
+                key = here
+                parts.append(fps[start:end])
+        if parts:
+            ready.append(np.concatenate(parts))
+        if ready:
+            yield out()
 
     return run
 
@@ -183,10 +204,12 @@ def links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFr
         .select("grouping", "key", "fp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
         .select("grouping", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "fp")
     )
+    # The rows are few bytes but much work, so their number of partitions is fixed and not coalesced by size.
+    partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        cells.repartition("grouping", "key", "i", "j")
+        cells.repartition(partitions, "grouping", "key", "i", "j")
         .sortWithinPartitions("grouping", "key", "i", "j")
-        .mapInArrow(_cell_links(masks, radius), "a long, b long")
+        .mapInArrow(_cell_links(radius), "a long, b long")
         .distinct()
     )
 
