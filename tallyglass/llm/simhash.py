@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyglass.llm.components import components
-from tallyglass.llm.rows import chunks, stored
+from tallyglass.llm.rows import chunks, identified, stored
 
 RADIUS = 3
 SHINGLE = 3
@@ -50,16 +50,17 @@ def _fingerprint_rows(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(found.view(np.int64))],
+                names=["doc_id", "text_hash", "fp"],
+            )
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's 64 bits as a signed long)."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(
-        _fingerprint_rows(shingle), "doc_id long, fp long"
-    )
+    """``doc_id, text_hash, fp`` (the fingerprint's 64 bits as a signed long)."""
+    return identified(docs).mapInArrow(_fingerprint_rows(shingle), "doc_id long, text_hash long, fp long")
 
 
 def _masks(radius: int) -> list[int]:
@@ -225,6 +226,10 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> Da
     both returned. A null ``doc_id`` is never the smallest unless its component has no other. Extra columns are
     ignored; an empty table gives an empty result.
     """
+    return _labelled(docs, radius, shingle).drop("text_hash")
+
+
+def _labelled(docs: DataFrame, radius: int, shingle: int) -> DataFrame:
     rows = stored(fingerprints(docs, shingle), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     found = components(links(distinct.select("fp"), radius))
@@ -233,19 +238,16 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> Da
     )
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """The documents whose ``doc_id`` is the smallest of its component, with all their columns.
+    """The documents whose ``doc_id`` is the smallest of their component, with all their columns.
 
-    A document without an id stays (nothing could name it as a copy). Of rows that repeat an id, all stay.
+    A document without an id stays (nothing could name it as a copy). Rows are judged by their own text: of
+    rows that repeat an id those stay that are in a component whose smallest id is theirs.
     """
-    gone = (
-        classes(docs, radius, shingle)
-        .groupBy("doc_id")
-        .agg(F.min("component_id").alias("component_id"))
-        .where("doc_id <> component_id")
-        .select(F.col("doc_id").alias("__gone"))
-    )
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    gone = _labelled(docs, radius, shingle).where("doc_id <> component_id")
+    gone = gone.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash")).distinct()
+    same = (docs["doc_id"] == gone["__doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["__text_hash"])
+    return docs.join(gone, same, "left_anti")
