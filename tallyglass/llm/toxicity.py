@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyglass.llm.rows import chunks, stored
 
-#: Labelled documents the model is fitted on, at most.
+#: Labelled documents the model is fitted on, if there are so many (give or take the chance of a hash).
 SAMPLE = 8000
 #: Documents of the sample a word must occur in.
 MIN_DOCS = 3
@@ -149,17 +149,17 @@ def _marks_by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 
 def _suspects(suspects: np.ndarray):
-    """Each document's suspicious features and their sentences."""
+    """Each document's suspicious features, by number, and their sentences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             both = [_sentences((t or b"").decode("utf-8", "replace")) for t in batch.column("text").to_pylist()]
-            both = [(h[k], s[k]) for h, s in both for k in [np.isin(h, suspects)]]
+            both = [(np.searchsorted(suspects, h[k]), s[k]) for h, s in both for k in [np.isin(h, suspects)]]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("toxic"),
-                    pa.array([h.tobytes() for h, _ in both], pa.binary()),
-                    pa.array([s.tobytes() for _, s in both], pa.binary()),
+                    pa.array([h.astype(np.int32).tobytes() for h, _ in both], pa.binary()),
+                    pa.array([s.astype(np.int32).tobytes() for _, s in both], pa.binary()),
                 ],
                 names=["toxic", "words", "sentences"],
             )
@@ -168,41 +168,44 @@ def _suspects(suspects: np.ndarray):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS) -> Model:
-    """Fit on at most ``sample`` labelled documents that are not held out, chosen by a hash of their id.
+    """Fit on about ``sample`` labelled documents (or all, if fewer) that are not held out, chosen by a hash of their id.
 
     A document with several labels is toxic if one says so; null labels say nothing. Features that stand in toxic documents
     no more often than in others are left out: under noisy-or a word can only add suspicion.
     """
-    chosen = (
+    labelled = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
     )
+    # A threshold on the hash, so that no task or driver sees more than the sample.
+    share = min(1.0, sample / max(1, labelled.count()))
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = stored(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
         # ``sample`` rows of two numbers.
         .join(F.broadcast(chosen), "doc_id")
-        .select("toxic", "text"),
+        .select("doc_id", "toxic", "text"),
         "labelled-sample",
-    ).repartition(F.xxhash64("text"))
+    ).repartition("doc_id")
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     expected = F.col("in_docs") * F.lit((toxic or 0) / max(n, 1))
     suspects = (
         rows.mapInArrow(_marks_by_document, "mark long, toxic int")
         .groupBy("mark")
         .agg(F.count(F.lit(1)).alias("in_docs"), F.sum("toxic").alias("in_toxic"))
-        .where((F.col("in_docs") >= min_docs) & (F.col("in_toxic") - expected >= 1.5 * F.sqrt(expected)))
+        .where((F.col("in_docs") >= min_docs) & (F.col("in_toxic") - expected >= 3 * F.sqrt(expected)))
         .select("mark")
         .toArrow()
     )
-    marks = np.sort(suspects.column("mark").to_numpy()).view(np.uint64)
+    marks = np.sort(suspects.column("mark").to_numpy().view(np.uint64))
     found = rows.mapInArrow(_suspects(marks), "toxic int, words binary, sentences binary").toArrow()
     # Sorted, so that the fit does not depend on the order in which tasks end.
     found = sorted(zip(*(found.column(c).to_pylist() for c in ("words", "sentences", "toxic")), strict=True))
-    return fit([(np.frombuffer(w, np.uint64), np.frombuffer(s, np.int64), y) for w, s, y in found])
+    return fit(
+        [(marks[np.frombuffer(w, np.int32)], np.frombuffer(s, np.int32).astype(np.int64), y) for w, s, y in found]
+    )
 
 
 def _scored(model: Model, threshold: float):
