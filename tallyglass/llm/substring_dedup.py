@@ -252,10 +252,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor_words: int = AN
         .mapInArrow(_window_rows(window), "anchor long, window long, path long, offset long, n long"),
         "windows",
     )
-    repeated = windows.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1")
+    # Stored, so that the join shuffles both sides itself and a hot window can be split over tasks.
+    repeated = stored(
+        windows.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "window"),
+        "repeated-windows",
+    )
     single = (
         windows.where("n = 1")
-        .join(repeated.select("anchor", "window"), ["anchor", "window"], "left_semi")
+        .join(repeated, ["anchor", "window"], "left_semi")
         .join(known.where("n = 1").select("anchor", "path", "source"), ["anchor", "path"])
         .select(
             "source.doc_id", "source.text_hash",
