@@ -258,9 +258,12 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     """``page_id, html_hash, shared``: numbers of the open lines a page shares with its partner, for pages that have any."""
     order = ["host", "path", "page_id", "html_hash"]
     columns = [*order, "keys", "open"]
+    # Stored first: cutting ranges reads the rows twice, and the pages should be parsed for it once.
+    lines = stored(
+        pages.mapInArrow(_keys, "page_id long, html_hash long, host string, path string, keys array<long>, open array<int>"), "lines"
+    )
     keyed = stored(
-        pages.mapInArrow(_keys, "page_id long, html_hash long, host string, path string, keys array<long>, open array<int>")
-        .repartitionByRange(*order)
+        lines.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id()),
         "page-lines",
