@@ -227,7 +227,9 @@ def search(
     asked = stored(asked_rows.groupBy("v").agg(F.min("vec_id").alias("id")), "query-vectors")
     element = kept.schema["v"].dataType.simpleString()
     filed = distinct.mapInArrow(_filed(forest), f"cell long, id long, v {element}")
-    probed = asked.select("id", "v").repartition("id").mapInArrow(_asked(forest, probes), f"cell long, id long, v {element}")
+    # Few bytes but much work: their number of partitions is fixed and not coalesced by size.
+    partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    probed = asked.select("id", "v").repartition(partitions, "id").mapInArrow(_asked(forest, probes), f"cell long, id long, v {element}")
     large = filed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
     large = stored(large.select("cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large-leaves")
     blocks = F.coalesce("blocks", F.lit(1))
@@ -241,7 +243,7 @@ def search(
         )
     )
     near = (
-        both.repartition("cell", "block")
+        both.repartition(partitions, "cell", "block")
         .sortWithinPartitions("cell", "block", "asked")
         .mapInArrow(_ranked(k + 1), "query long, id long, distance double")
         .groupBy("query", "id")
