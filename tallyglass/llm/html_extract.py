@@ -1,7 +1,9 @@
 """Main text of web pages by differencing each page with its nearest neighbour by URL.
 
 1. A page becomes a list of text lines, one per block, each with its place (path of block elements) and role.
-2. Pages are sorted by host and URL path; a page's partner is the neighbour of the same host whose path shares the longer beginning.
+2. Pages of a host with the same lines are one page from then on, so that no page is compared with a copy of itself.
+   They are sorted by host and URL path; a page's partner is the neighbour of the same host whose path shares the longer
+   beginning. A neighbour that shares nearly all text is another copy (a recrawl, a mirror) and no partner.
 3. The line sequences of both are aligned by their longest common subsequence. Shared lines are template and are deleted.
 4. Lines of menus, headers, footers, sidebars, notices, adverts, forms and comments go in any case, since a
    site may vary their wording from page to page. Lines inside an explicit article stay even when shared, since
@@ -25,6 +27,9 @@ from pyspark.sql import functions as F
 
 from tallyglass.llm.rows import chunks, stored
 
+#: Part of the text outside template elements, of either page, from which on two pages that share it are copies.
+COPY = 0.9
+
 # Element names of HTML.
 BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure"
@@ -189,8 +194,9 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([p for _, p in places], pa.string()),
                 pa.array([[x.key for x in page] for page in lines], pa.list_(pa.int64())),
                 pa.array([[i for i, x in enumerate(page) if x.open] for page in lines], pa.list_(pa.int32())),
+                pa.array([[0 if x.template else len(x.text) for x in page] for page in lines], pa.list_(pa.int32())),
             ],
-            names=["page_id", "html_hash", "host", "path", "keys", "open"],
+            names=["page_id", "html_hash", "host", "path", "keys", "open", "sizes"],
         )
 
 
@@ -206,28 +212,33 @@ def _alike(a: str, b: str) -> int:
 def _shared_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Open lines of each row that its nearer neighbour shares. Rows come sorted; borrowed rows lend only themselves."""
     before, now = None, None
+    names = ("host", "lines", "lines2", "path", "keys", "open", "sizes", "borrowed")
 
     def rows():
         for batch in batches:
-            yield from zip(*(batch.column(c).to_pylist() for c in ("page_id", "html_hash", "host", "path", "keys", "open", "borrowed")), strict=True)
+            yield from zip(*(batch.column(c).to_pylist() for c in names), strict=True)
         yield None
 
     found = []
 
     def out():
-        ids, hashes, shared = zip(*found, strict=True)
+        host, lines, lines2, shared = zip(*found, strict=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(shared, pa.list_(pa.int32()))],
-            names=["page_id", "html_hash", "shared"],
+            [pa.array(host, pa.string()), pa.array(lines, pa.int64()), pa.array(lines2, pa.int64()), pa.array(shared, pa.list_(pa.int32()))],
+            names=["host", "lines", "lines2", "shared"],
         )
 
     for after in rows():
-        if now and not now[6]:
-            near = [x for x in (before, after) if x and x[2] == now[2]]
-            if near:
-                partner = max(near, key=lambda x: _alike(x[3], now[3]))
-                if shared := common(now[4], partner[4]).intersection(now[5]):
-                    found.append((now[0], now[1], sorted(shared)))
+        if now and not now[7]:
+            near = [x for x in (before, after) if x and x[0] == now[0]]
+            for partner in sorted(near, key=lambda x: -_alike(x[3], now[3])):
+                shared = common(now[4], partner[4])
+                size = sum(now[6][i] for i in shared)
+                if size and size >= COPY * max(sum(now[6]), sum(partner[6])):
+                    continue
+                if shared := shared.intersection(now[5]):
+                    found.append((*now[:3], sorted(shared)))
+                break
         before, now = now, after
         if len(found) >= 1000:
             yield out()
@@ -256,14 +267,22 @@ def _main_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def shared_lines(pages: DataFrame) -> DataFrame:
     """``page_id, html_hash, shared``: numbers of the open lines a page shares with its partner, for pages that have any."""
-    order = ["host", "path", "page_id", "html_hash"]
-    columns = [*order, "keys", "open"]
-    # Stored first: cutting ranges reads the rows twice, and the pages should be parsed for it once.
+    same = ["host", "lines", "lines2"]
+    order = ["host", "path", "lines", "lines2"]
+    columns = [*order, "keys", "open", "sizes"]
+    # Stored first: the rows are read several times, and the pages should be parsed for it once. Equal lists of lines have equal hashes.
     lines = stored(
-        pages.mapInArrow(_keys, "page_id long, html_hash long, host string, path string, keys array<long>, open array<int>"), "lines"
+        pages.mapInArrow(
+            _keys, "page_id long, html_hash long, host string, path string, keys array<long>, open array<int>, sizes array<int>"
+        ).withColumns({"lines": F.xxhash64("keys", "open"), "lines2": F.xxhash64(F.lit(1), "keys", "open")}),
+        "lines",
+    )
+    # Copies on a host stand where the first of them stands.
+    distinct = (
+        lines.groupBy(*same).agg(F.min(F.struct("path", "keys", "open", "sizes")).alias("page")).select(*same, "page.*")
     )
     keyed = stored(
-        lines.repartitionByRange(*order)
+        distinct.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id()),
         "page-lines",
@@ -279,21 +298,22 @@ def shared_lines(pages: DataFrame) -> DataFrame:
         .where("part is not null")
         .select("row.*", "part", F.lit(True).alias("borrowed"))
     )
-    return (
+    shared = (
         keyed.select(*columns, "part", F.lit(False).alias("borrowed"))
         .unionByName(borrowed)
         .repartition("part")
         .sortWithinPartitions("part", *order)
         .select(*columns, "borrowed")
-        .mapInArrow(_shared_lines, "page_id long, html_hash long, shared array<int>")
+        .mapInArrow(_shared_lines, "host string, lines long, lines2 long, shared array<int>")
     )
+    return lines.select("page_id", "html_hash", *same).join(shared, same).select("page_id", "html_hash", "shared")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars``: the main text of each page, one row per row of ``pages``.
 
     White space inside a block is one space; blocks follow in page order, one space apart. Null and empty pages have the empty
-    text. A page without a neighbour on its host loses template blocks only. A null URL is an empty host and path. Pages
+    text. A page without a neighbour on its host, or with copies of itself only, loses template blocks only. A null URL is an empty host and path. Pages
     that repeat an id and html get equal texts. Extra columns are ignored; an empty table gives an empty result.
     """
     text = F.col("html").cast("string")

@@ -65,6 +65,32 @@ def test_extracts_articles_and_differences_neighbours(spark):
     assert html_extract.extract(pages(spark, [])).collect() == []
 
 
+def test_copies_do_not_delete_each_other(spark):
+    """Recrawls and mirrors share all lines, which does not make them template."""
+    long = " ".join(["a long text."] * 20)
+    rows = [
+        (1, "http://alone.org/z", plain("<p>alone</p>")),
+        (1, "http://alone.org/z", plain("<p>alone</p>")),
+        (2, "http://d.org/a/1", plain("<p>first</p>")),
+        *[(i, f"http://d.org/a/{i}", plain("<p>copied</p>")) for i in range(3, 30)],
+        (30, "http://d.org/b", plain("<p>last</p>")),
+        (39, "http://e.org/s", plain("<p>another</p>")),
+        (40, "http://e.org/t", plain(f"<p>{long}</p><p>crawled on day 1</p>")),
+        (41, "http://e.org/t", plain(f"<p>{long}</p><p>crawled on day 2</p>")),
+        (42, "http://e.org/u", plain("<p>other</p>")),
+    ]
+    got = texts(html_extract.extract(pages(spark, rows)))
+    assert got[1, "http://alone.org/z"] == "Part of Example alone All rights kept"
+    assert {got[i, f"http://d.org/a/{i}"] for i in range(3, 30)} == {"copied"}
+    assert got[2, "http://d.org/a/1"] == "first"
+    assert got[30, "http://d.org/b"] == "last"
+    assert got[42, "http://e.org/u"] == "other"
+    assert got[39, "http://e.org/s"] == "another"
+    # Each of the near copies is compared with the page on its other side.
+    assert got[40, "http://e.org/t"] == f"{long} crawled on day 1"
+    assert got[41, "http://e.org/t"] == f"{long} crawled on day 2"
+
+
 def test_template_elements():
     kept = {
         "<div class='post-header'>no</div>": "",
