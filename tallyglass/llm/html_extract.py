@@ -39,6 +39,27 @@ BLOCKS = frozenset(
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe textarea title svg math".split())
 TEMPLATE = frozenset("nav header footer aside form menu dialog button select fieldset head search".split())
+#: What ends an open paragraph, what stays in the head, and what an element left open cannot reach out of.
+_ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
+    " header hgroup hr li dd dt main menu nav ol p pre search section summary table ul".split()
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_P_SCOPE = frozenset("button caption html marquee object table td th".split())
+_ITEM_SCOPE = BLOCKS - {"address", "div", "p"}
+#: By start tag: the elements it ends if their end tag was left out, and where the search for them ends.
+_TABLE = frozenset({"table"})
+_ROWS = frozenset("caption colgroup tbody thead tfoot tr td th".split())
+_ENDS = {
+    **dict.fromkeys(_ENDS_P, (frozenset({"p"}), _P_SCOPE)),
+    **dict.fromkeys(("td", "th"), (frozenset({"caption", "td", "th"}), _TABLE | {"tr"})),
+    "tr": (frozenset({"caption", "colgroup", "tr", "td", "th"}), _TABLE | {"tbody", "thead", "tfoot"}),
+    **dict.fromkeys(("tbody", "thead", "tfoot", "caption", "colgroup"), (_ROWS, _TABLE)),
+    "option": (frozenset({"option"}), frozenset({"select", "optgroup"})),
+    "optgroup": (frozenset({"option", "optgroup"}), frozenset({"select"})),
+}
+_ITEMS = {"li": frozenset({"li"}), "dd": frozenset({"dd", "dt"}), "dt": frozenset({"dd", "dt"})}
 #: Words of class, id and role attributes that mark template blocks.
 _MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menus?|breadcrumbs?|header|footer|masthead|sidebar|aside|"
@@ -51,6 +72,7 @@ _TOKEN = re.compile(
     r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/A-Za-z](?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*\Z|[^<]+|<",
     re.S,
 )
+FORM, MARKED = 1, 2
 #: The same inside an article, whose own headings are content.
 _MARKED_INSIDE = re.compile(_MARKED.pattern.replace("header|", "").replace("masthead|", ""), re.I)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -74,8 +96,15 @@ class Line:
         return xxhash.xxh3_64_intdigest(f"{self.place}\0{self.text}") - (1 << 63)
 
 
-def _is_template(name: str, attributes: str, in_article: bool) -> bool:
-    if name in TEMPLATE:
+def _template(name: str, attributes: str, in_article: bool) -> int:
+    """0, or MARKED if the element is template; FORM if nothing but its name says so of a form."""
+    if _is_marked(name, attributes, in_article):
+        return MARKED
+    return FORM if name == "form" else 0
+
+
+def _is_marked(name: str, attributes: str, in_article: bool) -> bool:
+    if name in TEMPLATE and name != "form":
         # An article's own header holds its headline.
         return not (name == "header" and in_article)
     marked = _MARKED_INSIDE if in_article else _MARKED
@@ -88,19 +117,51 @@ def _is_template(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _close(stack: list[tuple[str, int, bool]], names: frozenset[str], scope: frozenset[str]) -> None:
+    """End the outermost of the open elements of these names that stands inside ``scope``, with all it holds."""
+    at = None
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i][0] in names:
+            at = i
+        elif stack[i][0] in scope:
+            break
+    if at is not None:
+        del stack[at:]
+
+
+def _close_left_open(stack: list[tuple[str, int, bool]], name: str) -> None:
+    """End the elements whose end tag may be left out before the start tag of ``name``."""
+    if stack and stack[-1][0] == "head" and name not in _IN_HEAD:
+        stack.pop()
+    if name in _ITEMS:
+        _close(stack, _ITEMS[name], _ITEM_SCOPE - _ITEMS[name])
+    if name in _ENDS:
+        _close(stack, *_ENDS[name])
+    if name in _HEADINGS and stack and stack[-1][0] in _HEADINGS:
+        stack.pop()
+
+
+def _in_template(stack: list[tuple[str, int, bool]]) -> bool:
+    """Whether an open element is template. A form round the page is not for the article it holds."""
+    state = 0
+    for _, template, article in stack:
+        state = max(0 if article and state == FORM else state, template)
+    return state > 0
+
+
 def lines_of(page: str) -> list[Line]:
     """The text lines of a page, in page order; markup, scripts and styles are gone, references decoded."""
     out: list[Line] = []
     parts: list[str] = []
     # Open elements: name, template, article.
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, int, bool]] = []
 
     def close_line() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
             place = "/".join(name for name, _, _ in stack if name in BLOCKS)
-            out.append(Line(text, place, any(t for _, t, _ in stack), any(a for _, _, a in stack)))
+            out.append(Line(text, place, _in_template(stack), any(a for _, _, a in stack)))
 
     position = 0
     while position < len(page):
@@ -109,6 +170,8 @@ def lines_of(page: str) -> list[Line]:
         if name is None:
             # What is not text is a comment, a declaration or a tag that the end of the page cuts off.
             if not re.match(r"<[!?/A-Za-z]", token):
+                if stack and stack[-1][0] == "head" and not token.isspace():
+                    stack.pop()
                 parts.append(token)
             continue
         name, attributes = name.lower(), found.group(3)
@@ -119,14 +182,15 @@ def lines_of(page: str) -> list[Line]:
             continue
         if name in BLOCKS:
             close_line()
+        if name == "hr":
+            _close_left_open(stack, name)
         if name in EMPTY or attributes.rstrip().endswith("/") and name not in BLOCKS:
             continue
         if not found.group(1):
-            if name == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
+            _close_left_open(stack, name)
             article = name in ("article", "main")
             inside = article or any(a for _, _, a in stack)
-            stack.append((name, _is_template(name, attributes, inside), article))
+            stack.append((name, _template(name, attributes, inside), article))
         elif any(open_[0] == name for open_ in stack):
             while stack.pop()[0] != name:
                 pass

@@ -106,6 +106,30 @@ def test_template_elements():
         assert " ".join(x.text for x in html_extract.lines_of(page) if not x.template) == text, page
 
 
+def test_end_tags_left_out():
+    """What HTML ends before a start tag makes nothing after it template."""
+    kept = {
+        "<p class=notice>no<div>yes</div>": "yes",
+        "<p class=ad>no<h1>a</h1><ul><li>b</ul>": "a b",
+        "<body><p class=cookie>no <b>no<article><p>yes</article>": "yes",
+        "<p class=ad>no<hr>yes": "yes",
+        "<ul><li class=promo>no<li>yes<ul><li class=ad>no</ul>yes<li>yes</ul>": "yes yes yes",
+        "<ul><li class=promo><div>no<ul><li>no</ul></div><li>yes</ul>": "yes",
+        "<dl><dt class=ad>no<dd>yes<dt>yes</dl>": "yes yes",
+        "<table><tr><td class=ad>no<td>yes<tr class=promo><td>no<tr><td>yes<table><tr><td class=ad>no</table>yes</table>": "yes yes yes",
+        "<table><thead class=menu><tr><td>no<tbody><tr><td>yes</table>": "yes",
+        "<table><tr><td><p class=ad>no<table><tr><td>yes</table></table>": "yes",
+        "<p class=ad>no<table><tr><td><p>yes</table>": "yes",
+        "<head><title>no</title><meta charset=utf-8><body><p>yes": "yes",
+        "<head><title>no</title>yes": "yes",
+        "<form><div>no</div><article><p>yes<form>no</form></article><main>yes</main>no</form>": "yes yes",
+        "<form class=search><article>no</article></form><div class=comments><article>no</article></div>": "",
+        "<nav><form><article>no</article></form></nav><form><aside><article>no</article></aside></form>": "",
+    }
+    for page, text in kept.items():
+        assert " ".join(x.text for x in html_extract.lines_of(page) if not x.template) == text, page
+
+
 def test_result_does_not_depend_on_partitions(spark):
     rows = [(i, f"http://h{i % 3}.org/{i % 7}/{i}", plain(f"<p>text {i}</p>")) for i in range(60)]
     before = spark.conf.get("spark.sql.shuffle.partitions")
