@@ -64,8 +64,8 @@ def remove_lines(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] =
     """``doc_id, n_lines, n_removed, text`` and the columns named in ``carry``, one row per row of ``docs``.
 
     Lines end at ``\\n`` and are compared as they are. A null text has no lines and stays null; an empty one has one
-    empty line. A text below ``window`` lines keeps all; so does the first of equal texts. Rows equal in
-    ``doc_id`` and text count as one place, so both keep what either keeps. A null ``doc_id`` sorts first.
+    empty line. A text below ``window`` lines keeps all; so does the first of equal texts. Of rows equal in
+    ``doc_id`` and text one is the first, and all windows of the others are later. A null ``doc_id`` sorts first.
     Other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     # Carried columns are renamed by position, so that none of their names can clash.
@@ -84,7 +84,22 @@ def remove_lines(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] =
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("at").alias("__starts"))
     )
-    joined = join_rows(rows, later, "left").select("doc_id", *own, F.col("text").alias("__text"), "__starts")
+    columns = ["doc_id", *own, F.col("text").alias("__text"), "__starts"]
+    copied = stored(
+        windows.where("at = 0").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "copied-texts"
+    )
+    if copied.isEmpty():
+        joined = join_rows(rows, later, "left").select(*columns)
+    else:
+        # Rows equal in id and text are numbered, which no other row needs; all but the first of them lose every window.
+        numbered = stored(join_rows(rows, copied).withColumn("__row", F.monotonically_increasing_id()), "copied-rows")
+        first = numbered.groupBy("doc_id", "text_hash").agg(F.min("__row").alias("__first"))
+        number = F.size(F.split(F.col("text").cast("string"), "\n"))
+        starts = F.when(F.col("__row") == F.col("__first"), F.col("__starts")).otherwise(F.sequence(F.lit(0), number - window))
+        joined = (
+            join_rows(join_rows(rows, copied, "left_anti"), later, "left").select(*columns)
+            .unionByName(join_rows(join_rows(numbered, first), later, "left").withColumn("__starts", starts).select(*columns))
+        )
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema if f.name in ("doc_id", *own))
     return joined.mapInArrow(_without(window), f"{fields}, __lines long, __removed long, __text binary").select(
         "doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"),

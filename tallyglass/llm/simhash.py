@@ -230,6 +230,12 @@ def classes(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> Da
 
 
 def _labelled(docs: DataFrame, radius: int, shingle: int) -> DataFrame:
+    rows, labels = _rows_and_labels(docs, radius, shingle)
+    return rows.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def _rows_and_labels(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of each row, and of each fingerprint ``root`` (of its component) and ``component_id``."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
     found = components(links(distinct.select("fp"), radius))
@@ -237,8 +243,7 @@ def _labelled(docs: DataFrame, radius: int, shingle: int) -> DataFrame:
         "fp", "doc_id", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = rooted.join(smallest, "root").select("fp", "component_id")
-    return rows.join(labels, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    return rows, rooted.join(smallest, "root").select("fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
@@ -251,3 +256,38 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> D
     gone = gone.select(F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash")).distinct()
     same = (docs["doc_id"] == gone["__doc_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["__text_hash"])
     return docs.join(gone, same, "left_anti")
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """Exactly one row of each component, with all its columns: smallest ``doc_id``, nulls last, then text hash.
+
+    Of rows equal in both, the one with the least hash of all columns stays (columns with maps aside, which have no
+    hash), so a file that was read twice, or a text that is stored many times without an id, is left once. An empty table gives an empty result.
+    """
+    rows, labels = _rows_and_labels(docs, radius, shingle)
+    identity = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    # Rows equal in id and text are one row from here on.
+    counted = rows.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    placed = stored(counted.join(labels.select("fp", "root"), "fp").select("root", "doc_id", "text_hash", "n"), "identities")
+    first = placed.groupBy("root").agg(F.min(identity).alias("first"))
+    judged = stored(
+        placed.join(first, "root").select(
+            F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash"), "n", (identity == F.col("first")).alias("stays")
+        ).where("n > 1 or not stays"),
+        "judged",
+    )
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__text_hash"))
+    single = docs.join(judged, same, "left_anti")
+    repeated = judged.where("stays")
+    if repeated.isEmpty():
+        return single
+    # Partial aggregation leaves one row of a task however many copies it reads.
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    kept = (
+        docs.join(repeated, same)
+        .groupBy("__doc_id", "__text_hash")
+        .agg(F.min_by(row, F.xxhash64(*hashed)).alias("__row"))
+        .select(*(F.col("__row")[c].alias(c) for c in docs.columns))
+    )
+    return single.unionByName(kept)

@@ -349,6 +349,39 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Rows repeated in full, rows without an id and used ids: one row of each component, whatever repeats."""
+    lines = [" ".join(f"w{i}x{j}" for j in range(12)) for i in range(40)]
+    rows = [(1, lines[0]), (1, lines[0]), (2, lines[0]), (None, lines[1]), (None, lines[1]), (None, lines[1]), (7, lines[2]), (None, lines[2])]
+    rows += [(8, lines[3]), (8, lines[4]), (None, None), (9, ""), (None, "")] + [(None, lines[5])] * 50 + [(20 + i, lines[6]) for i in range(30)]
+    given = spark.createDataFrame([(i, t, "en", n % 3, "x", 2, 3) for n, (i, t) in enumerate(rows)], SCHEMA)
+    kept = simhash.one_of_each(given)
+    assert kept.columns == given.columns and kept.dtypes == given.dtypes
+    want = [(1, lines[0]), (None, lines[1]), (7, lines[2]), (8, lines[3]), (8, lines[4]), (9, ""), (None, lines[5]), (20, lines[6])]
+    found = kept.collect()
+    assert sorted([tuple(r)[:2] for r in found], key=repr) == sorted(want, key=repr)
+    assert {tuple(r) for r in found} <= {tuple(r) for r in given.collect()}
+    assert simhash.one_of_each(given.where("doc_id < 0")).collect() == []
+
+
+def test_a_file_read_twice_passes_the_pipeline_once(spark, sf_dir):
+    once = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60")
+    twice = once.unionByName(once).unionByName(once.withColumn("doc_id", F.lit(None).cast("long")))
+    stages = dict(corpus_pipeline.STAGES)
+    found = []
+    for docs in (once, twice):
+        deduplicated = stages["SimHash near-dedup"](spark, docs, sf_dir)
+        found.append(sorted((tuple(r) for r in deduplicated.collect()), key=repr))
+    assert found[0] == found[1]
+
+
+def test_later_copies_of_a_row_lose_their_windows(spark):
+    rows = [(1, "a\nb\nc\nd"), (1, "a\nb\nc\nd"), (1, "a\nb\nc\nd"), (2, "x\na\nb\nc"), (3, "a\nb"), (3, "a\nb"), (None, "k\nl\nm"), (None, "k\nl\nm")]
+    found = line_dedup.remove_lines(frame(spark, rows), carry=("lang",)).collect()
+    want = [(1, 4, 0, "a\nb\nc\nd"), (1, 4, 4, ""), (1, 4, 4, ""), (2, 4, 3, "x"), (3, 2, 0, "a\nb"), (3, 2, 0, "a\nb"), (None, 3, 0, "k\nl\nm"), (None, 3, 3, "")]
+    assert sorted([tuple(r)[:4] for r in found], key=repr) == sorted(want, key=repr)
+
+
 def test_kept_text_digest_is_of_its_bytes(spark):
     row = substring_dedup.remove_repeats(frame(spark, [(1, "é  b\tc")])).select(F.sha2(F.col("text").cast("binary"), 256)).first()
     assert row[0] == hashlib.sha256("é b c".encode()).hexdigest()
