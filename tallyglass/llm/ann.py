@@ -187,7 +187,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (usual["n"] if usual else 0))
 
 
-def _top(df: DataFrame, by: str, order: list[str | Column], k: int, rank: str = "rank") -> DataFrame:
+def _top(df: DataFrame, by: str | list[str], order: list[str | Column], k: int, rank: str = "rank") -> DataFrame:
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col(rank) <= k)
 
 
@@ -202,6 +202,8 @@ def search(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found to each row where ``queries`` (over ``vec_id``) holds.
 
+    An id may stand for several vectors: each is indexed and found at its own distance, and each gives a query with ranks of its own.
+
     The score is the Euclidean distance in double precision, ties go to the smaller ``vec_id``, and rows with the query's own id
     are left out. Null ids, null or zero vectors, vectors with null or non-finite components or of an
     unusual length take no part. Rows that repeat id and vector count once. Fewer than ``k`` candidates: all of them.
@@ -210,21 +212,34 @@ def search(
     rows = usable(vectors)
     own = Window.partitionBy("v").orderBy("vec_id")
     # Spark keeps k + 1 ids of a vector in each task before it shuffles, however often the vector occurs.
+    kept = (
+        rows.withColumn("n", F.dense_rank().over(own)).where(F.col("n") <= k + 1)
+        .groupBy("v").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
+    )
+    # A distinct vector is named by a number of its own, in the order of its smallest id, which decides ties.
+    first = F.element_at("ids", 1)
     kept = stored(
-        rows.withColumn("n", F.dense_rank().over(own)).withColumn("id", F.first("vec_id").over(own)).where(F.col("n") <= k + 1),
+        kept.select(first.alias("first"), "v", "ids").repartitionByRange("first", "v").sortWithinPartitions("first", "v")
+        .select(F.monotonically_increasing_id().alias("id"), "first", "v", "ids"),
         "distinct-vectors",
     )
-    members = kept.select("id", "vec_id").distinct()
-    distinct = kept.where("n = 1").dropDuplicates(["id"]).select("id", "v")
-    count = distinct.count()
+    members = kept.select("id", F.explode("ids").alias("vec_id"))
+    distinct = kept.select("id", "v")
+    count = kept.count()
     share = min(1.0, sample / max(1, count))
     fitted = (
-        distinct.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * sample).select("v").toArrow()
+        kept.where(F.pmod(F.xxhash64("first"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * sample).select("v").toArrow()
     )
     forest = Forest.fit(_matrix(fitted.column("v").combine_chunks()), count, trees, leaf)
 
     asked_rows = rows.where(queries)
-    asked = stored(asked_rows.groupBy("v").agg(F.min("vec_id").alias("id")), "query-vectors")
+    asked = stored(asked_rows.select("v").distinct().select(F.monotonically_increasing_id().alias("id"), "v"), "query-vectors")
+    query_rows = stored(
+        asked_rows.join(asked, "v").select(F.col("vec_id").alias("query_id"), F.col("id").alias("query")).distinct(), "query-ids"
+    )
+    # A query leaves out all vectors of its own id, so as many more are looked for.
+    most = query_rows.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    depth = k + most
     element = kept.schema["v"].dataType.simpleString()
     filed = distinct.mapInArrow(_filed(forest), f"cell long, id long, v {element}")
     # Few bytes but much work: their number of partitions is fixed and not coalesced by size.
@@ -245,16 +260,13 @@ def search(
     near = (
         both.repartition(partitions, "cell", "block")
         .sortWithinPartitions("cell", "block", "asked")
-        .mapInArrow(_ranked(k + 1), "query long, id long, distance double")
+        .mapInArrow(_ranked(depth), "query long, id long, distance double")
         .groupBy("query", "id")
         .agg(F.min("distance").alias("distance"))
     )
-    near = _top(near, "query", ["distance", "id"], k + 1).drop("rank")
-    expanded = _top(near.join(members, "id"), "query", ["distance", "vec_id"], k + 1).drop("rank", "id")
-    query_rows = (
-        asked_rows.join(asked, "v").select(F.col("vec_id").alias("query_id"), F.col("id").alias("query")).distinct()
-    )
+    near = _top(near, "query", ["distance", "id"], depth).drop("rank")
+    expanded = _top(near.join(members, "id"), "query", ["distance", "vec_id"], depth).drop("rank", "id")
     result = query_rows.join(expanded, "query").where("query_id <> vec_id")
-    return _top(result, "query_id", ["distance", "vec_id"], k).select(
+    return _top(result, ["query_id", "query"], ["distance", "vec_id"], k).select(
         "query_id", "rank", "vec_id", F.col("distance").alias("score")
     )

@@ -193,6 +193,26 @@ def test_small_tables_are_searched_exactly(spark):
     assert ann.search(vectors(spark, []), F.col("vec_id") == 0).collect() == []
 
 
+def test_one_id_under_several_vectors(spark):
+    """Each vector is indexed and asked by itself, at its own distance."""
+    rng = np.random.default_rng(8)
+    rows = [(int(i), [float(x) for x in np.float32(rng.normal(size=8))]) for i in range(60)]
+    again = [[float(x) for x in np.float32(rng.normal(size=8))] for _ in range(4)]
+    rows += [(0, again[0]), (0, again[1]), (5, again[2]), (30, again[3]), (77, again[2])]
+    got = {}
+    for r in sorted(ann.search(vectors(spark, rows), F.col("vec_id") % 20 == 0).collect()):
+        got.setdefault((r["query_id"], r["rank"]), []).append((r["vec_id"], r["score"]))
+    want = {}
+    for q, v in rows:
+        if q % 20 == 0:
+            order = sorted((float(np.sqrt(((np.float64(v) - np.float64(w)) ** 2).sum())), j) for j, w in rows if j != q)
+            for rank, (d, j) in enumerate(order[:10], 1):
+                want.setdefault((q, rank), []).append((j, pytest.approx(d, rel=1e-12)))
+    assert got.keys() == want.keys()
+    for place, found in got.items():
+        assert found == sorted(want[place], key=lambda x: (x[0], x[1].expected)), place
+
+
 def test_recall_on_scattered_vectors(spark):
     """Vectors without any clusters, the hardest case; the leaves opened hold a part of them only."""
     rng = np.random.default_rng(1)
