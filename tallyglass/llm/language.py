@@ -14,14 +14,16 @@ from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyglass.llm.rows import chunks, stored
+from tallyglass.llm.rows import chunks, small, stored
 from tallyglass.llm.toxicity import held_out
 
 #: Documents of each language that the bits are learned from, at most.
 SAMPLE = 600
+#: Documents of all languages together, at most: with more than 64 languages each has fewer (one at least).
+TOTAL = 64 * SAMPLE
 #: Hashed n-gram features, a power of two.
 FEATURES = 4096
 GRAMS = (1, 2, 3)
@@ -49,6 +51,16 @@ def features(text: str, size: int = FEATURES) -> np.ndarray | None:
     return total / np.linalg.norm(total)
 
 
+def _least_distance(code: np.ndarray, rows: int = 1024) -> float:
+    """Twice the least number of bits in which two codewords differ."""
+    least = np.inf
+    for start in range(0, len(code), rows):
+        distance = code.shape[1] - code[start : start + rows] @ code.T
+        distance[np.arange(len(distance)), start + np.arange(len(distance))] = np.inf
+        least = min(least, distance.min())
+    return least
+
+
 def codewords(n: int, seed: int = 5) -> np.ndarray:
     """Bits (-1, 1) of ``n`` codewords: all ways to part up to six languages, else random ones that differ widely."""
     if n <= 6:
@@ -56,9 +68,12 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
         return np.array(bits, dtype=float).reshape(-1, n).T
     rng, width = np.random.default_rng(seed), 10 * ceil(log2(n))
     best, spread = None, -1
-    for _ in range(200):
+    # Fewer are tried of very many codewords, of which all pairs are compared.
+    tries = 200 if n <= 200 else max(1, 200 * 200**2 // n**2)
+    while tries > 0 or best is None:
+        tries -= 1
         code = rng.choice([-1.0, 1.0], size=(n, width))
-        distance = (width - code @ code.T)[~np.eye(n, dtype=bool)].min()
+        distance = _least_distance(code)
         usable = (np.abs(code.sum(axis=0)) < n).all()
         if usable and distance > spread:
             best, spread = code, distance
@@ -93,7 +108,8 @@ def fit(x: np.ndarray, languages: list[str], rounds: int = 120, rate: float = 4.
     names = tuple(sorted(set(languages)))
     if len(names) < 2:
         return Codes(names, np.ones((len(names), 0)), np.zeros((FEATURES, 0)), np.zeros(0), np.zeros(0))
-    y = np.array([names.index(v) for v in languages])
+    number = {name: i for i, name in enumerate(names)}
+    y = np.array([number[v] for v in languages])
     code = codewords(len(names))
     target = code[y].astype(np.float32)
     weigh = (1 / np.bincount(y)[y] / len(names))[:, None].astype(np.float32)
@@ -113,39 +129,43 @@ def fit(x: np.ndarray, languages: list[str], rounds: int = 120, rate: float = 4.
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches):
         rows = [
-            (lang, x.astype(np.float32).tobytes())
+            (lang, np.flatnonzero(x).astype(np.int16).tobytes(), x[x != 0].astype(np.float32).tobytes())
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)
             if (x := features((text or b"").decode("utf-8", "replace"))) is not None
         ]
-        langs, xs = zip(*rows, strict=True) if rows else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(xs, pa.binary())], names=["lang", "x"])
+        langs, at, xs = zip(*rows, strict=True) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(at, pa.binary()), pa.array(xs, pa.binary())], names=["lang", "at", "x"]
+        )
 
 
-def train(docs: DataFrame, sample: int = SAMPLE, languages: int = 64) -> Codes:
-    """Fit on at most ``sample`` documents of each of the ``languages`` most frequent ones, none of them held out.
+def train(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) -> Codes:
+    """Fit on at most ``sample`` documents of each language, none of them held out, and on ``total`` of all.
 
-    Documents are chosen by a hash of id and text; null languages are left out. Rarer languages than these are not learned.
+    Documents are chosen by a hash of id and text; null languages are left out. Every other language is learned, the rarest too.
     """
     known = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").cast("binary").alias("text"),
     ).where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    # At most ``languages`` rows.
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    counts = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    sample = max(1, min(sample, total // max(1, counts.count())))
     # A threshold on the hash keeps about twice the sample of each language; the exact bound follows.
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    below = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1 << 30, int(2.0 * sample / r["n"] * (1 << 30)) + 1))]) if counts else None
-    if below is None:
-        return fit(np.zeros((0, FEATURES)), [])
-    chosen = stored(known.withColumn("draw", draw).where(F.col("draw") < below[F.col("lang")]), "language-sample")
-    parts = [chosen.where(F.col("lang") == r["lang"]).orderBy("draw", "doc_id").limit(sample) for r in counts]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    found = rows.select("lang", "text").mapInArrow(_features, "lang string, x binary").toArrow()
-    pairs = sorted(zip(found.column("lang").to_pylist(), found.column("x").to_pylist(), strict=True))
-    x = np.frombuffer(b"".join(b for _, b in pairs), dtype=np.float32).reshape(len(pairs), -1)
-    return fit(x, [lang for lang, _ in pairs])
+    below = F.least(F.lit(1 << 30), F.floor(2.0 * sample / F.col("n") * (1 << 30)) + 1)
+    chosen = stored(
+        known.withColumn("draw", draw).join(small(counts), "lang").where(F.col("draw") < below).select("lang", "draw", "doc_id", "text"),
+        "language-sample",
+    )
+    first = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    rows = chosen.withColumn("number", F.row_number().over(first)).where(F.col("number") <= sample)
+    found = rows.select("lang", "text").mapInArrow(_features, "lang string, at binary, x binary").toArrow()
+    # Sorted, so that the fit does not depend on the order in which tasks end. The dense matrix is the largest table on the driver.
+    found = sorted(zip(*(found.column(c).to_pylist() for c in ("lang", "at", "x")), strict=True))
+    x = np.zeros((len(found), FEATURES), dtype=np.float32)
+    for row, (_, at, values) in zip(x, found, strict=True):
+        row[np.frombuffer(at, np.int16)] = np.frombuffer(values, np.float32)
+    return fit(x, [lang for lang, *_ in found])
 
 
 def _identified(codes: Codes):

@@ -304,6 +304,24 @@ def test_languages_on_held_out_documents(spark, sf_dir):
     assert Counter(r["lang_pred"] for r in language.identify(docs.where("doc_id < 20"), one).collect()).keys() == {"en"}
 
 
+def test_every_language_is_learned(spark):
+    """More than 64 languages, of which the rare ones get their own label too."""
+    rng = random.Random(21)
+    rows = []
+    for n in range(80):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 5)
+        for _ in range(12 if n < 70 else 6):
+            rows.append((len(rows), " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40)), f"l{n:02}"))
+    docs = documents(spark, rows)
+    codes = language.train(docs)
+    assert codes.languages == tuple(sorted({lang for *_, lang in rows}))
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, codes).collect()}
+    held = [(i, lang) for i, _, lang in rows if zlib_mod(i) == 1]
+    assert np.mean([found[i] == lang for i, lang in held]) >= 0.95
+    few = language.train(docs, total=160)
+    assert few.languages == codes.languages
+
+
 @pytest.mark.parametrize("n", [2, 4, 6, 7, 20])
 def test_codewords_tell_languages_apart(n):
     code = language.codewords(n)
