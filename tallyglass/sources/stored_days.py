@@ -53,8 +53,13 @@ def advance(events: DataFrame, customers: DataFrame, root: str, day: dt.date) ->
 
 
 def day_tables(events: DataFrame, customers: DataFrame, root: str, day: dt.date) -> dict[str, DataFrame]:
-    """The rows a day adds to ``market``, ``user`` and ``state``."""
+    """The rows a day adds to ``market``, ``user`` and ``state``.
+
+    The state of the day before must be there, unless nothing at all happened before the day: a skipped day, or a history without
+    ``bootstrap``, is an error. Days of the trailing average may be absent.
+    """
     spark = events.sparkSession
+    _require_state(events, root, day)
     today = (
         events.where(in_date_range(events, "ts", day, day)).groupBy("user_id").agg(*bar_values(), purchase_value())
     )
@@ -88,6 +93,17 @@ def day_tables(events: DataFrame, customers: DataFrame, root: str, day: dt.date)
     return {"market": market, "user": user, "state": state}
 
 
+def _require_state(events: DataFrame, root: str, day: dt.date) -> None:
+    spark, path, before = events.sparkSession, f"{root}/state", day - dt.timedelta(days=1)
+    if read_or_none(spark, f"{path}/date={before.isoformat()}", STATE_SCHEMA, path) is not None:
+        return
+    kept = read_or_none(spark, path, STATE_SCHEMA, path)
+    if kept is not None and not kept.where(F.col("date") < F.lit(day)).isEmpty():
+        raise ValueError(f"{path} has no state of {before}, but of earlier days: advance the missing days first")
+    if not events.where(in_date_range(events, "ts", None, before)).isEmpty():
+        raise ValueError(f"{path} has no state of {before}, but the log has earlier events: run bootstrap first")
+
+
 def _partition(spark: SparkSession, path: str, schema: T.StructType, days: list[dt.date]) -> DataFrame:
     """The days' rows of a table by date; other days' folders are not listed."""
     wanted = f"{path}/date={{{','.join(d.isoformat() for d in days)}}}"

@@ -148,6 +148,24 @@ def test_daily_run_reads_a_day_of_the_log(spark, sf_dir):
         assert sorted(map(tuple, again.collect()), key=repr) == first[name]
 
 
+def test_a_skipped_day_is_an_error(spark):
+    days = spark.createDataFrame(
+        [(n, dt.datetime(2024, 1, n, 5), 1, "purchase", 1.0) for n in (1, 2, 3, 4)],
+        "event_id long, ts timestamp, user_id long, event_type string, value double",
+    )
+    customers = spark.createDataFrame([], "c_custkey long, c_mktsegment string, c_acctbal double, c_nationkey int")
+    root = scratch_path(spark, "days")
+    with pytest.raises(ValueError, match="run bootstrap first"):
+        advance(days, customers, root, dt.date(2024, 1, 2))
+    advance(days, customers, root, dt.date(2024, 1, 1))
+    with pytest.raises(ValueError, match="advance the missing days first"):
+        advance(days.where("event_id > 1"), customers, root, dt.date(2024, 1, 3))
+    for n in (2, 3, 1):
+        advance(days, customers, root, dt.date(2024, 1, n))
+    state = spark.read.parquet(f"{root}/state").where("date = date'2024-01-03'").collect()
+    assert [(r.days, r.purchase_days) for r in state] == [(3, 3)]
+
+
 def test_state_keeps_users_without_events(spark):
     days = spark.createDataFrame(
         [(1, dt.datetime(2024, 1, 1, 5), 1, "purchase", 1.0), (2, dt.datetime(2024, 1, 3, 5), 2, "view", 2.0), (3, dt.datetime(2024, 1, 4, 5), 1, "view", 3.0)],
