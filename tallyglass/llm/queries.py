@@ -10,6 +10,7 @@ from tallyglass.llm import (
     ann,
     credentials,
     decontaminate,
+    fill_in_middle,
     html_extract,
     language,
     line_dedup,
@@ -95,6 +96,21 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    form, output = F.col("form"), F.col("output")
+    prefix, middle, _ = fill_in_middle.parts(form, output)
+    digests = {"output_sha256": output, "restored_sha256": fill_in_middle.restore(form, output)}
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length(prefix).cast("long").alias("prefix_chars"),
+        F.length(middle).cast("long").alias("middle_chars"),
+        *(F.sha2(x.cast("binary"), 256).alias(name) for name, x in digests.items()),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_html_extraction": op2_html_extraction,
@@ -106,6 +122,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language": op9_language,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -176,8 +193,35 @@ select docs.doc_id, coalesce(len(l), 0)::bigint as n_lines, coalesce(len(ps), 0)
 from docs left join gone on docs.doc_id is not distinct from gone.doc_id
 """
 
+_OP13 = r"""
+with docs as (
+    select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as l,
+           sha256('7:' || coalesce(doc_id::varchar, '')) as h
+    from documents),
+draws as (
+    select doc_id, text, l, len(l) as n, ('0x' || h[1:8])::ubigint as h1, ('0x' || h[9:16])::ubigint as h2,
+           ('0x' || h[17:24])::ubigint as h3, ('0x' || h[25:32])::ubigint as h4
+    from docs),
+cuts as (
+    select doc_id, text, l, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+           case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 100 then 'plain'
+                when h4 % 100 < 50 then 'spm' else 'psm' end as form
+    from draws),
+parts as (
+    select doc_id, text, n, form, array_to_string(l[1 : a], '') as prefix, array_to_string(l[a + 1 : b], '') as middle,
+           array_to_string(l[b + 1 : n], '') as suffix
+    from cuts)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix)::bigint end as prefix_chars,
+       case when form <> 'plain' then length(middle)::bigint end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
 ORACLES = {
     "op1_substring_dedup": _OP1,
     "op4_benchmark_decontamination": _OP4,
     "op5_line_dedup": _OP5,
+    "op13_fill_in_middle": _OP13,
 }
