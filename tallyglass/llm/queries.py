@@ -15,6 +15,7 @@ from tallyglass.llm import (
     language,
     line_dedup,
     packing,
+    resample,
     simhash,
     substring_dedup,
     toxicity,
@@ -96,6 +97,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fill_in_middle.transform(table(spark, sf_dir, "documents"))
     form, output = F.col("form"), F.col("output")
@@ -122,6 +128,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language": op9_language,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
@@ -193,6 +200,57 @@ select docs.doc_id, coalesce(len(l), 0)::bigint as n_lines, coalesce(len(ps), 0)
 from docs left join gone on docs.doc_id is not distinct from gone.doc_id
 """
 
+# DuckDB has no CRC: the table of all byte remainders is made by the rule, and each distinct word is folded over it.
+_OP12 = r"""
+with recursive steps(i, k, c) as (
+    select i::bigint, 0, i::bigint from range(256) t(i)
+    union all
+    select i, k + 1, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where k < 8),
+crcs as materialized (select list(c order by i) as r from steps where k = 8),
+doc_words as materialized (
+    select doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w
+    from documents),
+doc_counts as materialized (select doc_id, t, count(*) as n from (select doc_id, unnest(w) as t from doc_words) group by all),
+item_counts as materialized (
+    select t, count(*) as n from (
+        select unnest(list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) as t from benchmark) group by t),
+buckets as materialized (
+    select t, xor(list_reduce(
+        list_transform(range(1, length(x), 2), lambda i: ('0x' || x[i : i + 1])::bigint),
+        lambda a, b: xor(a >> 8, r[xor(a & 255, b) + 1]), 4294967295), 4294967295) % 10000 as bucket
+    from (select t, hex(encode(t)) as x from (select t from doc_counts union select t from item_counts)), crcs),
+bucket_counts as (
+    select b as bucket, coalesce(s, 0) as s, coalesce(t, 0) as t
+    from range(10000) every(b)
+    left join (select bucket, sum(n)::bigint as s from doc_counts join buckets using (t) group by bucket) on b = bucket
+    left join (select bucket as target, sum(n)::bigint as t from item_counts join buckets using (t) group by bucket) on b = target),
+gains as materialized (
+    select bucket, floor(1000 * ln(((t + 1)::double * (sum(s) over () + 10000)::double)
+                                   / ((s + 1)::double * (sum(t) over () + 10000)::double)))::bigint as gain
+    from bucket_counts),
+weights as (
+    select doc_id, sum(n * gain)::bigint as total, sum(n)::bigint as n
+    from doc_counts join buckets using (t) join gains using (bucket) group by doc_id),
+scored as (
+    select d.doc_id, coalesce(n, 0) as n_features,
+           case when n is null then 0 else (total - ((total % n) + n) % n) // n end as weight,
+           ('0x' || sha256('2024:' || coalesce(d.doc_id::varchar, ''))[1:8])::bigint as h
+    from doc_words d left join weights on d.doc_id is not distinct from weights.doc_id),
+noisy as (
+    select doc_id, n_features, weight, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))))::bigint as score from scored),
+ranked as (
+    select *, case when n_features >= 20 then row_number() over (partition by n_features >= 20 order by score desc, doc_id) end as place,
+           count(*) filter (where n_features >= 20) over () as eligible
+    from noisy)
+select doc_id, n_features::bigint as n_features, weight::bigint as weight, score,
+       case when place <= 10 * eligible // 100 then place::bigint end as rank
+from ranked
+"""
+
 _OP13 = r"""
 with docs as (
     select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as l,
@@ -223,5 +281,6 @@ ORACLES = {
     "op1_substring_dedup": _OP1,
     "op4_benchmark_decontamination": _OP4,
     "op5_line_dedup": _OP5,
+    "op12_importance_resampling": _OP12,
     "op13_fill_in_middle": _OP13,
 }
