@@ -15,6 +15,7 @@ from tallyglass.llm import (
     language,
     line_dedup,
     packing,
+    quality,
     resample,
     simhash,
     substring_dedup,
@@ -97,6 +98,15 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
@@ -128,6 +138,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_language": op9_language,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_quality_classifier": op11_quality_classifier,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,

@@ -21,6 +21,7 @@ COLUMNS = {
     "op8_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op9_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op10_nearest_neighbours": ["query_id", "rank", "vec_id", "score"],
+    "op11_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op12_importance_resampling": ["doc_id", "n_features", "weight", "score", "rank"],
     "op13_fill_in_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
     "pipeline": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
