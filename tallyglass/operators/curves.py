@@ -105,6 +105,43 @@ def roc_auc(ranked: RankedScores) -> DataFrame:
     )
 
 
+def roc_auc_by(df: DataFrame, group: str, score: str = "probability", label: str = "label", scores_per_range: int = 100_000) -> DataFrame:
+    """``auc`` of every value of ``group``, all of them from one ranking: scores are counted, dealt and summed up by group and score.
+
+    Null for a group in which one class is absent. Rows without a group, a score or a label are left out.
+    """
+    value = F.col(score).cast("double")
+    ranked = df.where(F.col(group).isNotNull() & value.isNotNull() & ~F.isnan(value) & F.col(label).isNotNull())
+    p = F.col(label).cast("double")
+    seen = Observation()
+    counts = durable(
+        ranked.groupBy(F.col(group), value.alias("score"))
+        .agg(F.sum(p).alias("p"), F.sum(1 - p).alias("q"))
+        .observe(seen, F.count(F.lit(1)).alias("scores"))
+    )
+    ranges = max(2, math.ceil(seen.get["scores"] / scores_per_range))
+    dealt = durable(counts.repartitionByRange(ranges, group, "score").withColumn("range", F.spark_partition_id()))
+    whole = Window.partitionBy(group)
+    # One row per range, and one more per group.
+    ranges_below = (
+        dealt.groupBy(group, "range")
+        .agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
+        .select(
+            group, "range", _before("q", group, "range").alias("q_before"),
+            F.sum("p").over(whole).alias("positives"), F.sum("q").over(whole).alias("negatives"),
+        )
+    )
+    within = Window.partitionBy(group, "range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("q").over(within), F.lit(0.0))
+    won = F.sum(F.col("p") * (F.col("q_in") + F.col("q_before") + 0.5 * F.col("q")))
+    return (
+        dealt.withColumn("q_in", below)
+        .join(ranges_below, [group, "range"])
+        .groupBy(group)
+        .agg(F.try_divide(won, F.max("positives") * F.max("negatives")).alias("auc"))
+    )
+
+
 def pr_curve(ranked: RankedScores) -> DataFrame:
     """One row per distinct score used as threshold (``score >= threshold`` is positive)."""
     tp = F.lit(ranked.positives) - F.col("p_below")

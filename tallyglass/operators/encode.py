@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyglass.functions.expressions import indicator_sql, name_sql
+from tallyglass.session import durable
 
 
 def distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -24,6 +26,38 @@ def distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def category_index(categories: DataFrame, per_range: int = 100_000) -> DataFrame:
+    """``index, column, category``: learned categories numbered from 0 in their order, the same on every run.
+
+    Categories are dealt into ranges of about ``per_range``; a range is numbered on its own, from the sizes of those below,
+    which are all that the driver sees.
+    """
+    known = durable(categories.select("column", "category"))
+    ranges = max(2, math.ceil(known.count() / per_range))
+    dealt = durable(known.repartitionByRange(ranges, "column", "category").withColumn("range", F.spark_partition_id()))
+    sizes = sorted(tuple(r) for r in dealt.groupBy("range").count().collect())
+    firsts = [(part, sum(n for _, n in sizes[:i])) for i, (part, _) in enumerate(sizes)]
+    offsets = categories.sparkSession.createDataFrame(firsts, "range int, first long")
+    place = F.row_number().over(Window.partitionBy("range").orderBy("column", "category")) - 1
+    return dealt.withColumn("place", place).join(F.broadcast(offsets), "range").select(
+        (F.col("first") + F.col("place")).alias("index"), "column", "category"
+    )
+
+
+def with_category_indices(df: DataFrame, columns: Sequence[str], index: DataFrame, into: str) -> DataFrame:
+    """Rows with a sparse one-hot vector: the indices of their categories, as an array.
+
+    ``index`` should be a stored table. It is joined once per column, by value: broadcast where Spark's size check allows, else both sides are
+    shuffled and adaptive execution splits a frequent value. Nulls and unknown values set nothing.
+    """
+    found = []
+    for i, column in enumerate(columns):
+        found.append(f"__index_{i}")
+        own = index.where(F.col("column") == column).select(F.col("category").alias(f"__category_{i}"), F.col("index").alias(found[-1]))
+        df = df.join(own, F.col(name_sql(column)).cast("string") == F.col(f"__category_{i}"), "left").drop(f"__category_{i}")
+    return df.withColumn(into, F.array_compact(F.array(*found))).drop(*found)
+
+
 def encode_learned(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], categories: DataFrame | None = None
 ) -> DataFrame:

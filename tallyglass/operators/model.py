@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyglass.config import Settings
+from tallyglass.config import REGULARISED, Settings
 from tallyglass.functions.expressions import decide, in_test_share
-from tallyglass.operators.curves import best_f1, pr_curve, rank_scores, roc_auc
-from tallyglass.operators.encode import with_label
+from tallyglass.operators.boosting import Boosting, Ensemble, boost
+from tallyglass.operators.curves import best_f1, pr_curve, rank_scores, roc_auc, roc_auc_by
+from tallyglass.operators.encode import category_index, distinct_categories, with_category_indices, with_label
 from tallyglass.operators.scale import fit_scaler
 from tallyglass.operators.split import train_test_split
-from tallyglass.session import one_row, shared_dir
+from tallyglass.session import durable, one_row, shared_dir
 from tallyglass.sinks.metrics import metric_rows
 from tallyglass.sources.predictions import read_or_none
 from tallyglass.sources.snapshots import next_number
@@ -39,6 +40,8 @@ INFO_SCHEMA = T.StructType(
     ]
 )
 
+CATEGORY_SCHEMA = "index long, column string, category string"
+
 
 @dataclass(frozen=True)
 class Model:
@@ -47,6 +50,8 @@ class Model:
     pipeline: PipelineModel
     threshold: float
     info: dict
+    #: Learned categories and their indices, if there are any.
+    categories: DataFrame | None = None
 
     def score(self, df: DataFrame) -> DataFrame:
         return score(self.pipeline, df)
@@ -60,14 +65,19 @@ def _inputs(settings: Settings) -> list[str]:
     return [f"in_{i}" for i in range(len(settings.feature_columns))]
 
 
-def training_pipeline(train: DataFrame, settings: Settings, rounds: int) -> Pipeline:
-    """Fill, scale, assemble and boost. All of it is saved together, so a scoring job cannot
-    prepare its rows differently from the training job."""
+def _prepared(train: DataFrame, settings: Settings) -> SQLTransformer:
+    """Fill and scale, with statistics of the training rows."""
     scaler = fit_scaler(train, settings.scaled_columns, settings.fill_value)
-    prepared = ", ".join(
+    prepared = [
         f"{scaler.sql(c, float(settings.fill_value))} AS {name}"
         for c, name in zip(settings.feature_columns, _inputs(settings))
-    )
+    ]
+    return SQLTransformer(statement=f"SELECT {', '.join(['*', *prepared])} FROM __THIS__")
+
+
+def training_pipeline(train: DataFrame, settings: Settings, rounds: int) -> Pipeline:
+    """Fill, scale, assemble and boost. All of it is saved together, so a scoring job cannot
+    prepare its rows differently from the training job."""
     trees = GBTClassifier(
         featuresCol="inputs",
         labelCol=settings.label_column,
@@ -85,7 +95,7 @@ def training_pipeline(train: DataFrame, settings: Settings, rounds: int) -> Pipe
         trees.setParams(validationIndicatorCol="is_test", validationTol=settings.early_stopping_tol)
     return Pipeline(
         stages=[
-            SQLTransformer(statement=f"SELECT *, {prepared} FROM __THIS__"),
+            _prepared(train, settings),
             VectorAssembler(inputCols=_inputs(settings), outputCol="inputs"),
             trees,
         ]
@@ -94,7 +104,8 @@ def training_pipeline(train: DataFrame, settings: Settings, rounds: int) -> Pipe
 
 def score(pipeline: PipelineModel, df: DataFrame) -> DataFrame:
     """The given columns and ``probability``; ids stay on their rows."""
-    positive = vector_to_array("class_probability")[1]
+    regularised = isinstance(pipeline.stages[-1], SQLTransformer)
+    positive = F.col("boosted_probability") if regularised else vector_to_array("class_probability")[1]
     return pipeline.transform(df).select(*df.columns, positive.alias("probability"))
 
 
@@ -115,18 +126,95 @@ def best_rounds(losses: list[float], patience: int) -> int:
     return best + 1
 
 
-def _boosted(train: DataFrame, test: DataFrame, labelled: DataFrame, settings: Settings) -> tuple[PipelineModel, list[float]]:
-    """The fitted pipeline and, if rounds are watched, the loss on the test rows after each."""
+@dataclass(frozen=True)
+class _Boosted:
+    """The fitted pipeline, its number of trees, ``eval_metric`` on the test rows after each round if watched, learned categories."""
+
+    pipeline: PipelineModel
+    trees: int
+    watched: tuple[float, ...] = ()
+    categories: DataFrame | None = None
+
+
+def auc_by_round(staged: DataFrame, label: str) -> list[float]:
+    """Exact AUC after every round, from one ranking of all rounds' scores. ``staged``: an array of margins, one per round.
+
+    0.5 where a class is absent: no round is better than another.
+    """
+    rows = staged.select(F.col(label), F.posexplode("staged").alias("round", "margin"))
+    found = {r["round"]: r["auc"] for r in roc_auc_by(rows, "round", "margin", label).collect()}
+    return [0.5 if found[i] is None else found[i] for i in sorted(found)]
+
+
+def loss_by_round(staged: DataFrame, label: str) -> list[float]:
+    """Mean logistic loss after every round."""
+    rows = staged.select(F.col(label).cast("double").alias("y"), F.posexplode("staged").alias("round", "m"))
+    m = F.col("m")
+    # Stable for margins of either sign.
+    loss = F.greatest(m, F.lit(0.0)) - m * F.col("y") + F.log1p(F.exp(-F.abs(m)))
+    return [r["loss"] for r in rows.groupBy("round").agg(F.avg(loss).alias("loss")).orderBy("round").collect()]
+
+
+def _staged(trees, prepared: DataFrame) -> DataFrame:
+    """The margin of Spark's trees after each round, from one pass: every tree adds a column."""
+    margin, margins = F.lit(0.0), []
+    for i, (tree, weight) in enumerate(zip(trees.trees, trees.treeWeights)):
+        prepared = tree.setPredictionCol(f"__tree_{i}").transform(prepared)
+        margin = margin + weight * F.col(f"__tree_{i}")
+        margins.append(margin)
+    return prepared.withColumn("staged", F.array(*margins))
+
+
+def _boosted(train: DataFrame, test: DataFrame, labelled: DataFrame, settings: Settings) -> _Boosted:
+    """Spark's trees."""
     rows = train if settings.early_stopping_tol is None else _with_test_flag(labelled, settings)
     fitted = training_pipeline(train, settings, settings.boosting_rounds).fit(rows)
-    if settings.early_stopping_rounds is None:
-        return fitted, []
     trees = fitted.stages[-1]
+    if settings.early_stopping_rounds is None:
+        return _Boosted(fitted, trees.getNumTrees)
     prepared = PipelineModel(fitted.stages[:-1]).transform(test)
-    losses = list(trees.evaluateEachIteration(prepared))
-    rounds = best_rounds(losses, settings.early_stopping_rounds)
+    if settings.eval_metric == "auc":
+        watched = auc_by_round(_staged(trees, prepared), settings.label_column)
+    else:
+        watched = list(trees.evaluateEachIteration(prepared))
+    rounds = kept_rounds(watched, settings)
     # Trees are added one after the other from a fixed seed, so fewer rounds give the first of them again.
-    return fitted if rounds == len(losses) else training_pipeline(train, settings, rounds).fit(rows), losses
+    if rounds < len(watched):
+        fitted = training_pipeline(train, settings, rounds).fit(rows)
+    return _Boosted(fitted, rounds, tuple(watched))
+
+
+def kept_rounds(watched: list[float], settings: Settings) -> int:
+    """Rounds up to the best ``eval_metric``; a high AUC is good, a high loss is not."""
+    signed = [-x for x in watched] if settings.eval_metric == "auc" else watched
+    return best_rounds(signed, settings.early_stopping_rounds) if signed else 0
+
+
+def _regularised(train: DataFrame, test: DataFrame, settings: Settings) -> _Boosted:
+    """Second-order trees, written into the pipeline as SQL, with learned categories among their inputs."""
+    prepare = _prepared(train, settings)
+    rows, cats, categories = prepare.transform(train), None, None
+    if settings.learned_columns:
+        categories = durable(category_index(distinct_categories(train, settings.learned_columns)))
+        rows, cats = with_category_indices(rows, settings.learned_columns, categories, "__cats"), "__cats"
+    params = Boosting(
+        settings.boosting_rounds, settings.max_depth, settings.learning_rate, settings.reg_lambda, settings.reg_alpha, settings.gamma,
+        settings.min_child_weight, settings.subsample, settings.colsample_bytree, settings.scale_pos_weight, settings.max_bin,
+        settings.base_score, settings.random_seed,
+    )
+    ensemble = boost(rows, _inputs(settings), settings.label_column, settings.key_columns, params, cats, categories)
+    watched = []
+    if settings.early_stopping_rounds is not None and ensemble.trees:
+        staged = prepare.transform(test).withColumn("staged", ensemble.staged())
+        by_round = auc_by_round if settings.eval_metric == "auc" else loss_by_round
+        watched = by_round(staged, settings.label_column)
+        if watched:
+            ensemble = ensemble.first(kept_rounds(watched, settings))
+    return _Boosted(PipelineModel([prepare, _as_stage(ensemble)]), len(ensemble.trees), tuple(watched), categories)
+
+
+def _as_stage(ensemble: Ensemble) -> SQLTransformer:
+    return SQLTransformer(statement=f"SELECT *, 1D / (1D + exp(-({ensemble.margin_sql()}))) AS boosted_probability FROM __THIS__")
 
 
 def train_model(features: DataFrame, settings: Settings) -> Model:
@@ -141,8 +229,9 @@ def train_model(features: DataFrame, settings: Settings) -> Model:
     train, test = train_test_split(
         labelled, settings.key_columns, settings.test_size, settings.random_seed
     )
-    pipeline, losses = _boosted(train, test, labelled, settings)
-    ranked = rank_scores(score(pipeline, test), "probability", label)
+    spark_trees = settings.booster == "spark"
+    boosted = _boosted(train, test, labelled, settings) if spark_trees else _regularised(train, test, settings)
+    ranked = rank_scores(score(boosted.pipeline, test), "probability", label)
     best = best_f1(pr_curve(ranked)).first()
     auc = roc_auc(ranked).first().auc
     threshold = best.best_threshold if best else settings.prediction_threshold
@@ -161,21 +250,29 @@ def train_model(features: DataFrame, settings: Settings) -> Model:
         "boosting_rounds": settings.boosting_rounds,
         "early_stopping_tol": settings.early_stopping_tol,
         "early_stopping_rounds": settings.early_stopping_rounds,
-        "trees_built": pipeline.stages[-1].getNumTrees,
+        "trees_built": boosted.trees,
         "train_rows": rows["all"] - rows["test"],
         "test_rows": rows["test"],
     }
+    if not spark_trees:
+        params |= {name: getattr(settings, name) for name in REGULARISED if name != "learned_columns"}
+    watched = "auc" if settings.eval_metric == "auc" else "loss"
     info = {
-        "model_type": "GBTClassifier",
-        "features": list(settings.feature_columns),
+        "model_type": "GBTClassifier" if spark_trees else "second-order boosted trees",
+        "features": model_features(settings),
         "threshold": float(threshold),
         "version": settings.model_version,
         "last_updated": settings.as_of,
         "auc": auc,
         "best_f1": best.best_f1 if best else None,
-        "params": {k: str(v) for k, v in params.items()} | {f"loss_{i + 1}": str(x) for i, x in enumerate(losses)},
+        "params": {k: str(v) for k, v in params.items()} | {f"{watched}_{i + 1}": str(x) for i, x in enumerate(boosted.watched)},
     }
-    return Model(pipeline, float(threshold), info)
+    return Model(boosted.pipeline, float(threshold), info, boosted.categories)
+
+
+def model_features(settings: Settings) -> list[str]:
+    """Columns a model takes in."""
+    return [*settings.feature_columns, *settings.learned_columns]
 
 
 def save_model(spark: SparkSession, model: Model, path: str) -> None:
@@ -185,6 +282,8 @@ def save_model(spark: SparkSession, model: Model, path: str) -> None:
     """
     folder = f"versions/{uuid.uuid4().hex}"
     model.pipeline.write().save(f"{path}/{folder}")
+    if model.categories is not None:
+        model.categories.write.parquet(f"{path}/{folder}-categories")
     known = read_or_none(spark, f"{path}/info", INFO_SCHEMA, f"{path}/info")
     values = dict(model.info) | {"folder": folder, "number": next_number(known)}
     params = [F.lit(part) for pair in values.pop("params").items() for part in pair]
@@ -203,7 +302,9 @@ def load_model(spark: SparkSession, path: str) -> Model | None:
     if described is None:
         return None
     info = described.first().asDict()
-    return Model(PipelineModel.load(f"{path}/{info['folder']}"), info["threshold"], info)
+    folder = f"{path}/{info['folder']}"
+    categories = read_or_none(spark, f"{folder}-categories", CATEGORY_SCHEMA, f"{folder}-categories")
+    return Model(PipelineModel.load(folder), info["threshold"], info, categories)
 
 
 def training_metrics(spark: SparkSession, model: Model) -> DataFrame:
@@ -212,7 +313,7 @@ def training_metrics(spark: SparkSession, model: Model) -> DataFrame:
     logged = {"auc": info["auc"], "best_f1": info["best_f1"], "best_threshold": info["threshold"]}
     for name, value in info["params"].items():
         try:
-            logged[name if name.startswith("loss_") else f"param_{name}"] = float(value)
+            logged[name if name.startswith(("loss_", "auc_")) else f"param_{name}"] = float(value)
         except ValueError:
             continue
     schema = T.StructType([T.StructField(name, T.DoubleType()) for name in logged])

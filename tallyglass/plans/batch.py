@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyglass.config import VOCABULARY, Settings
 from tallyglass.operators.encode import align
 from tallyglass.operators.features import engineer_features
-from tallyglass.operators.model import Model, load_model, save_model, train_model, training_metrics
+from tallyglass.operators.model import Model, load_model, model_features, save_model, train_model, training_metrics
 from tallyglass.sinks.metrics import log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
 from tallyglass.sources.snapshots import read_snapshot
@@ -41,11 +41,11 @@ def all_stored_features(spark: SparkSession, settings: Settings) -> DataFrame:
 
 
 def model_frame(features: DataFrame, settings: Settings) -> DataFrame:
-    """Keys, configured features and the label, if there is one. Nulls stay; the saved pipeline
+    """Keys, configured features, columns of learned categories and the label, if there is one. Nulls stay; the saved pipeline
     fills them."""
     ids = [c for c in (*settings.key_columns, "stock_id") if c in features.columns]
     label = [settings.label_column] if settings.label_column in features.columns else []
-    return align(features, [*settings.feature_columns, *label], ids)
+    return align(features, [*settings.feature_columns, *label], [*ids, *settings.learned_columns])
 
 
 def train_or_load(
@@ -61,7 +61,7 @@ def train_or_load(
     path = f"{store}/{settings.model_prefix}"
     model = None if retrain else load_model(spark, path)
     if model is not None:
-        if list(model.info["features"]) != list(settings.feature_columns):
+        if list(model.info["features"]) != model_features(settings):
             raise ValueError("the saved model has other feature columns; retrain it")
         return model, frame
     stamp = f"{settings.as_of:%Y%m%d}_000000"

@@ -504,6 +504,97 @@ ORACLES["model_quality"] = _with(
   true AS better_than_chance, true AS auc_logged FROM sizes""",
 )
 ORACLES["early_stopping"] = "SELECT 6 AS asked, true AS kept_up_to_minimum, true AS built_in_range"
+
+
+def _stumps(candidates: str, rounds: int, rate: float, lam: float, alpha: float, gamma: float, least: float, weight: float, train: str) -> str:
+    """Rounds of one split each, in closed form. ``candidates``: (feature, bound, whether a line goes right) of every line.
+
+    ``lines_r`` holds the lines with their margin after round r.
+    """
+    parts = []
+    for r in range(1, rounds + 1):
+        pulled = "sign({0}) * greatest(abs({0}) - %r, 0)" % alpha
+        part = f"power({pulled}, 2) / ({{1}} + {lam})"
+        gain = " + ".join([part.format("(g - gr)", "(h - hr)"), part.format("gr", "hr")]) + " - " + part.format("g", "h")
+        leaf = f"-{rate} * {pulled} / ({{1}} + {lam})"
+        parts.append(f"""
+slopes_{r} AS MATERIALIZED (
+  SELECT *, w * (1 / (1 + exp(-margin)) - y) AS g, w / (1 + exp(-margin)) * (1 - 1 / (1 + exp(-margin))) AS h
+  FROM (SELECT *, CASE WHEN y = 1 THEN {weight} ELSE 1 END AS w FROM lines_{r - 1} WHERE {train}) AS weighted),
+whole_{r} AS (SELECT sum(g) AS g, sum(h) AS h, count(*) AS n FROM slopes_{r}),
+right_{r} AS ({candidates.format(rows=f"slopes_{r}")}),
+best_{r} AS MATERIALIZED (
+  SELECT kind, bound, {leaf.format("(g - gr)", "(h - hr)")} AS w_left, {leaf.format("gr", "hr")} AS w_right
+  FROM (SELECT *, {gain} AS gain FROM right_{r}, whole_{r}) AS judged
+  WHERE nr BETWEEN 1 AND n - 1 AND hr >= {least} AND h - hr >= {least} AND gain > greatest({gamma}, 1e-6)
+  ORDER BY gain DESC LIMIT 1),
+lines_{r} AS MATERIALIZED (
+  SELECT l.* REPLACE (margin + coalesce(CASE WHEN {{goes_right}} THEN w_right ELSE w_left END, {leaf.format("g", "h")}) AS margin)
+  FROM lines_{r - 1} AS l CROSS JOIN whole_{r} LEFT JOIN best_{r} ON true)""")
+    return ",".join(parts)
+
+
+_LINE_IN_TEST = "substr(md5('42:' || CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR)), 1, 8) < '33333333'"
+_LINES = f"""
+lines_0 AS MATERIALIZED (
+  SELECT coalesce(l_quantity, 0) AS l_quantity, coalesce(l_discount, 0) AS l_discount, coalesce(l_tax, 0) AS l_tax,
+    CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS units, l_returnflag,
+    CASE WHEN l_quantity * l_discount > 1.25 THEN 1 ELSE 0 END AS y, {_LINE_IN_TEST} AS in_test, CAST(0 AS DOUBLE) AS margin
+  FROM lineitem),"""
+_NUMBERS = ("l_quantity", "l_discount", "l_tax")
+
+
+def _ranges(columns: tuple[str, ...]) -> str:
+    """Right of each value of each column."""
+    return "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS kind, CAST({c} AS VARCHAR) AS bound, sum(sum(g)) OVER above AS gr, sum(sum(h)) OVER above AS hr, sum(count(*)) OVER above AS nr
+  FROM {{rows}} GROUP BY {c} WINDOW above AS (ORDER BY {c} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+        for c in columns
+    )
+
+
+def _goes_right(columns: tuple[str, ...], categories: tuple[str, ...] = ()) -> str:
+    tests = [*(f"WHEN '{c}' THEN {c} >= CAST(bound AS DOUBLE)" for c in columns), *(f"WHEN '{c}' THEN {c} = bound" for c in categories)]
+    return f"coalesce(CASE kind {' '.join(tests)} END, false)"
+
+
+_BY_MARGIN = "SELECT round(margin, 6) AS margin, count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives FROM lines_{} GROUP BY 1"
+ORACLES["boosted_stump"] = _with(
+    _LINES + _stumps(_ranges(_NUMBERS), 1, 1.0, 2.0, 3.0, 1.0, 5.0, 1.5, "true").replace("{goes_right}", _goes_right(_NUMBERS)),
+    _BY_MARGIN.format(1),
+)
+ORACLES["early_stopping_auc"] = _with(
+    _LINES
+    + _stumps(_ranges(_NUMBERS), 5, 0.5, 1.0, 0.0, 0.0, 1.0, 1.0, "NOT in_test").replace("{goes_right}", _goes_right(_NUMBERS))
+    + ", counted AS ("
+    + " UNION ALL ".join(
+        f"SELECT {r} AS round, margin, sum(y) AS p, count(*) - sum(y) AS q FROM lines_{r} WHERE in_test GROUP BY margin" for r in range(1, 6)
+    )
+    + """),
+ranked AS (
+  SELECT *, coalesce(sum(q) OVER (PARTITION BY round ORDER BY margin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM counted),
+aucs AS (SELECT round, sum(p * (below + 0.5 * q)) / (sum(p) * sum(q)) AS auc FROM ranked GROUP BY round),
+best AS (SELECT round, auc, arg_max(round, auc) OVER (ORDER BY round) AS best FROM aucs),
+stop AS (SELECT min(round) AS round FROM best WHERE best < round)""",
+    """SELECT round, round(auc, 6) AS auc,
+  round <= (SELECT best FROM best WHERE round = coalesce((SELECT round FROM stop), 5)) AS kept FROM aucs""",
+)
+_CATEGORIES = ("l_partkey", "l_returnflag", "units")
+ORACLES["learned_vocab_model"] = _with(
+    _LINES
+    + _stumps(
+        "\nUNION ALL ".join(
+            [
+                _ranges(("l_tax",)),
+                *(
+                    f"SELECT '{c}', {c}, sum(g), sum(h), count(*) FROM {{rows}} WHERE {c} IS NOT NULL GROUP BY {c}" for c in _CATEGORIES
+                ),
+            ]
+        ),
+        3, 0.5, 1.0, 0.0, 0.0, 1.0, 1.0, "NOT in_test",
+    ).replace("{goes_right}", _goes_right(("l_tax",), _CATEGORIES)),
+    _BY_MARGIN.format(3),
+)
 _PARAMS = {
     "max_depth": _SETTINGS.max_depth,
     "learning_rate": _SETTINGS.learning_rate,

@@ -14,13 +14,16 @@ from pyspark.sql import types as T
 from tallyglass.config import VOCABULARY, Settings
 from tallyglass.functions.expressions import decide, in_test_share, name_sql
 from tallyglass.operators import curves, drift, quality
+from tallyglass.operators.boosting import Boosting, boost
 from tallyglass.operators.encode import (
     align,
+    category_index,
     distinct_categories,
     encode_learned,
     feature_matrix,
     fill_missing,
     one_hot,
+    with_category_indices,
 )
 from tallyglass.operators.features import (
     add_market_features,
@@ -29,12 +32,12 @@ from tallyglass.operators.features import (
     join_market_user,
     request_features,
 )
-from tallyglass.operators.model import Model, load_model, model_info
+from tallyglass.operators.model import Model, auc_by_round, kept_rounds, load_model, model_info
 from tallyglass.operators.scale import fit_scaler, scale
 from tallyglass.operators.split import train_test_split
 from tallyglass.plans.batch import model_frame, run_batch, train_or_load, yesterday_features
 from tallyglass.plans.monitoring import alerts, prediction_quality, run_monitoring
-from tallyglass.session import scratch_path
+from tallyglass.session import durable, scratch_path
 from tallyglass.sinks.metrics import flatten_metrics, log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
 from tallyglass.sources import stored_days
@@ -723,7 +726,7 @@ def model_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run that watches the loss of each round: the rounds kept are those up to the first lasting minimum."""
     patience = 2
-    watched = replace(SETTINGS, early_stopping_rounds=patience, max_depth=3, boosting_rounds=6, learning_rate=0.5)
+    watched = replace(SETTINGS, eval_metric="logloss", early_stopping_rounds=patience, max_depth=3, boosting_rounds=6, learning_rate=0.5)
     store, _, _ = _trained(spark, sf_dir, watched)
     described = model_info(spark, f"{store}/{watched.model_prefix}")
     losses = described.select(F.explode("params").alias("name", "value")).where("name LIKE 'loss_%'")
@@ -741,6 +744,62 @@ def early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Lines, and whether much is taken off their price: what stumps are grown on, whose sums SQL can give in closed form.
+LINE_INPUTS = ("l_quantity", "l_discount", "l_tax")
+LINE_KEY = ("l_orderkey", "l_linenumber")
+LINE_CATEGORIES = ("l_partkey", "l_returnflag", "units")
+REDUCED_FROM = 1.25
+STUMP = Boosting(rounds=1, max_depth=1, learning_rate=1.0, reg_lambda=2.0, reg_alpha=3.0, gamma=1.0, min_child_weight=5.0, scale_pos_weight=1.5)
+STUMPS = Boosting(rounds=5, max_depth=1, learning_rate=0.5)
+
+
+def reduced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").fillna(0.0, list(LINE_INPUTS))
+    return lines.select(
+        *LINE_KEY,
+        *LINE_INPUTS,
+        "l_partkey",
+        "l_returnflag",
+        F.col("l_quantity").cast("int").alias("units"),
+        (F.col("l_quantity") * F.col("l_discount") > REDUCED_FROM).cast("double").alias("reduced"),
+    )
+
+
+def _by_margin(rows: DataFrame, margin: str) -> DataFrame:
+    """The rows that share a score, and how many of them are positive."""
+    scored = rows.select(F.round(F.expr(margin), 6).alias("margin"), "reduced")
+    return scored.groupBy("margin").agg(F.count(F.lit(1)).alias("rows"), F.sum("reduced").cast("long").alias("positives"))
+
+
+@query("boosted_stump")
+def boosted_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One second-order round of one split, every regularisation at work: the margins of both leaves and their rows."""
+    lines = reduced_lines(spark, sf_dir)
+    return _by_margin(lines, boost(lines, LINE_INPUTS, "reduced", LINE_KEY, STUMP).margin_sql())
+
+
+@query("early_stopping_auc")
+def early_stopping_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC on the test lines after each of five rounds, and whether the round is kept."""
+    train, test = train_test_split(reduced_lines(spark, sf_dir), LINE_KEY, SETTINGS.test_size, SETTINGS.random_seed)
+    watched = auc_by_round(test.withColumn("staged", boost(train, LINE_INPUTS, "reduced", LINE_KEY, STUMPS).staged()), "reduced")
+    kept = kept_rounds(watched, replace(SETTINGS, early_stopping_rounds=1))
+    # A row per round.
+    return spark.createDataFrame([(i, round(auc, 6), i <= kept) for i, auc in enumerate(watched, 1)], "round int, auc double, kept boolean")
+
+
+@query("learned_vocab_model")
+def learned_vocab_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stumps on categories learned from the training lines, as sparse inputs beside a number; all lines scored, with unknown categories too."""
+    lines = reduced_lines(spark, sf_dir)
+    train, _ = train_test_split(lines, LINE_KEY, SETTINGS.test_size, SETTINGS.random_seed)
+    index = durable(category_index(distinct_categories(train, LINE_CATEGORIES)))
+    rows = with_category_indices(train, LINE_CATEGORIES, index, "categories")
+    params = replace(STUMPS, rounds=3)
+    trees = boost(rows, ["l_tax"], "reduced", LINE_KEY, params, "categories", index)
+    return _by_margin(lines, trees.margin_sql())
+
+
 @query("training_log")
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The logged parameters of a training run, and that its quality is logged as a share."""

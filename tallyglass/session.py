@@ -72,6 +72,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a table written to a ``scratch_path`` once nothing reads it any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Evaluate a result of fixed size (a few rows, whatever the input) once for several uses."""
     return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
