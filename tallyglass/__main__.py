@@ -10,7 +10,7 @@ from tallyglass.operators.model import load_model
 from tallyglass.plans.batch import all_stored_features, run_batch, training_window, yesterday_features
 from tallyglass.plans.monitoring import run_daily_monitoring
 from tallyglass.session import job_session
-from tallyglass.streaming.scoring import read_requests, score_requests, start_rejects, start_scoring
+from tallyglass.streaming.scoring import Dedup, judged_requests, read_requests, start_two_sinks
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -21,6 +21,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--training-days", type=int, help="train on the last days; default all rows")
     parser.add_argument("--score-yesterday", action="store_true", help="score yesterday's rows only")
     parser.add_argument("--requests", help="folder of request files, for the stream job")
+    parser.add_argument("--dedup-hours", type=float, help="score requests that repeat an id within so many hours once, in the stream job")
     parser.add_argument("--every", help="keep the stream job running at this interval")
     parser.add_argument("--retrain", action="store_true", help="train anew even if there is a model")
     parser.add_argument("--at", type=dt.time.fromisoformat, default=dt.time(), help="time of the run; default midnight")
@@ -43,19 +44,15 @@ def main(arguments: list[str] | None = None) -> None:
         print(result.report_path)
     else:
         store = settings.store_path
-        model = load_model(spark, f"{store}/{settings.model_prefix}")
+        model = load_model(spark, f"{store}/{settings.model_prefix}", *settings.model_fallbacks)
         if model is None:
             raise SystemExit(f"no model below {store}")
-        requests = read_requests(spark, given.requests)
+        dedup = Dedup(delay=dt.timedelta(hours=given.dedup_hours)) if given.dedup_hours else None
+        requests = read_requests(spark, given.requests, dedup=dedup)
         # A stream that keeps running stamps each micro-batch with its own time.
         scored_at = None if given.every else now
-        scored = score_requests(requests, model.score, model.threshold, settings, scored_at)
-        queries = [
-            start_scoring(scored, f"{store}/online_predictions", f"{store}/stream_checkpoint", given.every),
-            start_rejects(requests, f"{store}/rejected_requests", f"{store}/rejects_checkpoint", given.every),
-        ]
-        for query in queries:
-            query.awaitTermination()
+        judged = judged_requests(requests, model.score, model.threshold, settings, scored_at, dedup)
+        start_two_sinks(judged, f"{store}/online_predictions", f"{store}/stream_checkpoint", given.every).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -101,6 +101,8 @@ class Settings:
     # Folders below the store, and the run that monitoring logs into; None names one after the time.
     reports_prefix: str = "reports"
     model_prefix: str = "model"
+    # Folders asked for a model, in order, if the store has no whole one.
+    model_fallbacks: tuple[str, ...] = ()
     run_id: str | None = None
 
     def __post_init__(self) -> None:

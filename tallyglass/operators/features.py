@@ -57,12 +57,13 @@ def engineer_features(
     return joined.transform(add_market_features).transform(add_user_features).transform(one_hot, vocabulary)
 
 
-def request_features(requests: DataFrame, settings: Settings) -> DataFrame:
+def request_features(requests: DataFrame, settings: Settings, keep: Sequence[str] = ()) -> DataFrame:
     """Features of scoring requests: fixed vocabulary, columns the request lacks as zero.
 
-    The ids stay on the row next to the feature columns, in configured order.
+    The ids, columns of learned categories and ``keep`` stay on the row next to the feature columns, in configured order.
     """
-    ids = [c for c in ("user_id", "stock_id", "date") if c in requests.columns]
+    wanted = dict.fromkeys(["user_id", "stock_id", "date", *settings.learned_columns, *keep])
+    ids = [c for c in wanted if c in requests.columns]
     vocabulary = {c: v for c, v in VOCABULARY.items() if c in requests.columns}
     return (
         requests.transform(add_market_features)

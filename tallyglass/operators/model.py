@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
@@ -21,9 +23,9 @@ from tallyglass.operators.encode import category_index, distinct_categories, wit
 from tallyglass.operators.scale import fit_scaler
 from tallyglass.operators.split import train_test_split
 from tallyglass.session import durable, one_row, shared_dir
+from tallyglass.sinks.commits import append
 from tallyglass.sinks.metrics import metric_rows
 from tallyglass.sources.predictions import read_or_none
-from tallyglass.sources.snapshots import next_number
 
 INFO_SCHEMA = T.StructType(
     [
@@ -36,6 +38,7 @@ INFO_SCHEMA = T.StructType(
         T.StructField("best_f1", T.DoubleType()),
         T.StructField("params", T.MapType(T.StringType(), T.StringType())),
         T.StructField("folder", T.StringType()),
+        T.StructField("digest", T.StringType()),
         T.StructField("number", T.LongType()),
     ]
 )
@@ -275,36 +278,62 @@ def model_features(settings: Settings) -> list[str]:
     return [*settings.feature_columns, *settings.learned_columns]
 
 
-def save_model(spark: SparkSession, model: Model, path: str) -> None:
-    """A folder of its own for the pipeline, then a row that describes it and names the folder.
+def _digest(spark: SparkSession, folder: str) -> str | None:
+    """A hash of the names and contents of a model's files; None if there are none."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    name = F.regexp_extract("path", r"/versions/(.*)$", 1)
+    lines = files.select(F.concat_ws(" ", name, F.sha2("content", 256)).alias("line"))
+    # A model has a few dozen files.
+    return lines.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("line")), "\n").cast("binary"), 256)).first()[0]
+
 
-    Scoring goes through the newest such row, so a model is replaced at once or not at all.
+def save_model(spark: SparkSession, model: Model, path: str) -> int:
+    """A folder of its own for the pipeline, then a numbered commit that describes it, names the folder and has a hash of its files.
+
+    Scoring goes through the newest whole one, so a model is replaced at once or not at all, and of two that are
+    saved at a time each gets a number of its own, which is returned.
     """
     folder = f"versions/{uuid.uuid4().hex}"
     model.pipeline.write().save(f"{path}/{folder}")
     if model.categories is not None:
-        model.categories.write.parquet(f"{path}/{folder}-categories")
-    known = read_or_none(spark, f"{path}/info", INFO_SCHEMA, f"{path}/info")
-    values = dict(model.info) | {"folder": folder, "number": next_number(known)}
-    params = [F.lit(part) for pair in values.pop("params").items() for part in pair]
-    columns = {name: F.lit(value) for name, value in values.items()} | {"params": F.create_map(*params)}
-    one_row(spark, columns, INFO_SCHEMA).write.mode("append").parquet(f"{path}/info")
+        model.categories.write.parquet(f"{path}/{folder}/categories")
+    return append(spark, f"{path}/info", dict(model.info) | {"folder": folder, "digest": _digest(spark, f"{path}/{folder}")})
+
+
+def _known(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_or_none(spark, f"{path}/info", INFO_SCHEMA, f"{path}/info", "json")
 
 
 def model_info(spark: SparkSession, path: str) -> DataFrame | None:
     """Type, features, threshold, version, date and parameters of the newest model; None if there is none."""
-    known = read_or_none(spark, f"{path}/info", INFO_SCHEMA, f"{path}/info")
+    known = _known(spark, path)
     return known.orderBy(F.desc("number")).limit(1) if known is not None else None
 
 
-def load_model(spark: SparkSession, path: str) -> Model | None:
-    described = model_info(spark, path)
-    if described is None:
-        return None
-    info = described.first().asDict()
-    folder = f"{path}/{info['folder']}"
-    categories = read_or_none(spark, f"{folder}-categories", CATEGORY_SCHEMA, f"{folder}-categories")
-    return Model(PipelineModel.load(folder), info["threshold"], info, categories)
+def load_model(spark: SparkSession, path: str, *fallbacks: str) -> Model | None:
+    """The newest whole model below ``path``, or else below the first of the ``fallbacks`` that has one; None if there is none at all.
+
+    A version whose files are not those it was committed with is passed over with a warning, and named in ``info["passed_over"]``.
+    """
+    passed_over = []
+    for root in (path, *fallbacks):
+        known = _known(spark, root)
+        # A row per version.
+        for row in known.orderBy(F.desc("number")).collect() if known is not None else []:
+            folder = f"{root}/{row.folder}"
+            if row.digest is None or _digest(spark, folder) != row.digest:
+                warnings.warn(f"model {row.number} below {root} is damaged", stacklevel=2)
+                passed_over.append(f"{root}#{row.number}")
+                continue
+            info = row.asDict() | {"root": root, "passed_over": passed_over}
+            categories = read_or_none(spark, f"{folder}/categories", CATEGORY_SCHEMA, f"{folder}/categories")
+            return Model(PipelineModel.load(folder), info["threshold"], info, categories)
+    return None
 
 
 def training_metrics(spark: SparkSession, model: Model) -> DataFrame:

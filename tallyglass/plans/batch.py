@@ -59,7 +59,7 @@ def train_or_load(
     """
     spark = frame.sparkSession
     path = f"{store}/{settings.model_prefix}"
-    model = None if retrain else load_model(spark, path)
+    model = None if retrain else load_model(spark, path, *settings.model_fallbacks)
     if model is not None:
         if list(model.info["features"]) != model_features(settings):
             raise ValueError("the saved model has other feature columns; retrain it")

@@ -248,6 +248,38 @@ ORACLES["stream_scoring"] = _with(
     _REQUESTS, "SELECT user_id, stock_id, probability, prediction, prediction_date FROM decided"
 )
 
+ORACLES["batch_requests"] = _with(
+    _FEATURES
+    + """,
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY volume, close_price, open_price, high_price, low_price, day_of_week,
+    coalesce(floor(avg_volume_30d), volume), coalesce(days_since_last_purchase, 0), risk_tolerance) - 1 AS position
+  FROM features),
+judged AS (
+  SELECT position, CASE WHEN position % 4 IN (1, 3) THEN 'malformed' ELSE 'accepted' END AS verdict,
+    1.0 / (1.0 + exp(-(
+      least(greatest(coalesce(price_momentum, 0.0), -1.0), 1.0)
+      + 0.5 * coalesce(CAST(volume AS DOUBLE) / nullif(coalesce(floor(avg_volume_30d), volume), 0), 0.0)
+      - 0.05 * coalesce(days_since_last_purchase, 0)
+      + 2.0 * risk_tolerance + 0.3 * sector_Technology - 0.2 * market_cap_category_Small
+      + 0.1 * day_of_week_Monday - 1.0))) AS probability
+  FROM placed)""",
+    """SELECT CAST(position AS INTEGER) AS position, verdict, count(*) AS requests,
+  round(sum(CASE WHEN verdict = 'accepted' THEN probability END), 6) AS probability FROM judged GROUP BY 1, 2""",
+)
+ORACLES["stream_dedup"] = _with(
+    _FEATURES
+    + """,
+sent AS (
+  SELECT DISTINCT user_id, stock_id, close_price, open_price, high_price, low_price, volume, coalesce(floor(avg_volume_30d), volume) AS avg_volume,
+    sector, market_cap_category, day_of_week, coalesce(days_since_last_purchase, 0) AS days, risk_tolerance FROM features),
+late AS (
+  SELECT user_id, CASE user_id % 10 WHEN 4 THEN 'late' ELSE 'ahead of time' END AS reason, 2 * count(*) AS requests
+  FROM features WHERE user_id % 10 IN (4, 6) GROUP BY 1, 2)""",
+    """SELECT CAST(user_id AS VARCHAR) AS user_id, 'accepted' AS reason, count(*) AS requests FROM sent WHERE user_id % 10 NOT IN (4, 6) GROUP BY 1
+UNION ALL SELECT CAST(user_id AS VARCHAR), reason, requests FROM late""",
+)
+
 # --- quality ---
 
 _DECISIONS = (

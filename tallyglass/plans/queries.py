@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyglass.config import VOCABULARY, Settings
-from tallyglass.functions.expressions import decide, in_test_share, name_sql
+from tallyglass.functions.expressions import decide, in_test_share, moment, name_sql
 from tallyglass.operators import curves, drift, quality
 from tallyglass.operators.boosting import Boosting, boost
 from tallyglass.operators.encode import (
@@ -42,16 +42,19 @@ from tallyglass.sinks.metrics import flatten_metrics, log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
 from tallyglass.sources import stored_days
 from tallyglass.sources.daily import daily_bars, daily_market, daily_user
-from tallyglass.sources.predictions import read_predictions
+from tallyglass.sources.predictions import read_committed, read_predictions
 from tallyglass.sources.snapshots import read_latest_snapshot
 from tallyglass.sources.tables import actual_purchases, last_days, scan_range
 from tallyglass.streaming.scoring import (
     REQUEST_SCHEMA,
+    VERDICT_SCHEMA,
+    Dedup,
     batch_response,
+    judged_requests,
+    read_rejects,
     read_requests,
     score_requests,
-    start_rejects,
-    start_scoring,
+    start_two_sinks,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -410,10 +413,8 @@ def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream(spark: SparkSession, requests: DataFrame, root: str, scorer, threshold: float) -> str:
     """Score written request files as a stream, with the rejects beside; returns the prediction root."""
     requests.write.text(f"{root}/requests")
-    arriving = read_requests(spark, f"{root}/requests")
-    scored = score_requests(arriving, scorer, threshold, SETTINGS, RUN_TIME)
-    start_scoring(scored, f"{root}/predictions", f"{root}/checkpoint").awaitTermination()
-    start_rejects(arriving, f"{root}/rejects", f"{root}/rejects_checkpoint").awaitTermination()
+    judged = judged_requests(read_requests(spark, f"{root}/requests"), scorer, threshold, SETTINGS, RUN_TIME)
+    start_two_sinks(judged, f"{root}/predictions", f"{root}/checkpoint").awaitTermination()
     return f"{root}/predictions"
 
 
@@ -448,12 +449,51 @@ def rejected_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream")
     written = _stream(spark, _spoiled(scoring_requests(spark, sf_dir)), root, formula_scorer, SETTINGS.prediction_threshold)
     good = read_predictions(spark, [written], AS_OF).select("user_id", F.lit("accepted").alias("reason"))
-    bad = spark.read.parquet(f"{root}/rejects").select(
+    bad = read_rejects(spark, written).select(
         F.regexp_extract("record", r'(?:user |"user_id":")(\d+)', 1).alias("user_id"), "reason"
     )
     return good.unionByName(bad).groupBy("user_id", "reason").agg(F.count(F.lit(1)).alias("requests"))
 
 
+@query("batch_requests")
+def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of a user's requests as one document, some elements spoiled: the verdict on each position."""
+    requests = scoring_requests(spark, sf_dir)
+    day = Window.partitionBy("user_id").orderBy("volume", "close_price", "open_price", "high_price", "low_price", "day_of_week", "avg_volume_30d", "days_since_last_purchase", "risk_tolerance")
+    spoiled = F.regexp_replace("value", r'"close_price":[^,]*', '"close_price":"none"')
+    elements = requests.select("user_id", F.to_json(F.struct(*requests.columns)).alias("value"), (F.row_number().over(day) - 1).alias("at"))
+    elements = elements.withColumn("value", F.when(F.col("at") % 4 == 1, spoiled).when(F.col("at") % 4 == 3, F.lit("17")).otherwise(F.col("value")))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: x["value"]), ",")
+    documents = elements.groupBy("user_id").agg(F.concat(F.lit('{"features":['), listed, F.lit("]}")).alias("value"))
+    root = scratch_path(spark, "stream")
+    written = _stream(spark, documents.select("value"), root, formula_scorer, SETTINGS.prediction_threshold)
+    rows = [read_committed(spark, written, None, VERDICT_SCHEMA, accepted) for accepted in (True, False)]
+    judged = reduce(DataFrame.unionByName, [r for r in rows if r is not None])
+    return judged.groupBy("position", F.coalesce("reason", F.lit("accepted")).alias("verdict")).agg(
+        F.count(F.lit(1)).alias("requests"), F.round(F.sum("probability"), 6).alias("probability")
+    )
+
+
+@query("stream_dedup")
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests sent twice, in files that arrive one after the other; some too late, some ahead of time: what becomes of each user's."""
+    requests = scoring_requests(spark, sf_dir)
+    user = F.col("user_id").cast("long")
+    sent = moment(RUN_TIME) - F.make_dt_interval(hours=F.when(user % 10 == 4, 30).when(user % 10 == 6, -5).otherwise(user % 20))
+    requests = requests.withColumns({"request_id": F.md5(F.to_json(F.struct(*requests.columns))), "requested_at": sent})
+    root = scratch_path(spark, "stream")
+    path, dedup = f"{root}/requests", Dedup(delay=dt.timedelta(hours=24), skew=dt.timedelta(hours=1))
+    for _ in range(2):
+        _as_json(requests).coalesce(4).write.mode("append").text(path)
+        judged = judged_requests(
+            read_requests(spark, path, files_per_batch=2, dedup=dedup), formula_scorer, SETTINGS.prediction_threshold, SETTINGS, RUN_TIME, dedup
+        )
+        start_two_sinks(judged, f"{root}/predictions", f"{root}/checkpoint").awaitTermination()
+    good = read_predictions(spark, [f"{root}/predictions"], AS_OF).select("user_id", F.lit("accepted").alias("reason"))
+    bad = read_rejects(spark, f"{root}/predictions").select(F.get_json_object("record", "$.user_id").alias("user_id"), "reason")
+    return good.unionByName(bad).groupBy("user_id", "reason").agg(F.count(F.lit(1)).alias("requests"))
+
+
 # --- quality ------------------------------------------------------------------------------------
 
 

@@ -8,9 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallyglass.session import one_row
+from tallyglass.sinks.commits import append
 from tallyglass.sources.predictions import PREDICTION_SCHEMA
-from tallyglass.sources.snapshots import COMMIT_SCHEMA, commits, next_number
 
 
 def write_by_partition(df: DataFrame, root: str, column: str) -> None:
@@ -54,7 +53,5 @@ def save_snapshot(df: DataFrame, root: str, stamp: str) -> int:
     seen, folder = Observation(), f"snapshot_ts={stamp}-{uuid.uuid4().hex}"
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{root}/rows/{folder}")
     rows = seen.get["rows"]
-    values = {"snapshot_ts": stamp, "rows": rows, "folder": folder, "number": next_number(commits(spark, root))}
-    commit = one_row(spark, {k: F.lit(v) for k, v in values.items()}, COMMIT_SCHEMA)
-    commit.write.mode("append").parquet(f"{root}/commits")
+    append(spark, f"{root}/commits", {"snapshot_ts": stamp, "rows": rows, "folder": folder})
     return rows

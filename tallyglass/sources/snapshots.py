@@ -1,7 +1,7 @@
 """Reading back processed snapshots.
 
-A snapshot is a folder that is written once and a row of the commit table that names it. Writing a stamp again adds a folder
-and a row with a higher number; what is committed never changes.
+A snapshot is a folder that is written once and a numbered commit that names it. Writing a stamp again adds a folder
+and a commit with a higher number; what is committed never changes.
 """
 
 from __future__ import annotations
@@ -23,13 +23,7 @@ COMMIT_SCHEMA = T.StructType(
 
 
 def commits(spark: SparkSession, root: str) -> DataFrame | None:
-    return read_or_none(spark, f"{root}/commits", COMMIT_SCHEMA, f"{root}/commits")
-
-
-def next_number(table: DataFrame | None) -> int:
-    """One more than the highest number in a commit table."""
-    newest = table.agg(F.max("number")).first()[0] if table is not None else None
-    return 1 + (newest or 0)
+    return read_or_none(spark, f"{root}/commits", COMMIT_SCHEMA, f"{root}/commits", "json")
 
 
 def read_snapshot(spark: SparkSession, root: str, stamp: str | None = None) -> DataFrame:
