@@ -39,14 +39,18 @@ def rank_scores(
     """Rows without a score or a label cannot be ranked and are left out."""
     value = F.col(score).cast("double")
     ranked = df.where(value.isNotNull() & ~F.isnan(value) & F.col(label).isNotNull())
+    counts = ranked.groupBy(value.alias("score")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        F.sum(F.col(label).cast("double")).alias("p"),
+    )
+    return rank_counts(counts, scores_per_range)
+
+
+def rank_counts(counts: DataFrame, scores_per_range: int = 100_000) -> RankedScores:
+    """The ranking of ``score, n, p``: each distinct score, its rows and its positives."""
     seen = Observation()
     counts = durable(
-        ranked.groupBy(value.alias("score"))
-        .agg(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.sum(F.col(label).cast("double")).alias("p"),
-        )
-        .observe(
+        counts.observe(
             seen,
             F.count(F.lit(1)).alias("scores"),
             F.sum("p").alias("positives"),

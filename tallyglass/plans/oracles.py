@@ -487,6 +487,24 @@ ORACLES["monitoring_report"] = _with(
 FROM report, metrics, (SELECT coalesce(bool_or(drift_detected), false) AS any_drift_detected FROM report) AS flag""",
 )
 
+ORACLES["drift_stats_by_month"] = ORACLES["drift_stats"]
+ORACLES["roc_auc_by_day"] = _with(
+    _FEATURES
+    + """,
+judged AS (
+  SELECT 1.0 / (1.0 + exp(-(
+      least(greatest(coalesce(price_momentum, 0.0), -1.0), 1.0) + 0.5 * coalesce(volume_ratio, 0.0)
+      - 0.05 * coalesce(days_since_last_purchase, 0) + 2.0 * risk_tolerance + 0.3 * sector_Technology
+      - 0.2 * market_cap_category_Small + 0.1 * day_of_week_Monday - 1.0))) AS score, purchased_stock AS y
+  FROM features WHERE purchased_stock IS NOT NULL AND date BETWEEN DATE '2024-01-23' AND DATE '2024-01-30'),
+counted AS (SELECT score, sum(y) AS p, count(*) - sum(y) AS q FROM judged GROUP BY score),
+ranked AS (
+  SELECT *, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+    sum(p) OVER (ORDER BY score DESC) AS tp, sum(q) OVER (ORDER BY score DESC) AS fp, sum(p) OVER () AS all_p, sum(q) OVER () AS all_q FROM counted)""",
+    """SELECT round(sum(p * (below + 0.5 * q)) / (max(all_p) * max(all_q)), 6) AS auc,
+  round(max(2 * (tp / all_p) * (tp / (tp + fp)) / (tp / all_p + tp / (tp + fp) + 1e-8)), 6) AS best_f1 FROM ranked""",
+)
+
 # --- round trips ---
 
 _EVENT_PREDICTIONS = """
@@ -567,7 +585,7 @@ lines_{r} AS MATERIALIZED (
 
 
 _LINE_IN_TEST = "substr(md5('42:' || CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR)), 1, 8) < '33333333'"
-_LINES = f"""
+_STUMP_LINES = f"""
 lines_0 AS MATERIALIZED (
   SELECT coalesce(l_quantity, 0) AS l_quantity, coalesce(l_discount, 0) AS l_discount, coalesce(l_tax, 0) AS l_tax,
     CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS units, l_returnflag,
@@ -592,11 +610,11 @@ def _goes_right(columns: tuple[str, ...], categories: tuple[str, ...] = ()) -> s
 
 _BY_MARGIN = "SELECT round(margin, 6) AS margin, count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives FROM lines_{} GROUP BY 1"
 ORACLES["boosted_stump"] = _with(
-    _LINES + _stumps(_ranges(_NUMBERS), 1, 1.0, 2.0, 3.0, 1.0, 5.0, 1.5, "true").replace("{goes_right}", _goes_right(_NUMBERS)),
+    _STUMP_LINES + _stumps(_ranges(_NUMBERS), 1, 1.0, 2.0, 3.0, 1.0, 5.0, 1.5, "true").replace("{goes_right}", _goes_right(_NUMBERS)),
     _BY_MARGIN.format(1),
 )
 ORACLES["early_stopping_auc"] = _with(
-    _LINES
+    _STUMP_LINES
     + _stumps(_ranges(_NUMBERS), 5, 0.5, 1.0, 0.0, 0.0, 1.0, 1.0, "NOT in_test").replace("{goes_right}", _goes_right(_NUMBERS))
     + ", counted AS ("
     + " UNION ALL ".join(
@@ -613,7 +631,7 @@ stop AS (SELECT min(round) AS round FROM best WHERE best < round)""",
 )
 _CATEGORIES = ("l_partkey", "l_returnflag", "units")
 ORACLES["learned_vocab_model"] = _with(
-    _LINES
+    _STUMP_LINES
     + _stumps(
         "\nUNION ALL ".join(
             [

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tallyglass.config import VOCABULARY, Settings
 from tallyglass.functions.expressions import decide, in_test_share, moment, name_sql
-from tallyglass.operators import curves, drift, quality
+from tallyglass.operators import by_day, curves, drift, quality
 from tallyglass.operators.boosting import Boosting, boost
 from tallyglass.operators.encode import (
     align,
@@ -570,6 +570,32 @@ def drift_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(reduce(DataFrame.unionByName, sides), "mean", "stddev")
 
 
+@query("drift_stats_by_month")
+def drift_stats_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same statistics, merged from states that are kept by month; the window is chosen among the states."""
+    root = scratch_path(spark, "moments")
+    lines = table(spark, sf_dir, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
+    by_day.save_days(by_day.daily_moments(lines, "month", DRIFT_COLUMNS), root)
+    states = spark.read.parquet(root)
+    sides = [
+        by_day.merged_moments(states.where(condition), DRIFT_COLUMNS).withColumn("side", F.lit(side))
+        for side, condition in (("current", F.col("day") >= DRIFT_FROM), ("reference", F.col("day") < DRIFT_FROM))
+    ]
+    return shown(reduce(DataFrame.unionByName, sides), "mean", "stddev")
+
+
+@query("roc_auc_by_day")
+def roc_auc_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AUC and best F1 of a week, from counts of scores that are kept by day."""
+    root = scratch_path(spark, "scores")
+    rows = all_features(spark, sf_dir)
+    rows = fill_missing(rows, [c for c in SETTINGS.feature_columns if c in rows.columns], SETTINGS.fill_value)
+    by_day.save_days(by_day.daily_scores(formula_scorer(rows), "date", label=SETTINGS.label_column), root)
+    week = by_day.ranked_days(by_day.between(spark.read.parquet(root), AS_OF - dt.timedelta(days=7), AS_OF))
+    best = curves.best_f1(curves.pr_curve(week)).select("best_f1")
+    return shown(curves.roc_auc(week).join(F.broadcast(best)), "auc", "best_f1")
+
+
 @query("drift_report")
 def drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(line_drift(spark, sf_dir, SETTINGS.drift_threshold), *DRIFT_VALUES)
