@@ -487,6 +487,9 @@ ORACLES["monitoring_report"] = _with(
 FROM report, metrics, (SELECT coalesce(bool_or(drift_detected), false) AS any_drift_detected FROM report) AS flag""",
 )
 
+ORACLES["daily_monitoring"] = _with(
+    _MONITORED, f"SELECT {_REPORT_COLUMNS}, total_predictions, accuracy, precision, recall FROM report, metrics"
+)
 ORACLES["drift_stats_by_month"] = ORACLES["drift_stats"]
 ORACLES["roc_auc_by_day"] = _with(
     _FEATURES

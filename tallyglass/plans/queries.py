@@ -36,7 +36,7 @@ from tallyglass.operators.model import Model, auc_by_round, kept_rounds, load_mo
 from tallyglass.operators.scale import fit_scaler, scale
 from tallyglass.operators.split import train_test_split
 from tallyglass.plans.batch import model_frame, run_batch, train_or_load, yesterday_features
-from tallyglass.plans.monitoring import alerts, prediction_quality, run_monitoring
+from tallyglass.plans.monitoring import alerts, prediction_quality, run_daily_monitoring, run_monitoring
 from tallyglass.session import durable, scratch_path
 from tallyglass.sinks.metrics import flatten_metrics, log_metrics
 from tallyglass.sinks.tables import save_predictions, save_snapshot
@@ -671,6 +671,23 @@ def monitoring_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(features.withColumn("entry", F.from_json("entry", entry)).select("*", "entry.*").drop("entry"), *values)
 
 
+@query("daily_monitoring")
+def daily_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monitoring job on stored tables: predictions by day, purchases, and a drift reference read from the configured path."""
+    store = scratch_path(spark, "daily-monitoring")
+    market(spark, sf_dir).write.parquet(f"{store}/market")
+    user(spark, sf_dir).withColumnRenamed("as_of_date", "current_date").write.parquet(f"{store}/user")
+    all_features(spark, sf_dir, *REFERENCE_DAYS).write.parquet(f"{store}/reference")
+    decisions = daily_decisions(spark, sf_dir, *last_days(AS_OF, 7))
+    save_predictions(decisions.withColumnRenamed("date", "prediction_date"), f"{store}/predictions")
+    settings = replace(
+        SETTINGS, market_data_path=f"{store}/market", user_data_path=f"{store}/user", reference_data_path=f"{store}/reference", store_path=store
+    )
+    result = run_daily_monitoring(spark, settings, RUN_TIME)
+    quality_of_run = result.performance.select("total_predictions", "accuracy", "precision", "recall")
+    return shown(result.drift.join(F.broadcast(quality_of_run)), *DRIFT_VALUES)
+
+
 # --- round trips --------------------------------------------------------------------------------
 
 
