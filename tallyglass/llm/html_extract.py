@@ -4,10 +4,10 @@
 2. Pages of a host with the same lines are one page from then on, so that no page is compared with a copy of itself.
    They are sorted by host and URL path; a page's partner is the neighbour of the same host whose path shares the longer
    beginning. A neighbour that shares nearly all text is another copy (a recrawl, a mirror) and no partner.
-3. The line sequences of both are aligned by their longest common subsequence. Shared lines are template and are deleted.
-4. Lines of menus, headers, footers, sidebars, notices, adverts, forms and comments go in any case, since a
-   site may vary their wording from page to page. Lines inside an explicit article stay even when shared, since
-   a neighbour may carry a copy of the same article.
+3. The line sequences of both are aligned by their longest common subsequence. Shared lines are template and are deleted, all but those
+   inside an explicit article, since a neighbour may carry a copy of the same article.
+4. Of what is left, lines of menus, headers, footers, sidebars, notices, adverts, forms and comments go as well, since a
+   site may vary their wording from page to page, and a page alone on its host has no partner.
 
 The sort is a range partition, so a hot host spreads over many tasks; only the two outermost rows of each partition
 are passed on to the next one.
@@ -37,7 +37,7 @@ BLOCKS = frozenset(
     " search section select summary table tbody td textarea tfoot th thead title tr ul video".split()
 )
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe textarea title svg math".split())
+RAW = frozenset("script style template noscript iframe textarea title".split())
 TEMPLATE = frozenset("nav header footer aside form menu dialog button select fieldset head search".split())
 #: What ends an open paragraph, what stays in the head, and what an element left open cannot reach out of.
 _ENDS_P = frozenset(
@@ -67,15 +67,22 @@ _MARKED = re.compile(
     r"widgets?|login|signup|search|complementary|contentinfo|navigation|dialog|alert)(?:$|[\s_-])",
     re.I,
 )
+#: An attribute by the rules of HTML: a quote delimits a value right after the equals sign only; anywhere else it is a character like others.
+_NAME = r"(?:=[^\s/>=]*+|[^\s/>=]++)"
+_VALUE = r"(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+)"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-    r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/A-Za-z](?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*\Z|[^<]+|<",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</(?![A-Za-z])[^>]*(?:>|\Z)|"
+    rf"<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|{_NAME}(?:\s*+=\s*+(?:{_VALUE}|(?=>))|(?!\s*+=)))*+)>|"
+    # No end before that of the page, or a value whose quote is never closed.
+    r"<[/A-Za-z].*\Z|[^<]+|<",
     re.S,
 )
 FORM, MARKED = 1, 2
-#: The same inside an article, whose own headings are content.
-_MARKED_INSIDE = re.compile(_MARKED.pattern.replace("header|", "").replace("masthead|", ""), re.I)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: The same inside an article, whose own headings are content: there a whole class must say so, not a part of a compound name.
+_MARKED_INSIDE = re.compile(
+    _MARKED.pattern.replace("header|", "").replace("masthead|", "").replace(r"[\s_-]", r"\s"), re.I
+)
+_ATTRIBUTE = re.compile(rf"({_NAME})(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>][^\s>]*+)))?")
 
 
 class Line:
@@ -86,11 +93,6 @@ class Line:
     def __init__(self, text: str, place: str, template: bool, article: bool):
         self.text, self.place, self.template, self.article = text, place, template, article
 
-    @property
-    def open(self) -> bool:
-        """Whether sharing decides: neither a template element nor an article has decided already."""
-        return not (self.template or self.article)
-
     @property
     def key(self) -> int:
         return xxhash.xxh3_64_intdigest(f"{self.place}\0{self.text}") - (1 << 63)
@@ -257,7 +259,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch.column("page_id"), batch.column("html_hash"), pa.array([h for h, _ in places], pa.string()),
                 pa.array([p for _, p in places], pa.string()),
                 pa.array([[x.key for x in page] for page in lines], pa.list_(pa.int64())),
-                pa.array([[i for i, x in enumerate(page) if x.open] for page in lines], pa.list_(pa.int32())),
+                # Sharing decides about every line outside articles.
+                pa.array([[i for i, x in enumerate(page) if not x.article] for page in lines], pa.list_(pa.int32())),
                 pa.array([[0 if x.template else len(x.text) for x in page] for page in lines], pa.list_(pa.int32())),
             ],
             names=["page_id", "html_hash", "host", "path", "keys", "open", "sizes"],
@@ -274,7 +277,7 @@ def _alike(a: str, b: str) -> int:
 
 
 def _shared_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Open lines of each row that its nearer neighbour shares. Rows come sorted; borrowed rows lend only themselves."""
+    """Lines of each row, outside articles, that its nearer neighbour shares. Rows come sorted; borrowed rows lend only themselves."""
     before, now = None, None
     names = ("host", "lines", "lines2", "path", "keys", "open", "sizes", "borrowed")
 
@@ -330,7 +333,7 @@ def _main_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """``page_id, html_hash, shared``: numbers of the open lines a page shares with its partner, for pages that have any."""
+    """``page_id, html_hash, shared``: numbers of the lines a page shares with its partner, outside articles, for pages that have any."""
     same = ["host", "lines", "lines2"]
     order = ["host", "path", "lines", "lines2"]
     columns = [*order, "keys", "open", "sizes"]
@@ -353,9 +356,11 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     )
     # Each partition borrows the last row of the one before it and the first of the one after: two rows a partition.
     row = F.struct(*columns)
-    edges = keyed.groupBy("part").agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    edges = stored(keyed.groupBy("part").agg(F.min(row).alias("first"), F.max(row).alias("last")), "edges")
+    # A number per partition; the rows themselves stay where they are.
     by_part = Window.orderBy("part")
-    lent = edges.select("first", "last", F.lead("part").over(by_part).alias("next"), F.lag("part").over(by_part).alias("previous"))
+    places = edges.select("part", F.lead("part").over(by_part).alias("next"), F.lag("part").over(by_part).alias("previous"))
+    lent = edges.join(F.broadcast(places), "part")
     borrowed = (
         lent.select(F.col("next").alias("part"), F.col("last").alias("row"))
         .unionByName(lent.select(F.col("previous").alias("part"), F.col("first").alias("row")))
