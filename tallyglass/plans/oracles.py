@@ -632,6 +632,33 @@ stop AS (SELECT min(round) AS round FROM best WHERE best < round)""",
     """SELECT round, round(auc, 6) AS auc,
   round <= (SELECT best FROM best WHERE round = coalesce((SELECT round FROM stop), 5)) AS kept FROM aucs""",
 )
+_WHOLE = ("days_since_last_purchase", *_ONE_HOT)
+_TRAINED = (
+    _FEATURES
+    + f""",
+lines_0 AS MATERIALIZED (
+  SELECT {", ".join(f"coalesce({c}, 0) AS {c}" for c in _WHOLE)}, purchased_stock AS y, {_IN_TEST} AS in_test, CAST(0 AS DOUBLE) AS margin
+  FROM features WHERE purchased_stock IS NOT NULL),"""
+    + _stumps(_ranges(_WHOLE), 4, 0.5, 1.0, 0.0, 0.0, 1.0, 1.0, "NOT in_test").replace("{goes_right}", _goes_right(_WHOLE))
+    + """,
+counted AS (SELECT 1 / (1 + exp(-margin)) AS score, sum(y) AS p, count(*) - sum(y) AS q FROM lines_4 WHERE in_test GROUP BY margin),
+ranked AS (
+  SELECT *, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+    sum(p) OVER (ORDER BY score DESC) AS tp, sum(q) OVER (ORDER BY score DESC) AS fp, sum(p) OVER () AS all_p, sum(q) OVER () AS all_q FROM counted),
+curve AS (SELECT *, 2 * (tp / all_p) * (tp / (tp + fp)) / (tp / all_p + tp / (tp + fp) + 1e-8) AS f1 FROM ranked),
+best AS (SELECT f1, score AS threshold FROM curve ORDER BY f1 DESC, score LIMIT 1)"""
+)
+ORACLES["trained_model_values"] = _with(
+    _TRAINED,
+    """SELECT 'second-order boosted trees' AS model_type, round((SELECT sum(p * (below + 0.5 * q)) / (max(all_p) * max(all_q)) FROM curve), 6) AS auc,
+  round((SELECT f1 FROM best), 6) AS best_f1, round((SELECT threshold FROM best), 6) AS threshold,
+  (SELECT count(*) FROM lines_0 WHERE NOT in_test) AS train_rows, (SELECT count(*) FROM lines_0 WHERE in_test) AS test_rows, 4 AS trees_built""",
+)
+ORACLES["trained_model_scores"] = _with(
+    _TRAINED,
+    """SELECT round(1 / (1 + exp(-margin)), 6) AS probability, CASE WHEN 1 / (1 + exp(-margin)) >= threshold - 1e-12 THEN 1 ELSE 0 END AS prediction,
+  count(*) AS rows, CAST(sum(y) AS BIGINT) AS purchases FROM lines_4, best GROUP BY 1, 2""",
+)
 _CATEGORIES = ("l_partkey", "l_returnflag", "units")
 ORACLES["learned_vocab_model"] = _with(
     _STUMP_LINES

@@ -883,6 +883,31 @@ def learned_vocab_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_margin(lines, trees.margin_sql())
 
 
+#: A training run that SQL can repeat: stumps on whole-numbered features, without sampling.
+REPEATABLE = replace(
+    SETTINGS, booster="gbtree", max_depth=1, boosting_rounds=4, learning_rate=0.5, subsample=1.0, colsample_bytree=1.0,
+    feature_columns=("days_since_last_purchase", *(f for f in SETTINGS.feature_columns if f.startswith(("sector_", "market_cap_category_", "day_of_week_")))),
+)
+
+
+@query("trained_model_values")
+def trained_model_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training job with regularised trees, saved: the AUC, best F1 and threshold that are stored with the model."""
+    store, _, _ = _trained(spark, sf_dir, REPEATABLE)
+    described = model_info(spark, f"{store}/{REPEATABLE.model_prefix}")
+    counts = [F.col("params")[c].cast("long").alias(c) for c in ("train_rows", "test_rows", "trees_built")]
+    return shown(described.select("model_type", "auc", "best_f1", "threshold", *counts), "auc", "best_f1", "threshold")
+
+
+@query("trained_model_scores")
+def trained_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same model, loaded: how many rows, purchases and positive decisions each score has."""
+    store, _, rows = _trained(spark, sf_dir, REPEATABLE)
+    scored = load_model(spark, f"{store}/{REPEATABLE.model_prefix}").predict(rows)
+    by_score = scored.groupBy(F.round("probability", 6).alias("probability"), "prediction")
+    return by_score.agg(F.count(F.lit(1)).alias("rows"), F.sum("purchased_stock").cast("long").alias("purchases"))
+
+
 @query("training_log")
 def training_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The logged parameters of a training run, and that its quality is logged as a share."""
