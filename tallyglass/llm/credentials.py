@@ -3,8 +3,8 @@
 Credentials that the patterns find are the labelled examples of their kind. From a bounded sample of each kind
 a prefix tree is built over classes of characters, and states whose continuations do not differ significantly
 (Hoeffding bound, as in the ALERGIA algorithm) are merged into a probabilistic automaton. Ordinary strings give one in
-the same way. Every long string of credential characters that no pattern covers is then scored by how much likelier its
-format is under the best credential automaton than under the ordinary one.
+the same way. Every string of eight or more credential characters that no pattern covers, words included, is then scored by how much
+likelier its format is under the best credential automaton than under the ordinary one.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from math import log, log2, sqrt
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,14 +29,16 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex")
 LEARNED = "learned"
 
-#: Shortest string that is scored beside the patterns.
-LEAST = 16
+#: Shortest string that is scored beside the patterns: the shortest credential they find.
+LEAST = 8
 #: Examples per kind that an automaton is inferred from, at most.
 SAMPLE = 400
 #: Bits a string must gain under a credential automaton, in all and per character.
 GAIN, GAIN_EACH = 12.0, 0.5
-_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
-_DIGIT = re.compile("[0-9]")
+#: All characters of credentials; a full stop at the end is the sentence's.
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST - 1},}}[A-Za-z0-9+/_=-]")
+#: Characters beyond which a string has no format to learn.
+LONGEST = 512
 _CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+/=", "_-.")
 _CLASS_OF = {c: i for i, cs in enumerate(_CLASSES) for c in cs}
 _WIDTH = [log2(len(cs)) for cs in _CLASSES]
@@ -50,13 +53,23 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
+def _touched(start: int, end: int, spans: Iterable[tuple[int, int]]) -> bool:
+    """Whether one of ``spans``, sorted by start, reaches into a range."""
+    for s, e in spans:
+        if s >= end:
+            return False
+        if e > start:
+            return True
+    return False
+
+
 def candidates(text: str, spans: list[tuple[int, int, str, str]]) -> list[tuple[int, int]]:
-    """Long strings of credential characters, one a digit at least, that touch no span."""
+    """Strings of credential characters that touch no span."""
     out, rest = [], deque(sorted((s, e) for s, e, *_ in spans))
     for m in _CANDIDATE.finditer(text):
         while rest and rest[0][1] <= m.start():
             rest.popleft()
-        if _DIGIT.search(m.group()) and not any(s < m.end() and e > m.start() for s, e in rest):
+        if not _touched(m.start(), m.end(), rest):
             out.append(m.span())
     return out
 
@@ -179,53 +192,85 @@ class Formats:
         return gain >= GAIN and gain >= GAIN_EACH * len(text)
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
-        kinds, texts = [], []
-        for text in batch.column("text").to_pylist():
-            text = (text or b"").decode("utf-8", "replace")
-            spans = base_spans(text)
-            for _, _, kind, credential in spans:
-                if len(credential) <= 512:
-                    kinds.append(kind)
-                    texts.append(credential)
-            for start, end in candidates(text, spans):
-                if end - start <= 512:
-                    kinds.append(LEARNED)
-                    texts.append(text[start:end])
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(texts, pa.string())], names=["kind", "example"])
+class _Least:
+    """The ``size`` distinct strings of the least hash, of any number that are added."""
+
+    def __init__(self, size: int):
+        self.size, self.held, self.bound = size, {}, 1 << 64
+
+    def add(self, text: str) -> None:
+        drawn = xxhash.xxh64_intdigest(text.encode(), 42)
+        if drawn <= self.bound:
+            self.held[text] = drawn
+            if len(self.held) > 4 * self.size:
+                self.held = {t: d for d, t in self.first()}
+                self.bound = max(self.held.values())
+
+    def first(self) -> list[tuple[int, str]]:
+        return sorted((d, t) for t, d in self.held.items())[: self.size]
+
+
+def _examples(sample: int):
+    """Of each kind the task's ``sample`` strings of the least hash; so the least of all tasks are among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = {kind: _Least(sample) for kind in (*KINDS, LEARNED)}
+        for batch in chunks(batches):
+            for text in batch.column("text").to_pylist():
+                text = (text or b"").decode("utf-8", "replace")
+                spans = base_spans(text)
+                for _, _, kind, credential in spans:
+                    if len(credential) <= LONGEST:
+                        least[kind].add(credential)
+                for start, end in candidates(text, spans):
+                    if end - start <= LONGEST:
+                        least[LEARNED].add(text[start:end])
+        rows = [(kind, t) for kind, found in least.items() for _, t in found.first()]
+        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([t for _, t in rows], pa.string())], names=["kind", "example"])
+
+    return run
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Formats:
     """Infer the formats from at most ``sample`` distinct examples of each kind and of ordinary strings.
 
-    Examples are chosen by a hash; ones beyond 512 characters have no format and are not learned from.
+    The examples are those of the least hash; ones beyond 512 characters have no format and are not learned from.
     """
-    found = stored(
-        docs.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(_examples, "kind string, example string").distinct(),
-        "credential-examples",
-    )
-    # Four rows; then a threshold on the hash keeps about twice the sample of each kind, of which the exact bound takes the first.
-    sizes = {r["kind"]: r["n"] for r in found.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    draw = F.pmod(F.xxhash64("example"), F.lit(1 << 30))
+    text = F.col("text").cast("string").cast("binary").alias("text")
+    found = stored(docs.select(text).mapInArrow(_examples(sample), "kind string, example string").distinct(), "credential-examples")
+    # As unsigned numbers, as the tasks compare them.
+    draw = F.xxhash64("example").bitwiseXOR(F.lit(-(1 << 63)))
     rows = {
-        kind: [
-            r[0]
-            for r in found.where((F.col("kind") == kind) & (draw < int(min(1.0, 2 * sample / n) * (1 << 30))))
-            .orderBy(draw, "example")
-            .limit(sample)
-            .select("example")
-            .collect()
-        ]
-        for kind, n in sizes.items()
+        kind: [r[0] for r in found.where(F.col("kind") == kind).orderBy(draw, "example").limit(sample).select("example").collect()]
+        for kind in (*KINDS, LEARNED)
     }
     return Formats({k: infer(rows[k]) for k in KINDS if rows.get(k)}, infer(rows[LEARNED]) if rows.get(LEARNED) else None)
 
 
+#: Under the empty string: the formats that judged.
+_verdicts: dict[str, bool | Formats] = {}
+
+
+def _judged(formats: Formats, text: str) -> bool:
+    """``is_credential``, remembered for words that come again. A worker judges by one set of formats at a time."""
+    if _verdicts.get("") is not formats:
+        _verdicts.clear()
+        _verdicts[""] = formats
+    found = _verdicts.get(text)
+    if found is None:
+        if len(_verdicts) > 200_000:
+            _verdicts.clear()
+            _verdicts[""] = formats
+        found = formats.is_credential(text)
+        if len(text) <= 64:
+            _verdicts[text] = found
+    return found
+
+
 def all_spans(text: str, formats: Formats) -> list[tuple[int, int, str, str]]:
     """The patterns' spans and the learned ones, by start, then kind."""
     base = base_spans(text)
-    more = [(s, e, LEARNED, text[s:e]) for s, e in candidates(text, base) if formats.is_credential(text[s:e])]
+    more = [(s, e, LEARNED, text[s:e]) for s, e in candidates(text, base) if _judged(formats, text[s:e])]
     return sorted([*base, *more], key=lambda x: (x[0], (*KINDS, LEARNED).index(x[2])))
 
 
