@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def category_index(categories: DataFrame, per_range: int = 100_000) -> DataFrame
     ranges = max(2, math.ceil(known.count() / per_range))
     dealt = durable(known.repartitionByRange(ranges, "column", "category").withColumn("range", F.spark_partition_id()))
     sizes = sorted(tuple(r) for r in dealt.groupBy("range").count().collect())
-    firsts = [(part, sum(n for _, n in sizes[:i])) for i, (part, _) in enumerate(sizes)]
+    firsts = list(zip([part for part, _ in sizes], accumulate([n for _, n in sizes], initial=0)))
     offsets = categories.sparkSession.createDataFrame(firsts, "range int, first long")
     place = F.row_number().over(Window.partitionBy("range").orderBy("column", "category")) - 1
     return dealt.withColumn("place", place).join(F.broadcast(offsets), "range").select(

@@ -592,8 +592,8 @@ def roc_auc_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fill_missing(rows, [c for c in SETTINGS.feature_columns if c in rows.columns], SETTINGS.fill_value)
     by_day.save_days(by_day.daily_scores(formula_scorer(rows), "date", label=SETTINGS.label_column), root)
     week = by_day.ranked_days(by_day.between(spark.read.parquet(root), AS_OF - dt.timedelta(days=7), AS_OF))
-    best = curves.best_f1(curves.pr_curve(week)).select("best_f1")
-    return shown(curves.roc_auc(week).join(F.broadcast(best)), "auc", "best_f1")
+    best = curves.best_f1(curves.pr_curve(week)).first()
+    return shown(curves.roc_auc(week).withColumn("best_f1", F.lit(best.best_f1 if best else None).cast("double")), "auc", "best_f1")
 
 
 @query("drift_report")
@@ -684,8 +684,8 @@ def daily_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         SETTINGS, market_data_path=f"{store}/market", user_data_path=f"{store}/user", reference_data_path=f"{store}/reference", store_path=store
     )
     result = run_daily_monitoring(spark, settings, RUN_TIME)
-    quality_of_run = result.performance.select("total_predictions", "accuracy", "precision", "recall")
-    return shown(result.drift.join(F.broadcast(quality_of_run)), *DRIFT_VALUES)
+    found = result.performance.select("total_predictions", "accuracy", "precision", "recall").first().asDict()
+    return shown(result.drift.withColumns({name: F.lit(value) for name, value in found.items()}), *DRIFT_VALUES)
 
 
 # --- round trips --------------------------------------------------------------------------------

@@ -23,6 +23,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(found)
 
 
+def exists_below(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether a folder of ``root`` has a commit of this name; only the folders are listed."""
+    pattern, files = _located(spark, f"{root}/*/{name}.json")
+    return len(files.globStatus(pattern) or []) > 0
+
+
 def create(spark: SparkSession, root: str, name: str, values: dict) -> bool:
     """Create the commit ``name`` below ``root``; False if there is one already, which then stays as it is."""
     target, files = _located(spark, f"{root}/{name}.json")

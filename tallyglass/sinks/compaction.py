@@ -21,7 +21,7 @@ def compact(spark: SparkSession, root: str, day: str, schema: T.StructType) -> i
     listed them, until ``vacuum``.
     """
     generation = _generations(spark, root, day)
-    live = [r for r in committed_folders(spark, root, [day]) or [] if r.dates == [day]]
+    live = committed_folders(spark, root, [day]) or []
     if len(live) < 2:
         return None
     folder = f"batch=compact-{day}-{uuid.uuid4().hex}"
@@ -31,8 +31,8 @@ def compact(spark: SparkSession, root: str, day: str, schema: T.StructType) -> i
     rows.hint("rebalance", "accepted").observe(
         seen, F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected")
     ).write.partitionBy("accepted", "prediction_date").parquet(f"{root}/rows/{folder}")
-    values = seen.get | {"folder": folder, "dates": [day], "replaces": [r.folder for r in live]}
-    if commits.create(spark, f"{root}/commits", f"compact-{day}-{generation + 1:06d}", values):
+    values = seen.get | {"folder": folder, "replaces": [r.folder for r in live]}
+    if commits.create(spark, f"{root}/commits/prediction_date={day}", f"compact-{generation + 1:06d}", values):
         return len(live)
     drop_scratch(spark, f"{root}/rows/{folder}")
     return None
@@ -40,12 +40,12 @@ def compact(spark: SparkSession, root: str, day: str, schema: T.StructType) -> i
 
 def _generations(spark: SparkSession, root: str, day: str) -> int:
     """How often a day was compacted."""
-    known = _known(spark, root)
-    return 0 if known is None else known.where(F.array_contains("dates", day) & (F.size("replaces") > 0)).count()
+    known = _known(spark, root, f"prediction_date={day}")
+    return 0 if known is None else known.where(F.size("replaces") > 0).count()
 
 
-def _known(spark: SparkSession, root: str) -> DataFrame | None:
-    return read_or_none(spark, f"{root}/commits", BATCH_SCHEMA, f"{root}/commits", "json")
+def _known(spark: SparkSession, root: str, days: str = "*") -> DataFrame | None:
+    return read_or_none(spark, f"{root}/commits/{days}", BATCH_SCHEMA, f"{root}/commits", "json")
 
 
 def vacuum(spark: SparkSession, root: str) -> int:

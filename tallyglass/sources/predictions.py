@@ -45,19 +45,18 @@ def has_file_log(spark: SparkSession, root: str) -> bool:
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
-BATCH_SCHEMA = "folder string, accepted long, rejected long, dates array<string>, replaces array<string>"
+BATCH_SCHEMA = "folder string, accepted long, rejected long, replaces array<string>"
 
 
 def committed_folders(spark: SparkSession, root: str, dates: list[str] | None = None) -> list | None:
-    """Commits that hold rows of the wanted dates (by default all) and are not replaced; None if the root has no commits.
+    """Commits of the wanted dates (by default all) that are not replaced; None if there are none.
 
-    A row per micro-batch, or per compaction that replaced some.
+    Commits lie in a folder per date, so those of other dates are not listed. A row per micro-batch, or per compaction that replaced some.
     """
-    known = read_or_none(spark, f"{root}/commits", BATCH_SCHEMA, f"{root}/commits", "json")
+    wanted = "*" if dates is None else f"prediction_date={{{','.join(dates)}}}"
+    known = read_or_none(spark, f"{root}/commits/{wanted}", BATCH_SCHEMA, f"{root}/commits", "json")
     if known is None:
         return None
-    if dates is not None:
-        known = known.where(F.arrays_overlap("dates", F.lit(dates)))
     rows = known.collect()
     replaced = {folder for r in rows for folder in r.replaces or []}
     return [r for r in rows if r.folder not in replaced]

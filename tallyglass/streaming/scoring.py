@@ -270,7 +270,7 @@ def write_batch(judged: DataFrame, root: str, batch: int, stream: str) -> bool:
     """
     spark = judged.sparkSession
     name = f"{stream}-{batch:012d}"
-    if commits.exists(spark, f"{root}/commits/{name}.json"):
+    if commits.exists_below(spark, f"{root}/commits", name):
         return False
     folder = f"batch={name}-{uuid.uuid4().hex}"
     seen = Observation()
@@ -280,16 +280,21 @@ def write_batch(judged: DataFrame, root: str, batch: int, stream: str) -> bool:
     counts = seen.get
     if not counts["accepted"] + counts["rejected"]:
         return True
-    values = {"folder": folder, "accepted": counts["accepted"], "rejected": counts["rejected"], "dates": sorted(map(str, counts["dates"]))}
-    return commits.create(spark, f"{root}/commits", name, values)
+    # The time of a batch is one, so is its date; a repeated batch has the same.
+    (date,) = counts["dates"]
+    values = {"folder": folder, "accepted": counts["accepted"], "rejected": counts["rejected"]}
+    return commits.create(spark, f"{root}/commits/prediction_date={date}", name, values)
 
 
 def start_two_sinks(judged: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Predictions and rejects below one root, from one pass over each file; ``read_predictions`` and ``read_rejects`` read them."""
     when = {"processingTime": every} if every else {"availableNow": True}
+    stream = []
 
     def write(batch: DataFrame, number: int) -> None:
-        write_batch(batch, root, number, _stream_id(batch.sparkSession, checkpoint))
+        if not stream:
+            stream.append(_stream_id(batch.sparkSession, checkpoint))
+        write_batch(batch, root, number, stream[0])
 
     return judged.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**when).start()
 

@@ -175,7 +175,7 @@ def test_one_pass_serves_both_sinks_and_batches_are_written_once(spark):
     run(spark, root)
     assert users(spark, root) == ["a", "b", "c", "d"] and sorted(glob.glob(f"{root}/out/rows/*")) == before
     # And as if it had died between writing and committing it.
-    os.remove(max(glob.glob(f"{root}/out/commits/*.json")))
+    os.remove(max(glob.glob(f"{root}/out/commits/*/*.json")))
     forget_batch(root, 2)
     assert users(spark, root) == ["a", "b", "c"]
     run(spark, root)
