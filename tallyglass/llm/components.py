@@ -11,13 +11,14 @@ from tallyglass.session import durable
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is hung under the node's smallest neighbour (or the node)."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least"))
+    # Cut from its plan, so that the join shuffles both sides itself and a hot node can be split over tasks.
+    least = durable(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("least")))
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are hung under the smallest of them. Edges lead from large to small."""
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = durable(edges.groupBy("a").agg(F.min("b").alias("least")))
     moved = edges.join(least, "a")
     return (
         moved.where("b <> least")

@@ -197,7 +197,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFr
             )
         ).alias("g"),
     ).select("fp", "g.*")
-    sizes = keyed.groupBy("grouping", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Aggregates are stored before they are joined, here and below: both sides are then shuffled, and a hot key can be split over tasks.
+    sizes = stored(keyed.groupBy("grouping", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key-sizes")
     parts = F.ceil(F.col("n") / cell).cast("int")
     cells = (
         keyed.join(sizes, ["grouping", "key"])
@@ -242,7 +243,8 @@ def _rows_and_labels(docs: DataFrame, radius: int, shingle: int) -> tuple[DataFr
     rooted = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         "fp", "doc_id", F.coalesce("root", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    rooted = stored(rooted, "roots")
+    smallest = stored(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "components")
     return rows, rooted.join(smallest, "root").select("fp", "root", "component_id")
 
 
@@ -265,29 +267,32 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -
     hash), so a file that was read twice, or a text that is stored many times without an id, is left once. An empty table gives an empty result.
     """
     rows, labels = _rows_and_labels(docs, radius, shingle)
+    # Columns are numbered on the way, so that no name can clash.
+    names, docs = docs.columns, docs.toDF(*(f"__in_{i}" for i in range(len(docs.columns))))
+    doc_id, text = (F.col(f"__in_{names.index(c)}") for c in ("doc_id", "text"))
     identity = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     # Rows equal in id and text are one row from here on.
     counted = rows.groupBy("fp", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
     placed = stored(counted.join(labels.select("fp", "root"), "fp").select("root", "doc_id", "text_hash", "n"), "identities")
-    first = placed.groupBy("root").agg(F.min(identity).alias("first"))
+    first = stored(placed.groupBy("root").agg(F.min(identity).alias("first")), "firsts")
     judged = stored(
         placed.join(first, "root").select(
             F.col("doc_id").alias("__doc_id"), F.col("text_hash").alias("__text_hash"), "n", (identity == F.col("first")).alias("stays")
         ).where("n > 1 or not stays"),
         "judged",
     )
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__text_hash"))
+    same = doc_id.cast("long").eqNullSafe(F.col("__doc_id")) & (F.xxhash64(text.cast("string")) == F.col("__text_hash"))
     single = docs.join(judged, same, "left_anti")
     repeated = judged.where("stays")
     if repeated.isEmpty():
-        return single
+        return single.toDF(*names)
     # Partial aggregation leaves one row of a task however many copies it reads.
-    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    hashed = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    row = F.struct(*docs.columns)
     kept = (
         docs.join(repeated, same)
         .groupBy("__doc_id", "__text_hash")
         .agg(F.min_by(row, F.xxhash64(*hashed)).alias("__row"))
         .select(*(F.col("__row")[c].alias(c) for c in docs.columns))
     )
-    return single.unionByName(kept)
+    return single.unionByName(kept).toDF(*names)
