@@ -73,13 +73,16 @@ def remove_lines(docs: DataFrame, window: int = WINDOW, carry: tuple[str, ...] =
     rows = identified(docs, *(F.col(f"`{name}`").alias(alias) for alias, name in own.items()))
     windows = stored(_windows(rows, window), "line-windows")
     place = F.struct("doc_id", "text_hash", "at")
-    repeated = (
+    # Stored, so that the join shuffles both sides itself and a hot window can be split over tasks.
+    repeated = stored(
         windows.groupBy("h1", "h2")
         .agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first <> last")
+        .select("h1", "h2", "first"),
+        "repeated-line-windows",
     )
     later = (
-        windows.join(repeated.select("h1", "h2", "first"), ["h1", "h2"])
+        windows.join(repeated, ["h1", "h2"])
         .where(place > F.col("first"))
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("at").alias("__starts"))
