@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.llm.rows import chunks, stored
+from tallyglass.llm.rows import chunks, identified, stored
 
 #: Labelled documents the model is fitted on, if there are so many (give or take the chance of a hash).
 SAMPLE = 8000
@@ -168,7 +168,8 @@ def _suspects(suspects: np.ndarray):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS) -> Model:
-    """Fit on about ``sample`` labelled documents (or all, if fewer) that are not held out, chosen by a hash of their id.
+    """Fit on about ``sample`` labelled documents (or all, if fewer) that are not held out, chosen by a hash of their id; on two texts for each at most,
+    on average, should ids be repeated.
 
     A document with several labels is toxic if one says so; null labels say nothing. Features that stand in toxic documents
     no more often than in others are left out: under noisy-or a word can only add suspicion.
@@ -182,11 +183,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: in
     # A threshold on the hash, so that no task or driver sees more than the sample.
     share = min(1.0, sample / max(1, labelled.count()))
     chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # ``sample`` rows of two numbers.
+    with_id = identified(docs).join(F.broadcast(chosen), "doc_id")
+    # Ids may be repeated: rows equal in id and text are one example, and beyond two per document they are drawn by their hash.
+    distinct = with_id.select("doc_id", "text_hash").distinct().count()
+    kept = 1.0 if distinct <= 2 * sample else sample / distinct
+    drawn = with_id.where(F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(1 << 30)) < int(kept * (1 << 30)))
     rows = stored(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-        # ``sample`` rows of two numbers.
-        .join(F.broadcast(chosen), "doc_id")
-        .select("doc_id", "toxic", "text"),
+        # Partial aggregation leaves one row of a task however many copies it reads.
+        drawn.groupBy("doc_id", "text_hash").agg(F.first("toxic").alias("toxic"), F.first("text").alias("text")).drop("text_hash"),
         "labelled-sample",
     ).repartition("doc_id")
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum("toxic")).first()
