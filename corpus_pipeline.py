@@ -20,9 +20,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines under later occurrences of three-line windows."""
     carry = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    rows = line_dedup.remove_lines(docs, carry=carry)
-    out = {"n_chars": F.length("text").cast("long").alias("n_chars")}
-    return rows.select(*(out.get(c, F.col(f"`{c}`")) for c in docs.columns))
+    # Columns are told apart by place: documents may have columns of the operator's names.
+    places = [f"c{i}" for i in range(len(carry))]
+    rows = line_dedup.remove_lines(docs, carry=carry).toDF("doc_id", "lines", "removed", "text", *places)
+    out = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    out |= {name: F.col(place) for name, place in zip(carry, places)}
+    return rows.select(*(out[c].alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
