@@ -266,7 +266,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor_words: int = AN
             (F.shiftleft(F.shiftright("source.span", 32) + F.col("offset"), 32) + 1).alias("span"),
         )
     )
-    spans = whole.unionByName(single).groupBy("doc_id", "text_hash").agg(F.collect_list("span").alias("spans"))
+    # A set: rows equal in id and text bring the same spans. Stored, so that the join can split the rows of such a text over tasks.
+    spans = stored(whole.unionByName(single).groupBy("doc_id", "text_hash").agg(F.collect_set("span").alias("spans")), "spans")
     return (
         join_rows(docs, spans, "left")
         .select("doc_id", "text", "spans")
