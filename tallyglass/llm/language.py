@@ -27,6 +27,8 @@ TOTAL = 64 * SAMPLE
 #: Hashed n-gram features, a power of two.
 FEATURES = 4096
 GRAMS = (1, 2, 3)
+#: Documents that are fitted at full width at a time (64 MB).
+BLOCK = 4096
 UNKNOWN = "und"
 #: Below this probability of the chosen language a text is ambiguous.
 CLEAR = 0.6
@@ -103,8 +105,23 @@ class Codes:
         return self.languages[best], float(p[best]), bool(p[best] < CLEAR)
 
 
-def fit(x: np.ndarray, languages: list[str], rounds: int = 120, rate: float = 4.0, l2: float = 1e-5) -> Codes:
-    """One logistic classifier per bit, each language weighing the same."""
+@dataclass(frozen=True)
+class Sparse:
+    """Rows of features, of which only the set ones are held; a block of rows is spread out at a time."""
+
+    rows: list[tuple[np.ndarray, np.ndarray]]  # features, values
+    shape: tuple[int, int]
+
+    def __getitem__(self, rows: slice) -> np.ndarray:
+        part = self.rows[rows]
+        out = np.zeros((len(part), self.shape[1]), dtype=np.float32)
+        for row, (at, values) in zip(out, part, strict=True):
+            row[at] = values
+        return out
+
+
+def fit(x: np.ndarray | Sparse, languages: list[str], rounds: int = 120, rate: float = 4.0, l2: float = 1e-5) -> Codes:
+    """One logistic classifier per bit, each language weighing the same. Rows are taken in blocks, so the driver holds few at full width."""
     names = tuple(sorted(set(languages)))
     if len(names) < 2:
         return Codes(names, np.ones((len(names), 0)), np.zeros((FEATURES, 0)), np.zeros(0), np.zeros(0))
@@ -115,12 +132,22 @@ def fit(x: np.ndarray, languages: list[str], rounds: int = 120, rate: float = 4.
     weigh = (1 / np.bincount(y)[y] / len(names))[:, None].astype(np.float32)
     weights, bias = np.zeros((x.shape[1], code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
     speed = np.zeros_like(weights)
+    parts = [slice(start, start + BLOCK) for start in range(0, x.shape[0], BLOCK)]
+    only = x[parts[0]] if len(parts) == 1 else None
+
+    def blocks() -> Iterator[tuple[slice, np.ndarray]]:
+        yield from ((part, x[part] if only is None else only) for part in parts)
+
     for _ in range(rounds):
-        slope = -target / (1 + np.exp(np.clip(target * (x @ weights + bias), -30, 30))) * weigh
-        speed = np.float32(0.9) * speed + x.T @ slope + np.float32(l2) * weights
+        gradient, shift = np.zeros_like(weights), np.zeros_like(bias)
+        for part, rows in blocks():
+            slope = -target[part] / (1 + np.exp(np.clip(target[part] * (rows @ weights + bias), -30, 30))) * weigh[part]
+            gradient += rows.T @ slope
+            shift += slope.sum(axis=0)
+        speed = np.float32(0.9) * speed + gradient + np.float32(l2) * weights
         weights = weights - np.float32(rate) * speed
-        bias = bias - np.float32(rate) * slope.sum(axis=0)
-    right = ((np.sign(x @ weights + bias) == target) * weigh).sum(axis=0)
+        bias = bias - np.float32(rate) * shift
+    right = sum(((np.sign(rows @ weights + bias) == target[part]) * weigh[part]).sum(axis=0) for part, rows in blocks())
     # A bit no better than chance has no say; the weights sum to the number of bits.
     trust = np.clip(2 * right - 1, 0.01, 1)
     return Codes(names, code, weights, bias, trust * len(trust) / trust.sum())
@@ -160,12 +187,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) -> Codes:
     first = Window.partitionBy("lang").orderBy("draw", "doc_id")
     rows = chosen.withColumn("number", F.row_number().over(first)).where(F.col("number") <= sample)
     found = rows.select("lang", "text").mapInArrow(_features, "lang string, at binary, x binary").toArrow()
-    # Sorted, so that the fit does not depend on the order in which tasks end. The dense matrix is the largest table on the driver.
+    # Sorted, so that the fit does not depend on the order in which tasks end.
     found = sorted(zip(*(found.column(c).to_pylist() for c in ("lang", "at", "x")), strict=True))
-    x = np.zeros((len(found), FEATURES), dtype=np.float32)
-    for row, (_, at, values) in zip(x, found, strict=True):
-        row[np.frombuffer(at, np.int16)] = np.frombuffer(values, np.float32)
-    return fit(x, [lang for lang, *_ in found])
+    rows = [(np.frombuffer(at, np.int16), np.frombuffer(values, np.float32)) for _, at, values in found]
+    return fit(Sparse(rows, (len(rows), FEATURES)), [lang for lang, *_ in found])
 
 
 def _identified(codes: Codes):
