@@ -1,9 +1,12 @@
 """Second-order boosted trees with regularisation, grown level by level over a stored table of binned rows.
 
-Rows are cut into quantile bins once. Per level one job adds up gradients and hessians of the logistic loss by node, feature and bin;
+Rows are stored once, so what they are made of (a join with learned categories, say) runs once, and cut into quantile bins. Rows that are equal
+in bins, categories and label stay equal through all trees, so where many are, they are one row with a count. Per level one job adds up gradients and
+hessians of the logistic loss by node, feature and bin; the first level's has the sums of all rows too;
 the sums of numeric features (``2 ** depth * features * max_bin`` at most) are compared on the driver, those of learned categories, of
 which there may be any number, are compared where they lie, and only the best one per node comes back. Sums are of whole numbers
-(fixed point), so trees depend neither on the order of rows nor on retries. After each tree the rows' margins are written anew.
+(fixed point), so trees depend neither on the order of rows nor on retries. Small trees are added to the stored margins as rows are read; once
+there are ``PENDING`` splits of them the margins are written anew.
 
 A fitted ensemble is a SQL expression over its input columns, so scoring is a projection.
 """
@@ -16,7 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyglass.functions.expressions import name_sql, text_sql
@@ -26,6 +29,10 @@ from tallyglass.session import drop_scratch, scratch_path
 LEAST_GAIN = 1e-6
 #: Rank error of the bin bounds, as a share of a bin.
 BIN_ACCURACY = 0.05
+#: Equal rows become one row with a count where each is there so many times on average.
+WORTH_COUNTING = 4
+#: Splits of trees that are not in the stored margins yet, and are evaluated as rows are read.
+PENDING = 32
 
 
 @dataclass(frozen=True)
@@ -95,6 +102,12 @@ class Ensemble:
 
         return F.aggregate(steps, zero, add)["all"]
 
+    def with_staged(self, rows: DataFrame, into: str = "staged") -> DataFrame:
+        """The rows with ``staged``; a column per tree first, so that Spark compiles them and evaluates each once."""
+        steps = {f"__step_{i}": F.expr(t.sql()) for i, t in enumerate(self.trees)}
+        sums = [" + ".join([f"{self.base!r}D", *list(steps)[: i + 1]]) for i in range(len(steps))]
+        return rows.withColumns(steps).withColumn(into, F.expr(f"CAST(array({', '.join(sums)}) AS array<double>)")).drop(*steps)
+
 
 def split_conditions(tree: Split | Leaf) -> list[str]:
     return [] if isinstance(tree, Leaf) else [tree.condition, *split_conditions(tree.left), *split_conditions(tree.right)]
@@ -125,24 +138,40 @@ def bin_bounds(rows: DataFrame, inputs: Sequence[str], max_bin: int) -> list[lis
     return [sorted(set(values or []))[1:] for values in found]
 
 
-def _binned(rows: DataFrame, inputs: Sequence[str], bounds: list[list[float]], cats: str | None, label: str, key: Sequence[str], base: float):
-    """``bins, cats, y, key, margin``: what the loop reads instead of the rows."""
+def _store(rows: DataFrame, inputs: Sequence[str], cats: str | None, label: str, key: Sequence[str] | None) -> tuple[DataFrame, str, int]:
+    """``in_0, in_1, .., cats, y`` of the rows and, if drawn by it, a hash of ``key``, as a stored table; and about how many different rows it has."""
+    named = rows.select(
+        *[F.col(name_sql(c)).alias(f"in_{i}") for i, c in enumerate(inputs)],
+        (F.col(cats) if cats else F.array()).cast("array<bigint>").alias("cats"),
+        F.col(label).cast("double").alias("y"),
+        *([F.xxhash64(*key).alias("key")] if key else []),
+    )
+    seen = Observation()
+    hashed = F.xxhash64(*[F.col(c) for c in named.columns])
+    stored, path = _write(named.observe(seen, F.approx_count_distinct(hashed).alias("different")))
+    return stored, path, seen.get["different"]
+
+
+def _binned(stored: DataFrame, bounds: list[list[float]], base: float) -> DataFrame:
+    """``bins, cats, y, key, n, margin``: what the loop reads instead of the rows."""
     cut = [i for i, b in enumerate(bounds) if b]
+    rows = stored
     if cut:
-        rows = rows.withColumns({f"__in_{i}": F.col(name_sql(inputs[i])).cast("double") for i in cut})
+        rows = rows.withColumns({f"__in_{i}": F.col(f"in_{i}").cast("double") for i in cut})
         rows = Bucketizer(
             splitsArray=[[-math.inf, *bounds[i], math.inf] for i in cut],
             inputCols=[f"__in_{i}" for i in cut],
             outputCols=[f"__bin_{i}" for i in cut],
         ).transform(rows)
     bins = F.array(*[F.col(f"__bin_{i}").cast("smallint") if b else F.lit(0).cast("smallint") for i, b in enumerate(bounds)])
-    return rows.select(
-        bins.cast("array<smallint>").alias("bins"),
-        (F.col(cats) if cats else F.array()).cast("array<bigint>").alias("cats"),
-        F.col(label).cast("double").alias("y"),
-        F.xxhash64(*key).alias("key"),
-        F.lit(base).alias("margin"),
-    )
+    kept = [c for c in ("cats", "y", "key") if c in stored.columns]
+    return rows.select(bins.cast("array<smallint>").alias("bins"), *kept, F.lit(1).cast("long").alias("n"), F.lit(base).alias("margin"))
+
+
+def _counted(binned: DataFrame) -> DataFrame:
+    """Equal rows as one, ``n`` times."""
+    same = [c for c in binned.columns if c != "n"]
+    return binned.groupBy(*same).agg(F.sum("n").alias("n")).select(binned.columns)
 
 
 def _write(df: DataFrame, old: str | None = None) -> tuple[DataFrame, str]:
@@ -159,13 +188,25 @@ def _chance(share: float, *parts) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 30)) < int(share * (1 << 30))
 
 
+def _splits(node: _Node) -> int:
+    return 1 + sum(map(_splits, node.children)) if node.split else 0
+
+
+def margin_of(pending: Sequence[str]) -> Column:
+    """The stored margin and what later trees add, in their order."""
+    return F.expr(" + ".join(["margin", *pending]))
+
+
 class _Grower:
     """One tree: its sampled rows and features, and the nodes of the level it is at."""
 
-    def __init__(self, rows: DataFrame, bounds: list[list[float]], has_cats: bool, params: Boosting, bits: int, number: int):
+    def __init__(
+        self, rows: DataFrame, bounds: list[list[float]], has_cats: bool, params: Boosting, bits: int, number: int, pending: Sequence[str] = ()
+    ):
         self.params, self.bounds, self.has_cats, self.unit = params, bounds, has_cats, float(1 << bits)
         self.number = number
         self.features = self._drawn_features()
+        rows = rows.withColumn("margin", margin_of(pending))
         weight = F.when(F.col("y") == 1, params.scale_pos_weight).otherwise(1.0)
         p = 1 / (1 + F.exp(-F.col("margin")))
         drawn = rows.where(_chance(params.subsample, F.col("key"), F.lit(params.seed), F.lit(number))) if params.subsample < 1 else rows
@@ -173,8 +214,9 @@ class _Grower:
         self.rows = drawn.select(
             "bins",
             "cats",
-            F.round(weight * (p - F.col("y")) * self.unit).cast("long").alias("g"),
-            F.round(weight * p * (1 - p) * self.unit).cast("long").alias("h"),
+            (F.round(weight * (p - F.col("y")) * self.unit).cast("long") * F.col("n")).alias("g"),
+            (F.round(weight * p * (1 - p) * self.unit).cast("long") * F.col("n")).alias("h"),
+            "n",
         )
 
     def _drawn_features(self) -> list[int]:
@@ -184,12 +226,19 @@ class _Grower:
         return sorted(rng.permutation(usable)[:kept].tolist()) if usable else []
 
     def grow(self) -> _Node:
-        g, h, n = self.rows.agg(F.sum("g"), F.sum("h"), F.count(F.lit(1))).first()
-        root = _Node((g or 0) / self.unit, (h or 0) / self.unit, n)
-        level = [root]
         rows = self.rows.withColumn("node", F.lit(1))
+        # Of one feature all bins are added up, which is all rows.
+        cells = self._cells(rows, self.features[0]) if self.features and self.params.max_depth else None
+        if cells is None:
+            sums = [self.rows.agg(F.sum("g"), F.sum("h"), F.sum("n")).first()]
+        else:
+            sums = [cell for _, feature, _, *cell in cells if feature == self.features[0]]
+        g, h, n = (sum(cell[i] or 0 for cell in sums) for i in range(3))
+        root = _Node(g / self.unit, h / self.unit, n)
+        level = [root]
         for depth in range(self.params.max_depth):
-            found = self._best(rows, level)
+            found = self._best(rows, level, cells)
+            cells = None
             for i, (feature, bound, gr, hr, nr, gain) in found.items():
                 node = level[i]
                 node.split = (feature, bound, gain)
@@ -211,7 +260,7 @@ class _Grower:
         splits = [(-1, 0, 0, 0), *((*n.split[:2], *(order[id(c)] for c in n.children)) if n.split else (-1, 0, 0, 0) for n in level)]
         feature, bound, left, right = (f"array({', '.join(f'{x}{kind}' for x in column)})[node]" for column, kind in zip(zip(*splits), "LS  "))
         n = len(self.bounds)
-        kept = ["bins", "cats", "g", "h"]
+        kept = ["bins", "cats", "g", "h", "n"]
         test = f"if(f < {n}L, bins[CAST(f AS INT)] >= {bound}, array_contains(cats, f - {n}L))"
         return rows.selectExpr(*kept, "node", f"{feature} AS f").selectExpr(*kept, f"if(f = -1L, 0, if({test}, {right}, {left})) AS node")
 
@@ -232,23 +281,27 @@ class _Grower:
         left, right = (self.path_sql(child, leaf) for child in node.children)
         return f"if({test}, {right}, {left})"
 
-    def _best(self, rows: DataFrame, level: list[_Node]) -> dict[int, tuple]:
+    def _best(self, rows: DataFrame, level: list[_Node], cells: list | None = None) -> dict[int, tuple]:
         """For each node of the level that gains by a split: feature, bin, the right side's sums and rows, gain."""
-        found = self._best_bins(rows, level) if self.features else {}
+        found = self._best_bins(self._cells(rows) if cells is None else cells, level) if self.features else {}
         if self.has_cats:
             for i, best in self._best_categories(rows, level).items():
                 if i not in found or best[-1] > found[i][-1]:
                     found[i] = best
         return found
 
-    def _best_bins(self, rows: DataFrame, level: list[_Node]) -> dict[int, tuple]:
-        cells = (
-            rows.select("node", "g", "h", F.posexplode("bins").alias("feature", "bin"))
-            .where(F.col("feature").isin(self.features) & (F.col("bin") > 0))
+    def _cells(self, rows: DataFrame, whole: int | None = None) -> list:
+        """``node, feature, bin, g, h, n`` of all bins but the first, which no split needs; of the feature ``whole`` with the first."""
+        asked = (F.col("bin") > 0) | (F.col("feature") == whole) if whole is not None else F.col("bin") > 0
+        return (
+            rows.select("node", "g", "h", "n", F.posexplode("bins").alias("feature", "bin"))
+            .where(F.col("feature").isin(self.features) & asked)
             .groupBy("node", "feature", "bin")
-            .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
+            .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
             .collect()
         )
+
+    def _best_bins(self, cells: list, level: list[_Node]) -> dict[int, tuple]:
         width = 1 + max(len(self.bounds[i]) for i in self.features)
         sums = np.zeros((3, len(level), len(self.bounds), width), dtype=np.int64)
         for node, feature, bin_, *cell in cells:
@@ -280,10 +333,10 @@ class _Grower:
     def _best_categories(self, rows: DataFrame, level: list[_Node]) -> dict[int, tuple]:
         """The same for learned categories: rows that have one against all others. One row per node comes back."""
         p, cat = self.params, F.col("cat")
-        cells = rows.select("node", "g", "h", F.explode("cats").alias("cat"))
+        cells = rows.select("node", "g", "h", "n", F.explode("cats").alias("cat"))
         if p.colsample < 1:
             cells = cells.where(_chance(p.colsample, cat, F.lit(p.seed), F.lit(self.number)))
-        sums = cells.groupBy("node", "cat").agg(F.sum("g").alias("gq"), F.sum("h").alias("hq"), F.count(F.lit(1)).alias("n"))
+        sums = cells.groupBy("node", "cat").agg(F.sum("g").alias("gq"), F.sum("h").alias("hq"), F.sum("n").alias("n"))
 
         def of(values: list, kind: str) -> Column:
             """A number of each node of the level; rows in leaves have none."""
@@ -322,21 +375,31 @@ def boost(
     ones that trees use only. ``key`` identifies a row for sampling. Without rows every tree is a leaf of weight 0.
     """
     base = math.log(params.base_score / (1 - params.base_score))
-    bounds = bin_bounds(rows, inputs, params.max_bin)
+    drawn = params.subsample < 1
+    stored, stored_path, different = _store(rows, inputs, cats, label, key if drawn else None)
+    bounds = bin_bounds(stored, [f"in_{i}" for i in range(len(inputs))], params.max_bin)
+    count = stored.count()
+    if cats is None:
+        different = min(different, 2 * math.prod(len(b) + 1 for b in bounds))
+    binned = _binned(stored, bounds, base)
+    counted = not drawn and different * WORTH_COUNTING <= count
     # Narrow rows of a few files would be read by as few tasks.
-    binned = _binned(rows, inputs, bounds, cats, label, key, base)
     least = rows.sparkSession.sparkContext.defaultParallelism
-    state, path = _write(binned if binned.rdd.getNumPartitions() >= least else binned.repartition(least))
+    if counted or stored.rdd.getNumPartitions() < least:
+        binned = (_counted(binned) if counted else binned).repartition(least)
+    state, path = _write(binned, stored_path)
     spread = max(1.0, params.scale_pos_weight)
-    bits = min(40, 62 - math.ceil(math.log2((state.count() + 1) * spread)))
-    grown = []
+    bits = min(40, 62 - math.ceil(math.log2((count + 1) * spread)))
+    grown, pending, splits = [], [], 0
     for number in range(params.rounds):
-        grower = _Grower(state, bounds, cats is not None, params, bits, number)
+        grower = _Grower(state, bounds, cats is not None, params, bits, number, pending)
         root = grower.grow()
         grown.append((grower, root))
-        if number + 1 < params.rounds:
-            step = F.expr(grower.path_sql(root, lambda node: f"{grower.weight(node)!r}D"))
-            state, path = _write(state.withColumn("margin", F.col("margin") + step), path)
+        pending.append(grower.path_sql(root, lambda node: f"{grower.weight(node)!r}D"))
+        splits += max(1, _splits(root))
+        if splits > PENDING and number + 1 < params.rounds:
+            state, path = _write(state.withColumn("margin", margin_of(pending)), path)
+            pending, splits = [], 0
     drop_scratch(rows.sparkSession, path)
     names = _category_names([root for _, root in grown], len(inputs), categories)
 

@@ -208,7 +208,7 @@ def _regularised(train: DataFrame, test: DataFrame, settings: Settings) -> _Boos
     ensemble = boost(rows, _inputs(settings), settings.label_column, settings.key_columns, params, cats, categories)
     watched = []
     if settings.early_stopping_rounds is not None and ensemble.trees:
-        staged = prepare.transform(test).withColumn("staged", ensemble.staged())
+        staged = ensemble.with_staged(prepare.transform(test))
         by_round = auc_by_round if settings.eval_metric == "auc" else loss_by_round
         watched = by_round(staged, settings.label_column)
         if watched:

@@ -865,7 +865,7 @@ def boosted_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
 def early_stopping_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AUC on the test lines after each of five rounds, and whether the round is kept."""
     train, test = train_test_split(reduced_lines(spark, sf_dir), LINE_KEY, SETTINGS.test_size, SETTINGS.random_seed)
-    watched = auc_by_round(test.withColumn("staged", boost(train, LINE_INPUTS, "reduced", LINE_KEY, STUMPS).staged()), "reduced")
+    watched = auc_by_round(boost(train, LINE_INPUTS, "reduced", LINE_KEY, STUMPS).with_staged(test), "reduced")
     kept = kept_rounds(watched, replace(SETTINGS, early_stopping_rounds=1))
     # A row per round.
     return spark.createDataFrame([(i, round(auc, 6), i <= kept) for i, auc in enumerate(watched, 1)], "round int, auc double, kept boolean")

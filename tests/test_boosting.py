@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyglass.config import Settings
+from tallyglass.operators import boosting
 from tallyglass.operators.boosting import Boosting, Leaf, bin_bounds, boost, split_conditions
 from tallyglass.operators.curves import rank_scores, roc_auc, roc_auc_by
 from tallyglass.operators.encode import category_index, distinct_categories, with_category_indices
@@ -126,6 +127,64 @@ def test_rows_and_columns_are_drawn_per_tree(spark):
     assert trees != boost(df, inputs, "y", ["id"], replace(params, seed=1)).trees
 
 
+def written(monkeypatch):
+    """The rows of every table that ``boost`` stores from now on, as they are when it is written."""
+    counts, write = [], boosting._write
+
+    def counting(df, old=None):
+        table, path = write(df, old)
+        counts.append(table.count())
+        return table, path
+
+    monkeypatch.setattr(boosting, "_write", counting)
+    return counts
+
+
+def test_equal_rows_are_stored_once_and_small_trees_are_not_written(spark, monkeypatch):
+    df = spark.range(3000).select(
+        "id", *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(4)).cast("double").alias(f"x{k}") for k in range(2)]
+    ).withColumn("y", (F.col("x0") + F.col("x1") + F.pmod("id", F.lit(2)) > 3).cast("int"))
+    params = Boosting(rounds=4, max_depth=2)
+    counts = written(monkeypatch)
+    model = boost(df, ["x0", "x1"], "y", ["id"], params)
+    assert counts[0] == 3000 and len(counts) == 2 and counts[1] <= 4 * 4 * 2
+    # Rows by themselves, and a margin written after each tree, give the very same trees.
+    monkeypatch.setattr(boosting, "WORTH_COUNTING", math.inf)
+    monkeypatch.setattr(boosting, "PENDING", 0)
+    counts.clear()
+    assert boost(df, ["x0", "x1"], "y", ["id"], params) == model
+    assert counts == [3000] * 5
+
+
+def test_trees_that_wait_are_those_that_are_written(spark, monkeypatch):
+    """Sampled rows, drawn columns and categories; rows that differ are not counted."""
+    df = spark.range(2000).select(
+        "id",
+        *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(50)).cast("double").alias(f"x{k}") for k in range(3)],
+        F.array(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(5))).alias("cats"),
+    ).withColumn("y", (F.col("x0") + F.col("x1") > 40 + 9 * F.col("cats")[0]).cast("int"))
+    index = spark.createDataFrame([(i, "shop", str(i)) for i in range(5)], "index long, column string, category string")
+    for sampling in ({}, {"subsample": 0.7, "colsample": 0.7}):
+        params = Boosting(rounds=3, max_depth=2, learning_rate=0.5, **sampling)
+        with monkeypatch.context() as patched:
+            counts = written(patched)
+            models = []
+            for pending in (32, 0):
+                patched.setattr(boosting, "PENDING", pending)
+                models.append(boost(df, ["x0", "x1", "x2"], "y", ["id"], params, "cats", index))
+        assert models[0] == models[1] and set(counts) == {2000}
+
+
+def test_staged_margins_are_plain_columns(spark):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 7 + i % 5 > 5)) for i in range(200)], "id long, a double, b double, y double")
+    model = boost(df, ["a", "b"], "y", ["id"], Boosting(rounds=4, max_depth=2))
+    staged = model.with_staged(df)
+    assert staged.columns == [*df.columns, "staged"]
+    assert staged.withColumn("old", model.staged()).where("staged != old").count() == 0
+    assert "lambda" not in staged._jdf.queryExecution().optimizedPlan().toString()
+    assert boosting.Ensemble([], 0.5).with_staged(df).first().staged == []
+
+
 def test_odd_tables(spark):
     empty = spark.createDataFrame([], "id long, x double, y double")
     assert boost(empty, ["x"], "y", ["id"], STUMP).trees[0].sql() in ("0.0D", "-0.0D")
