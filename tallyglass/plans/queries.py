@@ -376,12 +376,12 @@ def formula_scorer(df: DataFrame) -> DataFrame:
     return df.withColumn("probability", 1.0 / (1.0 + F.exp(-z)))
 
 
-def scoring_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scoring request per user and day, complete, as a client would send it.
+def scoring_requests(spark: SparkSession, sf_dir: str, features: DataFrame | None = None) -> DataFrame:
+    """A scoring request per user and day, complete, as a client would send it; ``features`` if they are stored already.
 
     On a user's first day the day's own volume stands for the average, and no purchase yet is 0 days.
     """
-    rows = all_features(spark, sf_dir).withColumns(
+    rows = (all_features(spark, sf_dir) if features is None else features).withColumns(
         {
             "avg_volume_30d": F.coalesce(F.floor("avg_volume_30d"), "volume"),
             "days_since_last_purchase": F.coalesce("days_since_last_purchase", F.lit(0)),
@@ -748,9 +748,12 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- model --------------------------------------------------------------------------------------
 
 
-def _trained(spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS) -> tuple[str, Model, DataFrame]:
+def _trained(
+    spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS, features: DataFrame | None = None
+) -> tuple[str, Model, DataFrame]:
     store = scratch_path(spark, "model")
-    model, rows = train_or_load(model_frame(all_features(spark, sf_dir), settings), settings, store)
+    features = all_features(spark, sf_dir) if features is None else features
+    model, rows = train_or_load(model_frame(features, settings), settings, store)
     return store, model, rows
 
 
@@ -953,9 +956,13 @@ def batch_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_scoring_model")
 def stream_scoring_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests scored by the saved model as a stream; each decision and score against those of one batch."""
-    store, _, _ = _trained(spark, sf_dir)
+    # Trained on, sent and scored as a batch: joined once.
+    path = scratch_path(spark, "features")
+    all_features(spark, sf_dir).write.parquet(path)
+    features = spark.read.parquet(path)
+    store, _, _ = _trained(spark, sf_dir, features=features)
     model = load_model(spark, f"{store}/{SETTINGS.model_prefix}")
-    requests = scoring_requests(spark, sf_dir)
+    requests = scoring_requests(spark, sf_dir, features)
     root = _stream(spark, _as_json(requests), f"{store}/stream", model.score, model.threshold)
     streamed = read_predictions(spark, [root], AS_OF)
     batch = score_requests(requests, model.score, model.threshold, SETTINGS, RUN_TIME)

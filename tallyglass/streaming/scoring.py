@@ -89,7 +89,9 @@ def parse_documents(lines: DataFrame, schema: T.StructType = REQUEST_SCHEMA) ->
     value = F.col("value")
     many = F.from_json(value, "features array<string>")["features"]
     listed = F.ltrim(value).startswith("[")
-    wrapped = F.get_json_object(value, "$.features").isNotNull()
+    # Parsing a document for a key it cannot have costs as much as reading it; a backslash may spell the key in escapes.
+    may_wrap = value.contains("features") | value.contains("\\")
+    wrapped = may_wrap & F.get_json_object(value, "$.features").isNotNull()
     elements = (
         F.when(listed, F.coalesce(F.from_json(value, "array<string>"), F.array(F.lit(None).cast("string"))))
         .when(wrapped, F.coalesce(many, F.array(F.lit(None).cast("string"))))
@@ -215,7 +217,7 @@ def judged_requests(
     """Every request once, batch or streaming alike: its prediction if it is accepted, its text and the reason if not."""
     time = F.current_timestamp() if scored_at is None else moment(scored_at)
     date = F.to_date(time) if scored_at is None else F.lit(settings.as_of)
-    rows = checked_requests(requests.withColumn("record", _record(requests)))
+    rows = checked_requests(requests)
     if dedup:
         late = F.when(F.col("requested_at") < time - F.lit(dedup.delay), "late").when(F.col("requested_at") > time + F.lit(dedup.skew), "ahead of time")
         rows = rows.withColumn("reason", F.coalesce("reason", late))
@@ -229,6 +231,8 @@ def judged_requests(
             if requests.isStreaming
             else _first_of_each(rows, good)
         )
+    # Only rejects are written as text again.
+    rows = rows.withColumn("record", F.when(F.col("reason").isNotNull(), _record(requests)))
     carried = [c for c in (POSITION, "record", "reason") if c in rows.columns]
     features = request_features(rows, settings, carried).transform(fill_missing, settings.feature_columns, settings.fill_value)
     good = F.col("reason").isNull()
@@ -245,7 +249,7 @@ def judged_requests(
         *[F.when(good, c).cast(PREDICTION_SCHEMA[n].dataType).alias(n) for n, c in values.items()],
         date.alias("prediction_date"),
         position.cast("int").alias(POSITION),
-        F.when(~good, F.col("record")).alias("record"),
+        "record",
         "reason",
         good.alias("accepted"),
     )

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from tallyglass.config import Settings
 from tallyglass.operators.drift import drift_report, drift_stats
 from tallyglass.operators.features import engineer_features
+from tallyglass.plans import queries
 from tallyglass.plans.queries import QUERIES, SETTINGS, all_features
 from tallyglass.session import scratch_path
 from tallyglass.sinks.tables import save_predictions
 from tallyglass.sources.predictions import read_predictions
 from tallyglass.sources.stored_days import advance, bootstrap, day_tables
 from tallyglass.sources.tables import actual_purchases, scan_range
+from tallyglass.streaming.scoring import judged_requests, parse_documents
 
 WRITING = {
     "gbt_train_score",
@@ -181,3 +183,43 @@ def test_state_keeps_users_without_events(spark):
     assert set(user) == {(1, 1), (2, 3), (1, 4)}
     assert user[1, 4].last_purchase_date == dt.date(2024, 1, 1) and user[1, 4].risk_tolerance == 1.0
     assert user[1, 1].last_purchase_date is None and user[1, 1].risk_tolerance == 0.0
+
+
+def test_scored_requests_are_joined_once(spark, tmp_path, monkeypatch):
+    """The model's rows, the requests sent and the batch they are compared with come from one table of features."""
+    events = spark.range(1200).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_add("HOUR", (F.col("id") % 17 * 24 + F.col("id") % 5).cast("int"), F.lit(dt.datetime(2024, 1, 2))).alias("ts"),
+        (F.col("id") % 41).alias("user_id"),
+        F.when(F.col("id") % 7 < 3, "purchase").otherwise("view").alias("event_type"),
+        (F.col("id") % 23 + 1.0).alias("value"),
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(40).select(
+        F.col("id").alias("c_custkey"), (F.col("id") % 5).cast("int").alias("c_nationkey"), (F.col("id") * 200.0).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment")
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    asked, build = [], queries.all_features
+
+    def counting(*args):
+        asked.append(args)
+        return build(*args)
+
+    monkeypatch.setattr(queries, "all_features", counting)
+    rows = QUERIES["stream_scoring_model"](spark, str(tmp_path)).collect()
+    assert len(asked) == 1
+    # User 40 is no customer, so its requests lack the stock.
+    assert {r.user_id for r in rows} == {str(i) for i in range(40)} and all(r.same_as_batch for r in rows)
+    assert sum(r.requests for r in rows) == events.where("user_id < 40").select("user_id", F.to_date("ts")).distinct().count()
+
+
+def test_only_documents_that_may_wrap_requests_are_searched_for_the_key(spark):
+    lines = ['{"user_id": "a"}', '{"features": [{"user_id": "b"}, 3]}', r'{"\u0066eatures": [{"user_id": "c"}]}', '[{"user_id": "d"}]', '{"user_id": "features"}']
+    documents = spark.createDataFrame([(x,) for x in lines], "value string")
+    parsed = parse_documents(documents)
+    found = [(r.user_id, r.position) for r in parsed.collect()]
+    assert sorted(found, key=str) == sorted([("a", None), ("b", 0), (None, 1), ("c", 0), ("d", 0), ("features", None)], key=str)
+    plan = plan_of(parsed)
+    assert plan.count("get_json_object") == plan.count("Contains(value") / 2 > 0
+    # What arrived is written as text again for rejects only.
+    judged = plan_of(judged_requests(parsed, queries.formula_scorer, 0.5, SETTINGS, queries.RUN_TIME))
+    assert re.search(r"CASE WHEN isnotnull\(reason#\d+\) THEN coalesce\(_corrupt_record", judged)
