@@ -175,6 +175,24 @@ def test_trees_that_wait_are_those_that_are_written(spark, monkeypatch):
         assert models[0] == models[1] and set(counts) == {2000}
 
 
+def test_rows_are_made_once(spark):
+    """What the rows are made of, the join with learned categories for one, runs once, however often trees read them."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(500).select("id", (F.col("id") % 9).cast("double").alias("x"), F.concat(F.lit("c"), F.col("id") % 13).alias("c"))
+    rows = rows.withColumn("y", (F.col("id") % 13 < 4).cast("int")).mapInArrow(counted, "id long, x double, c string, y int")
+    index = spark.createDataFrame([(i, "c", f"c{i}") for i in range(13)], "index long, column string, category string")
+    # Shuffled, as rows are that are joined with many categories.
+    encoded = with_category_indices(rows.repartition(3, "c"), ["c"], index, "cats")
+    model = boost(encoded, ["x"], "y", ["id"], Boosting(rounds=2, max_depth=1), "cats", index)
+    assert made.value == 500 and len(model.trees) == 2
+
+
 def test_staged_margins_are_plain_columns(spark):
     df = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 7 + i % 5 > 5)) for i in range(200)], "id long, a double, b double, y double")
     model = boost(df, ["a", "b"], "y", ["id"], Boosting(rounds=4, max_depth=2))
