@@ -1,10 +1,10 @@
 """Second-order boosted trees with regularisation, grown level by level over a stored table of binned rows.
 
 Rows are stored once, so what they are made of (a join with learned categories, say) runs once, and cut into quantile bins. Rows that are equal
-in bins, categories and label stay equal through all trees, so where many are, they are one row with a count. Per level one job adds up gradients and
-hessians of the logistic loss by node, feature and bin; the first level's has the sums of all rows too;
+in bins, categories and label stay equal through all trees, so where many are, they are one row with a count. Per level one pass adds up gradients and
+hessians of the logistic loss by node, feature and bin, and by node and learned category; the first level's has the sums of all rows too;
 the sums of numeric features (``2 ** depth * features * max_bin`` at most) are compared on the driver, those of learned categories, of
-which there may be any number, are compared where they lie, and only the best one per node comes back. Sums are of whole numbers
+which there may be any number, are stored and compared where they lie, and only the best one per node comes back. Sums are of whole numbers
 (fixed point), so trees depend neither on the order of rows nor on retries. Small trees are added to the stored margins as rows are read; once
 there are ``PENDING`` splits of them the margins are written anew.
 
@@ -31,6 +31,10 @@ LEAST_GAIN = 1e-6
 BIN_ACCURACY = 0.05
 #: Equal rows become one row with a count where each is there so many times on average.
 WORTH_COUNTING = 4
+#: Rows with categories are not stored a second time for so few bins to be cut again, over all inputs and levels of trees.
+CUT_AGAIN = 8
+#: A bin of a feature is coded as ``-1 - feature * BINS - bin``, a category as its index, which is not negative.
+BINS = 1 << 16
 #: Splits of trees that are not in the stored margins yet, and are evaluated as rows are read.
 PENDING = 32
 
@@ -124,6 +128,19 @@ class _Node:
     children: list[_Node] = field(default_factory=list)
 
 
+@dataclass(frozen=True)
+class _Sums:
+    """Of a level: ``node, feature, bin, g, h, n`` of bins, and ``node, cat, g, h, n`` of learned categories as a table stored at ``path``."""
+
+    cells: list[tuple]
+    categories: DataFrame | None = None
+    path: str | None = None
+
+
+def _decoded(sums: DataFrame) -> list[tuple]:
+    return [(r["node"], *divmod(-1 - r["code"], BINS), r["g"], r["h"], r["n"]) for r in sums.collect()]
+
+
 def bin_bounds(rows: DataFrame, inputs: Sequence[str], max_bin: int) -> list[list[float]]:
     """Ascending lower bounds of all bins but the first, for each input, from one aggregate over all of them.
 
@@ -176,10 +193,15 @@ def _counted(binned: DataFrame) -> DataFrame:
 
 def _write(df: DataFrame, old: str | None = None) -> tuple[DataFrame, str]:
     """Store the rows of the loop; the former copy goes once the new one is whole."""
-    path = scratch_path(df.sparkSession, "boosting")
-    df.write.parquet(path)
+    stored, path = _as_table(df)
     if old:
         drop_scratch(df.sparkSession, old)
+    return stored, path
+
+
+def _as_table(df: DataFrame) -> tuple[DataFrame, str]:
+    path = scratch_path(df.sparkSession, "boosting")
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
@@ -210,12 +232,12 @@ class _Grower:
         weight = F.when(F.col("y") == 1, params.scale_pos_weight).otherwise(1.0)
         p = 1 / (1 + F.exp(-F.col("margin")))
         drawn = rows.where(_chance(params.subsample, F.col("key"), F.lit(params.seed), F.lit(number))) if params.subsample < 1 else rows
-        # Fixed point: sums are exact and the same in any order.
+        # Fixed point: sums are exact and the same in any order. Not round, which makes a decimal of each number.
         self.rows = drawn.select(
             "bins",
             "cats",
-            (F.round(weight * (p - F.col("y")) * self.unit).cast("long") * F.col("n")).alias("g"),
-            (F.round(weight * p * (1 - p) * self.unit).cast("long") * F.col("n")).alias("h"),
+            (F.rint(weight * (p - F.col("y")) * self.unit).cast("long") * F.col("n")).alias("g"),
+            (F.rint(weight * p * (1 - p) * self.unit).cast("long") * F.col("n")).alias("h"),
             "n",
         )
 
@@ -228,17 +250,17 @@ class _Grower:
     def grow(self) -> _Node:
         rows = self.rows.withColumn("node", F.lit(1))
         # Of one feature all bins are added up, which is all rows.
-        cells = self._cells(rows, self.features[0]) if self.features and self.params.max_depth else None
-        if cells is None:
+        level_sums = self._sums(rows, self.features[0]) if self.features and self.params.max_depth else None
+        if level_sums is None:
             sums = [self.rows.agg(F.sum("g"), F.sum("h"), F.sum("n")).first()]
         else:
-            sums = [cell for _, feature, _, *cell in cells if feature == self.features[0]]
+            sums = [cell for _, feature, _, *cell in level_sums.cells if feature == self.features[0]]
         g, h, n = (sum(cell[i] or 0 for cell in sums) for i in range(3))
         root = _Node(g / self.unit, h / self.unit, n)
         level = [root]
         for depth in range(self.params.max_depth):
-            found = self._best(rows, level, cells)
-            cells = None
+            found = self._best(level_sums or self._sums(rows), level)
+            level_sums = None
             for i, (feature, bound, gr, hr, nr, gain) in found.items():
                 node = level[i]
                 node.split = (feature, bound, gain)
@@ -281,25 +303,42 @@ class _Grower:
         left, right = (self.path_sql(child, leaf) for child in node.children)
         return f"if({test}, {right}, {left})"
 
-    def _best(self, rows: DataFrame, level: list[_Node], cells: list | None = None) -> dict[int, tuple]:
+    def _best(self, sums: _Sums, level: list[_Node]) -> dict[int, tuple]:
         """For each node of the level that gains by a split: feature, bin, the right side's sums and rows, gain."""
-        found = self._best_bins(self._cells(rows) if cells is None else cells, level) if self.features else {}
-        if self.has_cats:
-            for i, best in self._best_categories(rows, level).items():
+        found = self._best_bins(sums.cells, level) if self.features else {}
+        if sums.categories is not None:
+            for i, best in self._best_categories(sums.categories, level).items():
                 if i not in found or best[-1] > found[i][-1]:
                     found[i] = best
+            drop_scratch(sums.categories.sparkSession, sums.path)
         return found
 
-    def _cells(self, rows: DataFrame, whole: int | None = None) -> list:
-        """``node, feature, bin, g, h, n`` of all bins but the first, which no split needs; of the feature ``whole`` with the first."""
-        asked = (F.col("bin") > 0) | (F.col("feature") == whole) if whole is not None else F.col("bin") > 0
-        return (
-            rows.select("node", "g", "h", "n", F.posexplode("bins").alias("feature", "bin"))
-            .where(F.col("feature").isin(self.features) & asked)
-            .groupBy("node", "feature", "bin")
+    def _sums(self, rows: DataFrame, whole: int | None = None) -> _Sums:
+        """Sums of all bins but the first, which no split needs, of the feature ``whole`` with the first, and of learned categories, from one pass."""
+        p, code = self.params, F.col("code")
+
+        def coded(feature: int) -> Column:
+            bin_ = F.col("bins")[feature]
+            own = (F.lit(-1 - feature * BINS) - bin_).cast("long")
+            return own if feature == whole else F.when(bin_ > 0, own)
+
+        codes = F.array(*map(coded, self.features)).cast("array<bigint>")
+        asked = code.isNotNull()
+        if self.has_cats:
+            codes = F.concat(codes, F.coalesce("cats", F.array().cast("array<bigint>")))
+            if p.colsample < 1:
+                asked &= (code < 0) | _chance(p.colsample, code, F.lit(p.seed), F.lit(self.number))
+        sums = (
+            rows.select("node", "g", "h", "n", F.explode(codes).alias("code"))
+            .where(asked)
+            .groupBy("node", "code")
             .agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
-            .collect()
         )
+        if not self.has_cats:
+            return _Sums(_decoded(sums))
+        stored, path = _as_table(sums)
+        cells = _decoded(stored.where(code < 0)) if self.features else []
+        return _Sums(cells, stored.where(code >= 0).withColumnRenamed("code", "cat"), path)
 
     def _best_bins(self, cells: list, level: list[_Node]) -> dict[int, tuple]:
         width = 1 + max(len(self.bounds[i]) for i in self.features)
@@ -330,13 +369,9 @@ class _Grower:
         gain = part(gl, hl) + part(gr, hr) - part(node.g, node.h)
         return np.where((hl >= p.min_child_weight) & (hr >= p.min_child_weight), gain, -np.inf)
 
-    def _best_categories(self, rows: DataFrame, level: list[_Node]) -> dict[int, tuple]:
+    def _best_categories(self, sums: DataFrame, level: list[_Node]) -> dict[int, tuple]:
         """The same for learned categories: rows that have one against all others. One row per node comes back."""
         p, cat = self.params, F.col("cat")
-        cells = rows.select("node", "g", "h", "n", F.explode("cats").alias("cat"))
-        if p.colsample < 1:
-            cells = cells.where(_chance(p.colsample, cat, F.lit(p.seed), F.lit(self.number)))
-        sums = cells.groupBy("node", "cat").agg(F.sum("g").alias("gq"), F.sum("h").alias("hq"), F.sum("n").alias("n"))
 
         def of(values: list, kind: str) -> Column:
             """A number of each node of the level; rows in leaves have none."""
@@ -348,7 +383,7 @@ class _Grower:
 
         g, h, gr, hr = of([n.g for n in level], "D"), of([n.h for n in level], "D"), F.col("gr"), F.col("hr")
         split = (
-            sums.select("node", "cat", "n", (F.col("gq") / self.unit).alias("gr"), (F.col("hq") / self.unit).alias("hr"))
+            sums.select("node", "cat", "n", (F.col("g") / self.unit).alias("gr"), (F.col("h") / self.unit).alias("hr"))
             .where((hr >= p.min_child_weight) & (h - hr >= p.min_child_weight) & (F.col("n") < of([n.n for n in level], "L")))
             .select("node", "cat", "gr", "hr", "n", (part(g - gr, h - hr) + part(gr, hr) - part(g, h)).alias("gain"))
             .where(F.col("gain") > max(p.gamma, LEAST_GAIN))
@@ -385,9 +420,11 @@ def boost(
     counted = not drawn and different * WORTH_COUNTING <= count
     # Narrow rows of a few files would be read by as few tasks.
     least = rows.sparkSession.sparkContext.defaultParallelism
-    if counted or stored.rdd.getNumPartitions() < least:
+    dealt = not counted and stored.rdd.getNumPartitions() >= least
+    if not dealt:
         binned = (_counted(binned) if counted else binned).repartition(least)
-    state, path = _write(binned, stored_path)
+    cuts = params.rounds * params.max_depth * sum(map(bool, bounds))
+    state, path = (binned, stored_path) if dealt and cats and cuts <= CUT_AGAIN else _write(binned, stored_path)
     spread = max(1.0, params.scale_pos_weight)
     bits = min(40, 62 - math.ceil(math.log2((count + 1) * spread)))
     grown, pending, splits = [], [], 0

@@ -7,24 +7,31 @@ from collections import Counter
 from collections.abc import Sequence
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyglass.functions.expressions import indicator_sql, name_sql
 from tallyglass.session import durable
 
 
 def distinct_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct non-null values of every column, in long form, from one pass over the data."""
-    values = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category")) for c in columns]
-    )
-    return (
-        df.select(F.explode(values).alias("pair"))
-        .select("pair.column", "pair.category")
-        .where(F.col("category").isNotNull())
-        .distinct()
-    )
+    """Distinct non-null values of every column, in long form, from one pass over the data.
+
+    A grouping set per column: in its rows the other columns are null. Whole numbers are grouped as they are and become text
+    once they are distinct.
+    """
+    named = {f"__value_{i}": c for i, c in enumerate(dict.fromkeys(columns))}
+    values = df.select(*[F.col(c).alias(v) if _is_whole(df, F.col(c)) else F.col(c).cast("string").alias(v) for v, c in named.items()])
+    found = values.groupingSets([[v] for v in named], *named).agg(F.grouping_id().alias("set"))
+    column = F.coalesce(*[F.when(F.col(v).isNotNull(), F.lit(c)) for v, c in named.items()])
+    category = F.coalesce(*[F.col(v).cast("string") for v in named])
+    return found.select(column.alias("column"), category.alias("category")).where(F.col("category").isNotNull())
+
+
+def _is_whole(df: DataFrame, column: Column) -> bool:
+    """Whether the values are whole numbers: each has one text, and no other value has it."""
+    return isinstance(df.select(column).schema[0].dataType, T.IntegralType)
 
 
 def category_index(categories: DataFrame, per_range: int = 100_000) -> DataFrame:
@@ -49,14 +56,24 @@ def with_category_indices(df: DataFrame, columns: Sequence[str], index: DataFram
     """Rows with a sparse one-hot vector: the indices of their categories, as an array.
 
     ``index`` should be a stored table. It is joined once per column, by value: broadcast where Spark's size check allows, else both sides are
-    shuffled and adaptive execution splits a frequent value. Nulls and unknown values set nothing.
+    shuffled and adaptive execution splits a frequent value. Whole numbers are joined as such, which sorts faster than text; a
+    category that is not the text of one (``07``) is unknown to them. Nulls and unknown values set nothing.
     """
     found = []
     for i, column in enumerate(columns):
         found.append(f"__index_{i}")
-        own = index.where(F.col("column") == column).select(F.col("category").alias(f"__category_{i}"), F.col("index").alias(found[-1]))
-        df = df.join(own, F.col(name_sql(column)).cast("string") == F.col(f"__category_{i}"), "left").drop(f"__category_{i}")
-    return df.withColumn(into, F.array_compact(F.array(*found))).drop(*found)
+        value, category = F.col(name_sql(column)), F.col("category")
+        own = index.where(F.col("column") == column)
+        if _is_whole(df, value):
+            number = category.try_cast(df.select(value).schema[0].dataType)
+            own, category = own.where(number.cast("string") == category), number
+        else:
+            value = value.cast("string")
+        own = own.select(category.alias(f"__category_{i}"), F.col("index").alias(found[-1]))
+        df = df.join(own, value == F.col(f"__category_{i}"), "left").drop(f"__category_{i}")
+    # Not array_compact, whose lambda Spark does not compile.
+    none = F.array().cast(T.ArrayType(index.schema["index"].dataType))
+    return df.withColumn(into, F.concat(*[F.when(F.col(f).isNotNull(), F.array(f)).otherwise(none) for f in found])).drop(*found)
 
 
 def encode_learned(

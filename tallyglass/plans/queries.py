@@ -853,8 +853,10 @@ def reduced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_margin(rows: DataFrame, margin: str) -> DataFrame:
     """The rows that share a score, and how many of them are positive."""
-    scored = rows.select(F.round(F.expr(margin), 6).alias("margin"), "reduced")
-    return scored.groupBy("margin").agg(F.count(F.lit(1)).alias("rows"), F.sum("reduced").cast("long").alias("positives"))
+    scored = rows.select(F.expr(margin).alias("margin"), "reduced").groupBy("margin").agg(F.count(F.lit(1)).alias("rows"), F.sum("reduced").alias("positives"))
+    # Stumps have few margins: those are rounded, not the rows.
+    rounded = scored.groupBy(F.round("margin", 6).alias("margin"))
+    return rounded.agg(F.sum("rows").alias("rows"), F.sum("positives").cast("long").alias("positives"))
 
 
 @query("boosted_stump")

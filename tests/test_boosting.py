@@ -193,6 +193,50 @@ def test_rows_are_made_once(spark):
     assert made.value == 500 and len(model.trees) == 2
 
 
+def test_a_level_reads_its_rows_once(spark, monkeypatch):
+    """Sums of bins and of learned categories come from one pass; few bins are cut again instead of stored again, with the same trees."""
+    tables, write = [], boosting._write
+
+    def counting(df, old=None):
+        table, path = write(df, old)
+        tables.append(spark.sparkContext.accumulator(0))
+
+        def counted(batches, read=tables[-1]):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        return table.mapInArrow(counted, table.schema), path
+
+    df = spark.range(900).select("id", (F.col("id") % 90).cast("double").alias("x"), F.array(F.col("id") % 300, F.lit(300)).alias("cats"))
+    df = df.withColumn("y", ((F.col("id") % 300 == 7) | (F.col("x") > 40)).cast("int"))
+    index = spark.createDataFrame([(i, "shop", str(i)) for i in range(301)], "index long, column string, category string")
+    params = Boosting(rounds=3, max_depth=1)
+    models = []
+    for files, cut_again, stored in ((1, 8, 2), (16, 8, 1), (16, 2, 2)):
+        with monkeypatch.context() as patched:
+            patched.setattr(boosting, "_write", counting)
+            patched.setattr(boosting, "CUT_AGAIN", cut_again, raising=False)
+            tables.clear()
+            models.append(boost(df.repartition(files), ["x"], "y", ["id"], params, "cats", index))
+        # Of rows that are stored once, the bounds and the number are asked first.
+        assert [t.value for t in tables][-1] == 900 * (3 if stored == 2 else 5) and len(tables) == stored
+    assert models[0] == models[1] == models[2] and len(models[0].trees) == 3
+    # A row without an array has no category; its bins count.
+    bare = df.withColumn("cats", F.when(F.col("id") % 3 > 0, F.col("cats")))
+    empty = df.withColumn("cats", F.when(F.col("id") % 3 > 0, F.col("cats")).otherwise(F.array().cast("array<bigint>")))
+    assert boost(bare, ["x"], "y", ["id"], params, "cats", index) == boost(empty, ["x"], "y", ["id"], params, "cats", index)
+
+
+def test_gradients_make_no_decimals(spark):
+    """Spark rounds doubles through decimals and their text, which took most of a pass."""
+    state = spark.createDataFrame([([1], [0], 1.0, 0.0, 2), ([0], [], 0.0, 0.3, 1)], "bins array<smallint>, cats array<bigint>, y double, margin double, n long")
+    rows = boosting._Grower(state, [[0.5]], True, Boosting(), 20, 0).rows
+    assert "round(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    p = 1 / (1 + math.exp(-0.3))
+    assert [tuple(r) for r in rows.select("g", "h").collect()] == [(-(2**20), 2**19), (round(p * 2**20), round(p * (1 - p) * 2**20))]
+
+
 def test_staged_margins_are_plain_columns(spark):
     df = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 7 + i % 5 > 5)) for i in range(200)], "id long, a double, b double, y double")
     model = boost(df, ["a", "b"], "y", ["id"], Boosting(rounds=4, max_depth=2))
